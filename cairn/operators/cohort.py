@@ -1 +1,48 @@
-"""Cohort retention."""
+"""Purchase cohorts: long retention table and the wide M0..Mn matrix."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.exprs import safe_divide
+
+
+def cohort_retention_long(orders: DataFrame) -> DataFrame:
+    """(cohort_month 'yyyy-MM', cohort_index, active_customers, cohort_size, retention_rate).
+
+    Customer-months are de-duplicated first (map-side), so the distinct count is a
+    plain count and a customer with many orders never widens a group.
+    """
+    active_months = orders.select(
+        "customer_id", F.trunc("order_date", "month").alias("order_month")
+    ).distinct()
+    first = active_months.groupBy("customer_id").agg(F.min("order_month").alias("cohort_start"))
+    lag = (F.year("order_month") - F.year("cohort_start")) * 12 + F.month("order_month") - F.month("cohort_start")
+    active = (
+        active_months.join(first, "customer_id")
+        .groupBy("cohort_start", lag.cast("int").alias("cohort_index"))
+        .agg(F.count(F.lit(1)).alias("active_customers"))
+    )
+    sizes = first.groupBy("cohort_start").agg(F.count(F.lit(1)).alias("cohort_size"))
+    # one row per cohort month: tiny, AQE broadcasts it at run time
+    return active.join(sizes, "cohort_start", "left").select(
+        F.date_format("cohort_start", "yyyy-MM").alias("cohort_month"),
+        "cohort_index",
+        "active_customers",
+        "cohort_size",
+        safe_divide("active_customers", "cohort_size").alias("retention_rate"),
+    )
+
+
+def cohort_matrix(long: DataFrame, max_index: int | None = None) -> DataFrame:
+    """Pivot to one row per cohort and columns M0..Mn (absent cells stay null).
+
+    ``max_index`` fixes the column set (M0..M<max_index>); otherwise it is read from
+    the data (one scalar).
+    """
+    if max_index is None:
+        max_index = long.agg(F.max("cohort_index")).first()[0] or 0
+    values = list(range(max_index + 1))
+    wide = long.groupBy("cohort_month").pivot("cohort_index", values).agg(F.first("retention_rate"))
+    return wide.select("cohort_month", *[F.round(F.col(str(v)), 6).alias(f"M{v}") for v in values])

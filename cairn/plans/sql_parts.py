@@ -60,3 +60,122 @@ def rfm_sql(day: str = ANALYSIS_DATE) -> str:
   FROM rfm_sc
 )
 """
+
+
+def sdiv(num: str, den: str) -> str:
+    """safe_divide: double ratio, 0 when the denominator is 0 or null."""
+    return f"COALESCE(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0), 0.0)"
+
+
+def snapshot_sql(cutoffs, churn_h=None, clv_h=None, name: str = "snap") -> str:
+    """Multi-cutoff snapshot as CTE ``name`` (relational form: facts x cutoffs)."""
+    values = ", ".join(f"({i}, DATE '{c}')" for i, c in enumerate(cutoffs))
+    w12 = "o.order_date <= k.snapshot_date AND o.order_date >= k.snapshot_date - 364"
+    hist = "o.order_date <= k.snapshot_date"
+    extra = ""
+    if churn_h is not None:
+        extra += (f", SUM(CASE WHEN o.order_date > k.snapshot_date AND o.order_date <= k.snapshot_date + {churn_h} "
+                  f"THEN 1 ELSE 0 END) AS fut_churn")
+    if clv_h is not None:
+        fut = f"o.order_date > k.snapshot_date AND o.order_date <= k.snapshot_date + {clv_h}"
+        extra += (f", SUM(CASE WHEN {fut} THEN o.gross_margin END) AS future_gross_margin"
+                  f", SUM(CASE WHEN {fut} THEN o.net_revenue END) AS future_revenue"
+                  f", SUM(CASE WHEN {fut} THEN 1 ELSE 0 END) AS future_orders")
+    iw12 = "i.month <= k.snapshot_date AND i.month >= k.snapshot_date - 364"
+    iw90 = "i.month <= k.snapshot_date AND i.month >= k.snapshot_date - 89"
+    labels = ""
+    if churn_h is not None:
+        labels += ", CASE WHEN COALESCE(b.fut_churn, 0) > 0 THEN 0 ELSE 1 END AS churn_90d"
+    if clv_h is not None:
+        labels += (", CAST(COALESCE(b.future_gross_margin, 0) AS DECIMAL(18,2)) AS future_gross_margin"
+                   ", CAST(COALESCE(b.future_revenue, 0) AS DECIMAL(18,2)) AS future_revenue"
+                   ", CAST(COALESCE(b.future_orders, 0) AS BIGINT) AS future_orders")
+    return f"""
+, {name}_k AS (SELECT * FROM (VALUES {values}) t(k, snapshot_date))
+, {name}_o AS (
+  SELECT k.k, o.customer_id,
+    MAX(CASE WHEN {hist} THEN o.order_date END) AS last_order_date,
+    SUM(CASE WHEN {hist} THEN 1 ELSE 0 END) AS lifetime_orders,
+    SUM(CASE WHEN {hist} THEN o.net_revenue END) AS lifetime_revenue,
+    SUM(CASE WHEN {hist} THEN o.gross_margin END) AS lifetime_margin,
+    SUM(CASE WHEN {w12} THEN 1 ELSE 0 END) AS frequency_12m,
+    SUM(CASE WHEN {w12} THEN o.net_revenue END) AS monetary_12m,
+    SUM(CASE WHEN {w12} THEN o.gross_margin END) AS gross_margin_12m,
+    SUM(CASE WHEN {w12} THEN o.gross_revenue END) AS gross_revenue_12m,
+    SUM(CASE WHEN {w12} THEN o.discount_amount END) AS discount_amount_12m,
+    SUM(CASE WHEN {w12} THEN o.returned_flag END) AS returned_orders_12m,
+    COUNT(DISTINCT CASE WHEN {w12} THEN o.primary_category END) AS category_diversity_12m,
+    SUM(CASE WHEN {w12} AND o.channel IN ('Mobile App', 'Web') THEN 1 ELSE 0 END) AS online_orders_12m
+    {extra}
+  FROM ford o CROSS JOIN {name}_k k GROUP BY k.k, o.customer_id
+)
+, {name}_i AS (
+  SELECT k.k, i.customer_id,
+    SUM(CASE WHEN {iw12} THEN i.email_sent END) AS email_sent_12m,
+    SUM(CASE WHEN {iw12} THEN i.email_opens END) AS email_opens_12m,
+    SUM(CASE WHEN {iw12} THEN i.support_tickets END) AS support_tickets_12m,
+    SUM(CASE WHEN {iw90} THEN i.sessions END) AS sessions_90d,
+    MAX(CASE WHEN i.month <= k.snapshot_date AND i.sessions > 0 THEN i.month END) AS last_session_month
+  FROM inter i CROSS JOIN {name}_k k GROUP BY k.k, i.customer_id
+)
+, {name}_b AS (
+  SELECT c.customer_id, c.acquisition_date, c.region, c.age_band, c.loyalty_tier, c.preferred_channel,
+    c.marketing_consent, k.snapshot_date,
+    GREATEST(k.snapshot_date - c.acquisition_date, 0) AS tenure_days,
+    b.last_order_date,
+    CAST(COALESCE(b.lifetime_orders, 0) AS BIGINT) AS lifetime_orders,
+    CAST(COALESCE(b.lifetime_revenue, 0) AS DECIMAL(18,2)) AS lifetime_revenue,
+    CAST(COALESCE(b.lifetime_margin, 0) AS DECIMAL(18,2)) AS lifetime_margin,
+    CAST(COALESCE(b.frequency_12m, 0) AS BIGINT) AS frequency_12m,
+    CAST(COALESCE(b.monetary_12m, 0) AS DECIMAL(18,2)) AS monetary_12m,
+    CAST(COALESCE(b.gross_margin_12m, 0) AS DECIMAL(18,2)) AS gross_margin_12m,
+    CAST(COALESCE(b.gross_revenue_12m, 0) AS DECIMAL(18,2)) AS gross_revenue_12m,
+    CAST(COALESCE(b.discount_amount_12m, 0) AS DECIMAL(18,2)) AS discount_amount_12m,
+    CAST(COALESCE(b.returned_orders_12m, 0) AS BIGINT) AS returned_orders_12m,
+    CAST(COALESCE(b.category_diversity_12m, 0) AS BIGINT) AS category_diversity_12m,
+    CAST(COALESCE(b.online_orders_12m, 0) AS BIGINT) AS online_orders_12m,
+    CAST(COALESCE(i.email_sent_12m, 0) AS BIGINT) AS email_sent_12m,
+    CAST(COALESCE(i.email_opens_12m, 0) AS BIGINT) AS email_opens_12m,
+    CAST(COALESCE(i.support_tickets_12m, 0) AS BIGINT) AS support_tickets_12m,
+    CAST(COALESCE(i.sessions_90d, 0) AS BIGINT) AS sessions_90d,
+    i.last_session_month
+    {labels}
+  FROM cust c JOIN {name}_k k ON c.acquisition_date <= k.snapshot_date
+  LEFT JOIN {name}_o b ON b.customer_id = c.customer_id AND b.k = k.k
+  LEFT JOIN {name}_i i ON i.customer_id = c.customer_id AND i.k = k.k
+)
+, {name} AS (
+  SELECT *,
+    COALESCE(snapshot_date - last_order_date, GREATEST(tenure_days, 1) + 365) AS recency_days,
+    {sdiv('monetary_12m', 'frequency_12m')} AS avg_order_value_12m,
+    {sdiv('discount_amount_12m', 'gross_revenue_12m')} AS discount_rate_12m,
+    {sdiv('returned_orders_12m', 'frequency_12m')} AS return_rate_12m,
+    {sdiv('online_orders_12m', 'frequency_12m')} AS online_order_share_12m,
+    {sdiv('email_opens_12m', 'email_sent_12m')} AS email_open_rate_12m,
+    COALESCE(snapshot_date - last_session_month, GREATEST(tenure_days, 1) + 90) AS days_since_last_session,
+    CASE loyalty_tier WHEN 'Bronze' THEN 1 WHEN 'Silver' THEN 2 WHEN 'Gold' THEN 3 WHEN 'Platinum' THEN 4 ELSE 0 END
+      AS loyalty_tier_score,
+    marketing_consent AS consent_flag
+  FROM {name}_b
+)
+"""
+
+
+SNAPSHOT_OUT = """customer_id, snapshot_date, region, age_band, loyalty_tier, preferred_channel, marketing_consent,
+  tenure_days, last_order_date, lifetime_orders, lifetime_revenue, lifetime_margin, recency_days, frequency_12m,
+  monetary_12m, gross_margin_12m, gross_revenue_12m, discount_amount_12m, returned_orders_12m,
+  category_diversity_12m, online_orders_12m, email_sent_12m, email_opens_12m, support_tickets_12m, sessions_90d,
+  last_session_month, ROUND(avg_order_value_12m, 6) AS avg_order_value_12m,
+  ROUND(discount_rate_12m, 6) AS discount_rate_12m, ROUND(return_rate_12m, 6) AS return_rate_12m,
+  ROUND(online_order_share_12m, 6) AS online_order_share_12m, ROUND(email_open_rate_12m, 6) AS email_open_rate_12m,
+  days_since_last_session, loyalty_tier_score, consent_flag"""
+
+SNAPSHOT_COLUMNS = [
+    "customer_id", "snapshot_date", "region", "age_band", "loyalty_tier", "preferred_channel", "marketing_consent",
+    "tenure_days", "last_order_date", "lifetime_orders", "lifetime_revenue", "lifetime_margin", "recency_days",
+    "frequency_12m", "monetary_12m", "gross_margin_12m", "gross_revenue_12m", "discount_amount_12m",
+    "returned_orders_12m", "category_diversity_12m", "online_orders_12m", "email_sent_12m", "email_opens_12m",
+    "support_tickets_12m", "sessions_90d", "last_session_month", "avg_order_value_12m", "discount_rate_12m",
+    "return_rate_12m", "online_order_share_12m", "email_open_rate_12m", "days_since_last_session",
+    "loyalty_tier_score", "consent_flag",
+]
