@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import materialize, shuffle_partitions
 
 _UNBOUNDED = Window.unboundedPreceding
 
@@ -126,18 +126,32 @@ def avg_rank_pct(
     Same as ``Series.rank(method="average", pct=True)``; not ``percent_rank`` or
     ``cume_dist``.  Null values get a null percentile.
     """
+    return avg_rank_pcts(df, {value: out}, partition_by, nb)
+
+
+def avg_rank_pcts(
+    df: DataFrame,
+    columns: dict[str, str],
+    partition_by: Sequence[str] = (),
+    nb: int | None = None,
+) -> DataFrame:
+    """``avg_rank_pct`` for several columns over one materialized input."""
     part = list(partition_by)
-    ranked = value_prefix(df, value, partition_by=part, nb=nb).select(
-        *part,
-        value,
-        ((F.col("_before") + (F.col("_cnt") + F.lit(1)) / F.lit(2)) / F.col("_n")).alias(out),
-    )
-    return df.join(ranked, on=[*part, value], how="left")
+    df = materialize(df)
+    for value, out in columns.items():
+        ranked = value_prefix(df, value, partition_by=part, nb=nb).select(
+            *part,
+            value,
+            ((F.col("_before") + (F.col("_cnt") + F.lit(1)) / F.lit(2)) / F.col("_n")).alias(out),
+        )
+        df = df.join(ranked, on=[*part, value], how="left")
+    return df
 
 
 def avg_rank(df: DataFrame, value: str, out: str, partition_by: Sequence[str] = (), nb: int | None = None) -> DataFrame:
     """Average rank (1-based, ties averaged) and group size ``<out>_n``."""
     part = list(partition_by)
+    df = materialize(df)
     ranked = value_prefix(df, value, partition_by=part, nb=nb).select(
         *part,
         value,
@@ -164,6 +178,7 @@ def ordered_running(
     part = list(partition_by)
     keys = [k for k, _ in order]
     nb = _buckets(df, nb)
+    df = materialize(df)
     id_edges = quantile_edges(df, id_col, nb)
     tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), id_edges))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import quintile_score
-from ..functions.ranking import avg_rank_pct
+from ..functions.ranking import avg_rank_pcts
 from .contracts import check_rfm_inputs
 
 
@@ -54,9 +54,7 @@ def calculate_rfm(customers: DataFrame, orders: DataFrame, analysis_date: str, v
         F.coalesce(F.col("gross_margin"), F.lit(0)).cast("decimal(18,2)").alias("gross_margin"),
         F.coalesce(F.datediff(day, F.col("last_order_date")), tenure + 365).cast("int").alias("recency"),
     )
-    rfm = avg_rank_pct(rfm, "recency", "_r_pct")
-    rfm = avg_rank_pct(rfm, "frequency", "_f_pct")
-    rfm = avg_rank_pct(rfm, "monetary", "_m_pct")
+    rfm = avg_rank_pcts(rfm, {"recency": "_r_pct", "frequency": "_f_pct", "monetary": "_m_pct"})
     zero = F.col("frequency") == 0
     rfm = rfm.withColumns({
         "recency_score": quintile_score("_r_pct", higher_is_better=False),

@@ -179,3 +179,144 @@ SNAPSHOT_COLUMNS = [
     "return_rate_12m", "online_order_share_12m", "email_open_rate_12m", "days_since_last_session",
     "loyalty_tier_score", "consent_flag",
 ]
+
+
+def _num(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def scores_sql(snap: str = "prod") -> str:
+    """Rule-based churn and value score tables ``churn_s`` and ``clv_s`` over CTE ``snap``."""
+    return f"""
+, sc AS (
+  SELECT customer_id, snapshot_date,
+    LEAST(GREATEST(CAST(recency_days AS DOUBLE) / (CAST(recency_days AS DOUBLE) + 120.0), 0.02), 0.98)
+      AS churn_probability,
+    GREATEST(0.0, 0.9 * CAST(gross_margin_12m AS DOUBLE) + 12.0 * CAST(sessions_90d AS DOUBLE)) AS predicted_clv_12m
+  FROM {snap}
+)
+, churn_s AS (
+  SELECT customer_id, snapshot_date, churn_probability, {avg_pct('churn_probability')} AS risk_percentile,
+    CASE WHEN churn_probability <= 0.35 THEN 'Low' WHEN churn_probability <= 0.55 THEN 'Medium'
+         WHEN churn_probability <= 0.72 THEN 'High' ELSE 'Critical' END AS risk_band
+  FROM sc
+)
+, clv_r AS (
+  SELECT customer_id, snapshot_date, predicted_clv_12m,
+    ROW_NUMBER() OVER (ORDER BY predicted_clv_12m, customer_id) AS rn, COUNT(*) OVER () AS n
+  FROM sc
+)
+, clv_s AS (
+  SELECT customer_id, snapshot_date, predicted_clv_12m, {avg_pct('predicted_clv_12m')} AS clv_percentile,
+    CASE GREATEST(0, CASE WHEN n > 1 THEN ((rn - 1) * 4 + (n - 1) - 1) // (n - 1) ELSE 0 END - 1)
+      WHEN 0 THEN 'Low' WHEN 1 THEN 'Developing' WHEN 2 THEN 'High' ELSE 'Strategic' END AS clv_band
+  FROM clv_r
+)
+"""
+
+
+def decision_sql(budget: float, snap: str = "prod") -> str:
+    """Campaign decision ``targets`` over ``snap``, ``rfm``, ``clv_s``, ``churn_s``."""
+    cost = ("CASE recommended_action WHEN 'VIP Experience' THEN 95.0 WHEN 'Retain & Reward' THEN 72.0 "
+            "WHEN 'Win-Back' THEN 61.0 WHEN 'Cross-Sell' THEN 49.0 WHEN 'Onboarding' THEN 34.0 "
+            "WHEN 'Nurture' THEN 28.0 ELSE 0.0 END")
+    base = ("CASE recommended_action WHEN 'VIP Experience' THEN 0.26 WHEN 'Retain & Reward' THEN 0.23 "
+            "WHEN 'Win-Back' THEN 0.14 WHEN 'Cross-Sell' THEN 0.18 WHEN 'Onboarding' THEN 0.21 "
+            "WHEN 'Nurture' THEN 0.11 ELSE 0.0 END")
+    core = ("((base_resp + 0.08 * engagement_norm) + 0.06 * COALESCE(clv_percentile, 0.0)) "
+            "- 0.05 * COALESCE(churn_probability, 0.0)")
+    elig = "(contact_cost > 0 AND eim > 0 AND marketing_consent = 1)"
+    return f"""
+, fr AS (
+  SELECT p.customer_id, p.marketing_consent, p.frequency_12m, p.monetary_12m, p.gross_margin_12m,
+    p.avg_order_value_12m, p.category_diversity_12m, p.recency_days, p.sessions_90d, r.rfm_segment,
+    v.predicted_clv_12m, v.clv_percentile, v.clv_band, h.churn_probability, h.risk_percentile, h.risk_band
+  FROM {snap} p LEFT JOIN rfm r ON p.customer_id = r.customer_id
+  LEFT JOIN clv_s v ON p.customer_id = v.customer_id
+  LEFT JOIN churn_s h ON p.customer_id = h.customer_id
+)
+, fr2 AS (
+  SELECT *, CASE
+    WHEN NOT (COALESCE(marketing_consent, 0) <> 0) THEN 'Suppress'
+    WHEN clv_percentile >= 0.80 AND churn_probability >= 0.55 THEN 'Win-Back'
+    WHEN clv_percentile >= 0.80 AND churn_probability < 0.55 THEN 'VIP Experience'
+    WHEN rfm_segment IN ('Champions', 'Loyal Customers') THEN 'Retain & Reward'
+    WHEN rfm_segment IN ('New Customers', 'Potential Loyalists', 'Promising') THEN 'Onboarding'
+    WHEN category_diversity_12m <= 2 AND frequency_12m >= 2 THEN 'Cross-Sell'
+    WHEN churn_probability >= 0.68 THEN 'Win-Back'
+    WHEN frequency_12m = 0 AND recency_days > 365 THEN 'Suppress'
+    ELSE 'Nurture' END AS recommended_action
+  FROM fr
+)
+, fr3 AS (
+  SELECT *, CAST({cost} AS DOUBLE) AS contact_cost, CAST({base} AS DOUBLE) AS base_resp,
+    LEAST(GREATEST(COALESCE({avg_pct('sessions_90d')}, 0.0), 0.0), 1.0) AS engagement_norm
+  FROM fr2
+)
+, fr4 AS (
+  SELECT *, LEAST(GREATEST(CASE WHEN recommended_action = 'Win-Back'
+      THEN {core} + 0.08 * COALESCE(churn_probability, 0.0) ELSE {core} END, 0.0), 0.55)
+    AS expected_response_probability
+  FROM fr3
+)
+, fr5 AS (
+  SELECT *, expected_response_probability * LEAST(GREATEST(CAST(avg_order_value_12m AS DOUBLE), 450.0), 6500.0)
+    * LEAST(GREATEST(COALESCE(CAST(gross_margin_12m AS DOUBLE) / NULLIF(CAST(monetary_12m AS DOUBLE), 0), 0.38),
+                     0.18), 0.62)
+    * (1.18 + 0.22 * COALESCE(clv_percentile, 0.0)) - contact_cost AS eim
+  FROM fr4
+)
+, fr6 AS (SELECT *, CASE WHEN contact_cost > 0 THEN eim / contact_cost ELSE 0.0 END AS roi FROM fr5)
+, fr7 AS (
+  SELECT *, 0.36 * COALESCE(clv_percentile, 0.0) + 0.24 * COALESCE(risk_percentile, 0.0)
+    + 0.25 * COALESCE({avg_pct('roi')}, 0.0) + 0.15 * engagement_norm AS priority_score
+  FROM fr6
+)
+, fr8 AS (
+  SELECT *, {elig} AS eligible,
+    SUM(CASE WHEN {elig} THEN contact_cost ELSE 0.0 END)
+      OVER (ORDER BY priority_score DESC, roi DESC, customer_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      AS run_cost
+  FROM fr7
+)
+, targets AS (
+  SELECT customer_id, marketing_consent, frequency_12m, monetary_12m, gross_margin_12m, avg_order_value_12m,
+    category_diversity_12m, recency_days, sessions_90d, rfm_segment, predicted_clv_12m, clv_percentile, clv_band,
+    churn_probability, risk_percentile, risk_band, recommended_action, contact_cost, expected_response_probability,
+    CASE WHEN eligible AND run_cost <= {float(budget)!r} THEN eim ELSE 0.0 END AS expected_incremental_margin,
+    CASE WHEN eligible AND run_cost <= {float(budget)!r} THEN roi ELSE 0.0 END AS expected_roi,
+    priority_score,
+    CASE WHEN priority_score <= 0.40 THEN 'Low' WHEN priority_score <= 0.60 THEN 'Medium'
+         WHEN priority_score <= 0.78 THEN 'High' ELSE 'Critical' END AS campaign_priority,
+    CASE WHEN eligible AND run_cost <= {float(budget)!r} THEN 1 ELSE 0 END AS selected_for_campaign,
+    CASE WHEN eligible AND run_cost <= {float(budget)!r} THEN contact_cost ELSE 0.0 END AS allocated_budget
+  FROM fr8
+)
+"""
+
+
+C360_SQL = """
+, c360 AS (
+  SELECT p.customer_id, p.snapshot_date, p.region, p.age_band, p.loyalty_tier, p.preferred_channel,
+    p.marketing_consent, p.lifetime_orders, p.lifetime_revenue, p.lifetime_margin,
+    p.recency_days, p.frequency_12m, p.monetary_12m, p.gross_margin_12m, p.avg_order_value_12m,
+    p.discount_rate_12m, p.return_rate_12m, p.category_diversity_12m, p.online_order_share_12m, p.sessions_90d,
+    p.email_open_rate_12m, p.support_tickets_12m, p.days_since_last_session, p.tenure_days, p.loyalty_tier_score,
+    p.consent_flag,
+    r.rfm_segment, r.rfm_score, r.recency_score, r.frequency_score, r.monetary_score,
+    v.predicted_clv_12m, v.clv_band, v.clv_percentile,
+    h.churn_probability, h.risk_band, h.risk_percentile,
+    t.recommended_action, t.campaign_priority, t.expected_incremental_margin, t.expected_roi,
+    t.selected_for_campaign, t.allocated_budget
+  FROM prod p
+  LEFT JOIN rfm r ON p.customer_id = r.customer_id
+  LEFT JOIN clv_s v ON p.customer_id = v.customer_id
+  LEFT JOIN churn_s h ON p.customer_id = h.customer_id
+  LEFT JOIN targets t ON p.customer_id = t.customer_id
+)
+"""
+
+
+def c360_chain(budget: float) -> str:
+    """prod snapshot, rfm, rule scores, decision and the 360 table, as CTEs."""
+    return snapshot_sql([ANALYSIS_DATE], name="prod") + rfm_sql() + scores_sql() + decision_sql(budget) + C360_SQL

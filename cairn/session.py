@@ -62,3 +62,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(1, int(value))
     except ValueError:  # "auto" on some platforms
         return 200
+
+
+def materialize(df):
+    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where a frame feeds several branches of one plan (ranking joins it back to
+    its own aggregate); without it the logical plan doubles at every such step.
+    Reliable checkpoint (not localCheckpoint), so a lost executor does not lose it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
