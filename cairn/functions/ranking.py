@@ -32,11 +32,18 @@ def quantile_edges(df: DataFrame, column: str, buckets: int, rel_error: float =
 
     Runs one small job; only ``buckets - 1`` numbers reach the driver.
     """
+    return multi_quantile_edges(df, [column], buckets, rel_error)[column]
+
+
+def multi_quantile_edges(df: DataFrame, columns: Sequence[str], buckets: int,
+                         rel_error: float = 0.001) -> dict[str, list[float]]:
+    """``quantile_edges`` for several columns in one job."""
     if buckets <= 1:
-        return []
+        return {c: [] for c in columns}
     probs = [i / buckets for i in range(1, buckets)]
-    values = df.select(F.col(column).cast("double").alias(column)).approxQuantile(column, probs, rel_error)
-    return sorted({v for v in values if v is not None and not math.isnan(v)})
+    cols = list(dict.fromkeys(columns))
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, probs, rel_error)
+    return {c: sorted({v for v in vs if v is not None and not math.isnan(v)}) for c, vs in zip(cols, values)}
 
 
 def bucket_expr(column: Column, edges: Sequence[float]) -> Column:
@@ -66,6 +73,7 @@ def value_prefix(
     partition_by: Sequence[str] = (),
     ascending: bool = True,
     nb: int | None = None,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """One row per (partition_by..., value) with counts and prefix sums in value order.
 
@@ -77,7 +85,8 @@ def value_prefix(
     nb = _buckets(df, nb)
     agg = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(s).alias(f"_s_{s}") for s in sums]
     distinct = df.groupBy(*part, value).agg(*agg)
-    edges = quantile_edges(distinct, value, nb)
+    if edges is None:
+        edges = quantile_edges(distinct, value, nb)
     bucket = bucket_expr(F.col(value), edges)
     if not ascending:
         bucket = F.lit(len(edges)) - bucket
@@ -138,8 +147,10 @@ def avg_rank_pcts(
     """``avg_rank_pct`` for several columns over one materialized input."""
     part = list(partition_by)
     df = materialize(df)
+    # one job for every column's edges (over rows; any edges give exact results)
+    all_edges = multi_quantile_edges(df, list(columns), _buckets(df, nb))
     for value, out in columns.items():
-        ranked = value_prefix(df, value, partition_by=part, nb=nb).select(
+        ranked = value_prefix(df, value, partition_by=part, nb=nb, edges=all_edges[value]).select(
             *part,
             value,
             ((F.col("_before") + (F.col("_cnt") + F.lit(1)) / F.lit(2)) / F.col("_n")).alias(out),
@@ -179,14 +190,14 @@ def ordered_running(
     keys = [k for k, _ in order]
     nb = _buckets(df, nb)
     df = materialize(df)
-    id_edges = quantile_edges(df, id_col, nb)
-    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), id_edges))
+    first, first_asc = order[0]
+    both = multi_quantile_edges(df, [id_col, first], nb)
+    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), both[id_col]))
 
     groups = tagged.groupBy(*part, *keys, "_ib").agg(
         F.count(F.lit(1)).alias("_gc"), *[F.sum(s).alias(f"_gs_{s}") for s in sums]
     )
-    first, first_asc = order[0]
-    edges = quantile_edges(groups, first, nb)
+    edges = both[first]
     bucket = bucket_expr(F.col(first), edges)
     if not first_asc:
         bucket = F.lit(len(edges)) - bucket

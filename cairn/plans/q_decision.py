@@ -68,8 +68,16 @@ class Production:
         return decision.build_customer_360(self.snapshot, self.rfm, self.clv, self.churn, self.targets)
 
 
+_PRODUCTION: dict[tuple[str, str, float], Production] = {}
+
+
 def production(spark, sf_dir, budget: float = CAMPAIGN_BUDGET) -> Production:
-    return Production(spark, sf_dir, budget)
+    """Session-wide processed tables (like the reference's processed tables and SQL
+    mart): each stage is materialized once and shared by every report."""
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"), float(budget))
+    if key not in _PRODUCTION:
+        _PRODUCTION[key] = Production(spark, sf_dir, budget)
+    return _PRODUCTION[key]
 
 
 def _round(df: DataFrame, cols: list[str]) -> DataFrame:

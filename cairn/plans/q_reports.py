@@ -51,10 +51,10 @@ LIMIT 100
 _sql_both("report_segment_economics", """
 SELECT rfm_segment, COUNT(*) AS customers, ROUND(SUM(monetary_12m), 2) AS revenue_12m,
        ROUND(SUM(gross_margin_12m), 2) AS margin_12m, ROUND(AVG(churn_probability), 4) AS avg_churn_probability,
-       ROUND(SUM(predicted_clv_12m), 2) AS predicted_clv_12m
+       ROUND(SUM(CAST(predicted_clv_12m AS DECIMAL(18,6))), 2) AS predicted_clv_12m
 FROM {c360}
 GROUP BY rfm_segment
-""", ("c360",), doc="A22, P42: segment economics.")
+""", ("c360",), doc="A22, P42: segment economics (double sums taken as exact decimals before rounding).")
 
 _sql_both("report_campaign_portfolio", """
 SELECT recommended_action, campaign_priority, CAST(SUM(selected_for_campaign) AS BIGINT) AS targeted_customers,

@@ -21,7 +21,6 @@ Canonical tables (money is exact DECIMAL(16,2)):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -71,10 +70,10 @@ def _label_by_mod(key, labels: list[str]):
     return expr
 
 
-@dataclass
 class Canonical:
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
     # ---- dimensions -------------------------------------------------------------
     def customers(self) -> DataFrame:
@@ -137,26 +136,22 @@ class Canonical:
         lines = li.join(bounded_broadcast(part), li.l_partkey == part.p_partkey, "inner").join(
             orders, li.l_orderkey == orders.o_orderkey, "inner"
         )
-        seq = F.row_number().over(
-            Window.partitionBy("l_orderkey").orderBy(
-                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-            )
-        )
-        gross = F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(REVENUE_SCALE), 2).cast(MONEY)
-        rate = F.col("l_discount").cast("decimal(10,4)")
+        # precisions stay <= 18 so decimal arithmetic runs on longs, not BigDecimal
+        gross = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.lit(REVENUE_SCALE), 2).cast("decimal(12,2)")
+        rate = F.col("l_discount").cast("decimal(5,4)")
         returned = F.col("l_returnflag") == F.lit("R")
         cost_rate = (F.lit(69) - F.pmod(F.col("l_partkey"), F.lit(28))).cast("decimal(4,0)") * F.lit(Decimal("0.01"))
         out = lines.select(
             F.col("l_orderkey").alias("order_id"),
-            seq.alias("line_seq"),
+            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
             F.col("o_custkey").alias("customer_id"),
             F.to_date("o_orderdate").alias("order_date"),
             _case(F.col("o_orderpriority"), ORDER_CHANNEL_BY_PRIORITY, ORDER_CHANNEL_DEFAULT).alias("channel"),
             F.col("l_partkey").alias("product_id"),
             F.col("p_type").alias("category"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            rate.alias("discount_rate"),
-            gross.alias("gross_revenue"),
+            rate.cast("decimal(10,4)").alias("discount_rate"),
+            gross.cast(MONEY).alias("gross_revenue"),
             F.round(gross * rate, 2).cast(MONEY).alias("discount_amount"),
             F.when(returned, 1).otherwise(0).alias("returned_flag"),
             cost_rate.alias("_cost_rate"),
@@ -167,9 +162,18 @@ class Canonical:
         )
         out = out.withColumn("net_revenue", (net_before - F.col("returned_amount")).cast(MONEY))
         cost = F.when(F.col("returned_flag") == 1, F.lit(0).cast(MONEY)).otherwise(
-            F.round(F.col("gross_revenue") * F.col("_cost_rate"), 2).cast(MONEY)
+            F.round(F.col("gross_revenue").cast("decimal(12,2)") * F.col("_cost_rate"), 2).cast(MONEY)
         )
         out = out.withColumn("gross_margin", (F.col("net_revenue") - cost).cast(MONEY)).drop("_cost_rate")
+        # the line order within an order; partitioned by the output key so the order
+        # rollup downstream reuses this exchange
+        seq = F.row_number().over(
+            Window.partitionBy("order_id").orderBy(
+                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
+            )
+        )
+        out = out.withColumn("line_seq", seq).drop("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+                                                    "l_shipdate")
         return out.withColumn(
             "order_line_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_seq").cast("string"))
         )
@@ -225,5 +229,48 @@ class Canonical:
         )
 
 
+class MaterializedCanonical(Canonical):
+    """The canonical star schema, built once per session and kept in the shared
+    checkpoint folder (a warehouse would persist these tables the same way); every
+    query of the session reads the materialized tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self._tables: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._tables:
+            from ..session import materialize
+
+            self._tables[name] = materialize(build())
+        return self._tables[name]
+
+    def customers(self) -> DataFrame:
+        return self._get("customers", super().customers)
+
+    def order_lines(self) -> DataFrame:
+        return self._get("order_lines", super().order_lines)
+
+    def orders(self, lines: DataFrame | None = None) -> DataFrame:
+        if lines is not None:
+            return super().orders(lines)
+        return self._get("orders", lambda: Canonical.orders(self, Canonical.order_lines(self)))
+
+    def interactions(self) -> DataFrame:
+        return self._get("interactions", super().interactions)
+
+
+_CACHE: dict[tuple[str, str], MaterializedCanonical] = {}
+
+
 def canonical(spark: SparkSession, sf_dir: str) -> Canonical:
+    """Session-wide materialized canonical tables for ``sf_dir``."""
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+    if key not in _CACHE:
+        _CACHE[key] = MaterializedCanonical(spark, sf_dir)
+    return _CACHE[key]
+
+
+def lazy_canonical(spark: SparkSession, sf_dir: str) -> Canonical:
+    """Un-materialized canonical tables (pure lazy plans)."""
     return Canonical(spark, sf_dir)
