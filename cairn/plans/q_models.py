@@ -287,3 +287,119 @@ def drift_monitoring(spark, sf_dir):
     c = canonical(spark, sf_dir)
     prod = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE])
     return _round_all(drift.drift_report(hold, prod))
+
+
+# ---- trained models (pyspark.ml): rows-only checks ---------------------------------------
+from ..operators import attribution, models  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+
+
+def _churn_train_test(spark, sf_dir):
+    train, hold = churn_frames(spark, sf_dir)
+    train = models.add_balanced_weights(models.prepare(train, "y"))
+    test = models.prepare(hold, "y").withColumn("weight", F.lit(1.0))
+    return materialize(train), materialize(test)
+
+
+_COMPARISON_COLS = ["model", "roc_auc", "pr_auc", "brier_score", "f1", "precision", "recall", "lift_at_10pct",
+                    "recall_at_20pct", "threshold", "selection_score"]
+
+
+@register("churn_model_comparison")
+def churn_model_comparison(spark, sf_dir):
+    """Logistic regression, random forest and boosted
+    trees on the multi-cutoff training set, evaluated on the holdout cutoff; the
+    calibrated champion row first."""
+    train, test = _churn_train_test(spark, sf_dir)
+    rows, _ = models.compare_classifiers(train, test)
+    rows = materialize(rows)
+    champ = rows.orderBy(F.col("selection_score").desc(), "model").first()["model"]
+    cal = models.CalibratedClassifier(models.classifier_candidates(models.ClassifierSpec(), 1.0)[champ]).fit(
+        train, ["customer_id", "snapshot_date"])
+    thr = float(metrics.optimal_f1_threshold(cal.predict(train).withColumnRenamed("label", "y")).first()["threshold"])
+    cal_row = metrics.classification_metrics(cal.predict(test).withColumnRenamed("label", "y"), thr).withColumn(
+        "model", F.lit(f"{champ} (calibrated champion)"))
+    cal_row = cal_row.withColumn("selection_score", metrics.selection_score_classifier(
+        F.col("roc_auc"), F.col("pr_auc"), F.col("brier_score")))
+    return _round_all(cal_row.select(*_COMPARISON_COLS).unionByName(rows.select(*_COMPARISON_COLS)))
+
+
+@register("churn_model_scores")
+def churn_model_scores(spark, sf_dir):
+    """Production scoring with the logistic model; risk percentile
+    and right-closed risk band."""
+    from ..operators.scores import churn_score_table
+
+    train, _ = _churn_train_test(spark, sf_dir)
+    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
+    c = canonical(spark, sf_dir)
+    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    scored = models.positive_probability(model, prod, "churn_probability")
+    return _round_all(churn_score_table(scored))
+
+
+@register("clv_model_comparison")
+def clv_model_comparison(spark, sf_dir):
+    """Ridge, random forest and boosted-tree regressors of the
+    12-month margin, evaluated on the holdout cutoff."""
+    c = canonical(spark, sf_dir)
+    from ..constants import CLV_TRAIN_CUTOFFS
+
+    snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(),
+                                     CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF], clv_horizon=CLV_HORIZON_DAYS)
+    data = materialize(models.prepare(snaps, "future_gross_margin"))
+    hold = F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date")
+    rows, _ = models.compare_regressors(data.filter(~hold), data.filter(hold))
+    return _round_all(rows.select("model", "mae", "rmse", "r2", "spearman_correlation", "normalized_mae",
+                                  "selection_score"))
+
+
+@register("model_bundle_info")
+def model_bundle_info(spark, sf_dir):
+    """Persist the churn pipeline with its metadata, load it back,
+    score 50 rows and count finite predictions."""
+    train, test = _churn_train_test(spark, sf_dir)
+    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/bundles/churn-{abs(hash(sf_dir))}"
+    meta = {"production_snapshot": ANALYSIS_DATE, "churn_champion": "Logistic Regression",
+            "feature_columns": FEATURE_COLUMNS, "explainability": {"method": "permutation_attribution"}}
+    models.save_bundle(model, path, meta)
+    loaded, meta2 = models.load_bundle(path)
+    sample = test.orderBy("customer_id").limit(50)
+    finite = models.finite_count(models.positive_probability(loaded, sample), "p")
+    return spark.createDataFrame(
+        [(meta2["production_snapshot"], meta2["churn_champion"], len(meta2["feature_columns"]),
+          meta2["explainability"]["method"], finite)],
+        "production_snapshot string, churn_champion string, feature_count int, explainability_method string, "
+        "finite_predictions int")
+
+
+def _attribution(spark, sf_dir):
+    train, _ = _churn_train_test(spark, sf_dir)
+    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
+    c = canonical(spark, sf_dir)
+    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    rows = prod.orderBy(F.col("recency_days").desc(), "customer_id").limit(60)
+    background = attribution.seeded_sample(train, 24)
+    base = attribution.baseline_medians(background)
+    phi = attribution.permutation_attribution(lambda d: models.positive_probability(model, d), rows, base)
+    return materialize(phi)
+
+
+@register("attribution_global_importance")
+def attribution_global_importance(spark, sf_dir):
+    """Permutation attribution of the churn model on
+    the 60 most dormant customers; global importance per feature."""
+    return _round_all(attribution.global_importance(_attribution(spark, sf_dir)))
+
+
+@register("attribution_local_reasons")
+def attribution_local_reasons(spark, sf_dir):
+    """Top-5 reason codes per explained customer with direction, and
+    X5 additivity error alongside."""
+    phi = _attribution(spark, sf_dir)
+    err = attribution.additivity_error(phi)
+    local = attribution.local_reasons(phi)
+    return _round_all(local.withColumn("additivity_mean_absolute_error",
+                                       err.select("additivity_mean_absolute_error").scalar()),
+                      skip=("additivity_mean_absolute_error",))
