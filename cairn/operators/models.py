@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -125,7 +126,8 @@ class CalibratedClassifier:
     def fit(self, train: DataFrame, id_cols: Sequence[str]) -> CalibratedClassifier:
         fold = F.pmod(F.xxhash64(*id_cols, F.lit(SEED)), F.lit(self.folds))
         tagged = train.withColumn("_fold", fold)
-        for k in range(self.folds):
+
+        def one(k: int) -> tuple[PipelineModel, PipelineModel]:
             fit_part = tagged.filter(F.col("_fold") != k)
             held = tagged.filter(F.col("_fold") == k)
             model = self.base.fit(fit_part)
@@ -134,7 +136,11 @@ class CalibratedClassifier:
                 VectorAssembler(inputCols=["_logit"], outputCol="features"),
                 LogisticRegression(labelCol="label", regParam=0.0, maxIter=100),
             ]).fit(logits)
-            self.members.append((model, sigmoid))
+            return model, sigmoid
+
+        # the folds are independent Spark jobs: submit them concurrently
+        with ThreadPoolExecutor(max_workers=self.folds) as pool:
+            self.members = list(pool.map(one, range(self.folds)))
         return self
 
     def predict(self, df: DataFrame, out: str = "p") -> DataFrame:
@@ -164,17 +170,22 @@ def compare_classifiers(train: DataFrame, test: DataFrame, spec: ClassifierSpec
     holdout; comparison rows ordered by selection score."""
     spec = spec or ClassifierSpec()
     n_train = float(train.count())
-    cands = classifier_candidates(spec, n_train)
-    fitted, rows = {}, None
-    for name, pipe in cands.items():
-        if names is not None and name not in names:
-            continue
+    cands = {k: v for k, v in classifier_candidates(spec, n_train).items() if names is None or k in names}
+
+    def one(item):
+        name, pipe = item
         model = pipe.fit(train)
-        fitted[name] = model
         thr = float(metrics.optimal_f1_threshold(positive_probability(model, train).withColumnRenamed("label", "y"))
                     .first()["threshold"])
         test_p = positive_probability(model, test).withColumnRenamed("label", "y")
-        row = metrics.classification_metrics(test_p, thr).withColumn("model", F.lit(name))
+        return name, model, metrics.classification_metrics(test_p, thr).withColumn("model", F.lit(name))
+
+    # candidates are independent Spark jobs: fit them concurrently
+    with ThreadPoolExecutor(max_workers=len(cands)) as pool:
+        results = list(pool.map(one, cands.items()))
+    fitted, rows = {}, None
+    for name, model, row in results:
+        fitted[name] = model
         rows = row if rows is None else rows.unionByName(row)
     rows = rows.withColumn("selection_score", metrics.selection_score_classifier(
         F.col("roc_auc"), F.col("pr_auc"), F.col("brier_score")))
@@ -185,15 +196,20 @@ def compare_regressors(train: DataFrame, test: DataFrame, spec: RegressorSpec |
                        names: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, PipelineModel]]:
     spec = spec or RegressorSpec()
     n_train = float(train.count())
-    fitted, rows = {}, None
-    for name, pipe in regressor_candidates(spec, n_train).items():
-        if names is not None and name not in names:
-            continue
+    cands = {k: v for k, v in regressor_candidates(spec, n_train).items() if names is None or k in names}
+
+    def one(item):
+        name, pipe = item
         model = pipe.fit(train)
-        fitted[name] = model
         pred = model.transform(test).select("customer_id", F.col("label").alias("y"),
                                             F.col("prediction").alias("yhat"))
-        row = metrics.regression_metrics(pred).withColumn("model", F.lit(name))
+        return name, model, metrics.regression_metrics(pred).withColumn("model", F.lit(name))
+
+    with ThreadPoolExecutor(max_workers=len(cands)) as pool:
+        results = list(pool.map(one, cands.items()))
+    fitted, rows = {}, None
+    for name, model, row in results:
+        fitted[name] = model
         rows = row if rows is None else rows.unionByName(row)
     rows = rows.withColumn("selection_score", metrics.selection_score_regressor(
         F.col("normalized_mae"), F.col("spearman_correlation"), F.col("r2")))

@@ -296,8 +296,8 @@ from ..session import ensure_checkpoint_dir  # noqa: E402
 
 def _churn_train_test(spark, sf_dir):
     train, hold = churn_frames(spark, sf_dir)
-    train = models.add_balanced_weights(models.prepare(train, "y"))
-    test = models.prepare(hold, "y").withColumn("weight", F.lit(1.0))
+    train = models.add_balanced_weights(models.prepare(train, "y").drop("y", "p"))
+    test = models.prepare(hold, "y").drop("y", "p").withColumn("weight", F.lit(1.0))
     return materialize(train), materialize(test)
 
 
