@@ -201,3 +201,77 @@ def scoring_contract_batch(spark, sf_dir):
     scored = accepted.select("customer_id", rule_churn_probability().alias("churn_probability"),
                              rule_value_prediction().alias("predicted_clv_12m"))
     return scoring.band_scores(scored, threshold=0.5, snapshot_date=ANALYSIS_DATE)
+
+
+# ---- sources, sinks and streaming ------------------------------------------------------
+from ..sources import files  # noqa: E402
+from ..sources.adapter import canonical  # noqa: E402
+
+
+@register("table_row_counts", """
+SELECT 'customers' AS "table", COUNT(*) AS rows FROM cust
+UNION ALL SELECT 'products', COUNT(*) FROM part
+UNION ALL SELECT 'orders', COUNT(*) FROM ford
+UNION ALL SELECT 'order_lines', COUNT(*) FROM oline
+UNION ALL SELECT 'interactions', COUNT(*) FROM inter
+""")
+def table_row_counts(spark, sf_dir):
+    """Row counts of the published canonical tables."""
+    c = canonical(spark, sf_dir)
+    return files.row_counts({"customers": c.customers(), "products": c.products(), "orders": c.orders(),
+                             "order_lines": c.order_lines(), "interactions": c.interactions()})
+
+
+def _scratch(spark, name: str, sf_dir: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{abs(hash(sf_dir))}-{uuid.uuid4().hex[:8]}"
+
+
+@register("csv_roundtrip_orders", """
+SELECT order_id, customer_id, order_date, channel, primary_category, item_count, gross_revenue,
+       discount_amount, returned_amount, net_revenue, gross_margin, returned_flag
+FROM ford
+""")
+def csv_roundtrip_orders(spark, sf_dir):
+    """Orders written as header CSV with ISO dates and read back
+    with the declared schema (only empty fields are null)."""
+    orders = canonical(spark, sf_dir).orders()
+    path = _scratch(spark, "csv-orders", sf_dir)
+    files.write_csv(orders, path)
+    return files.read_csv(spark, path, orders.schema)
+
+
+@register("stream_scoring", S.snapshot_sql([ANALYSIS_DATE], name="prod") + """
+, sc AS (
+  SELECT customer_id,
+    LEAST(GREATEST(CAST(recency_days AS DOUBLE) / (CAST(recency_days AS DOUBLE) + 120.0), 0.02), 0.98) AS p,
+    GREATEST(GREATEST(0.0, 0.9 * CAST(gross_margin_12m AS DOUBLE) + 12.0 * CAST(sessions_90d AS DOUBLE)), 0.0) AS v
+  FROM prod
+)
+SELECT customer_id, ROUND(p, 6) AS churn_probability,
+  CASE WHEN p < 0.35 THEN 'Low' WHEN p < 0.55 THEN 'Medium' WHEN p < 0.72 THEN 'High' ELSE 'Critical' END AS churn_risk_band,
+  CAST(ROUND(CAST(v AS DECIMAL(18,6)), 2) AS DOUBLE) AS predicted_clv_12m,
+  CASE WHEN v < 500 THEN 'Low' WHEN v < 1500 THEN 'Developing' WHEN v < 3500 THEN 'High' ELSE 'Strategic' END AS clv_band,
+  0.5 AS decision_threshold, '""" + ANALYSIS_DATE + """' AS model_snapshot
+FROM sc
+""")
+def stream_scoring(spark, sf_dir):
+    """M15 re-aimed: Structured Streaming over feature files (foreachBatch, idempotent
+    per-batch partitions), the same contract and bands as batch scoring."""
+    from ..operators.scores import rule_churn_probability, rule_value_prediction
+    from ..streaming.scoring import read_scored, start_scoring_stream
+
+    snap = production(spark, sf_dir).snapshot
+    base = _scratch(spark, "stream", sf_dir)
+    feats = snap.select("customer_id", *FEATURE_COLUMNS)
+    feats.write.mode("overwrite").parquet(f"{base}/source")
+    q = start_scoring_stream(
+        spark, f"{base}/source", feats.schema, f"{base}/sink", f"{base}/checkpoint",
+        scorer=lambda d: d.select("customer_id", rule_churn_probability().alias("churn_probability"),
+                                  rule_value_prediction().alias("predicted_clv_12m")),
+        threshold=0.5, snapshot_date=ANALYSIS_DATE, max_files_per_trigger=2)
+    q.awaitTermination()
+    return read_scored(spark, f"{base}/sink").drop("batch_id")
