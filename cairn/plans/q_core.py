@@ -37,6 +37,7 @@ SELECT order_line_id, order_id, customer_id, order_date, product_id, category, q
 FROM oline
 """)
 def adapter_order_lines(spark, sf_dir):
+    """Line economics of every order line with its built line key."""
     return canonical(spark, sf_dir).order_lines().drop("line_seq", "channel")
 
 
@@ -44,6 +45,7 @@ def adapter_order_lines(spark, sf_dir):
 SELECT customer_id, month, sessions, email_sent, email_opens, email_clicks, support_tickets FROM inter
 """)
 def adapter_interactions(spark, sf_dir):
+    """Monthly interaction facts (customer x month-end) from the event stream."""
     return canonical(spark, sf_dir).interactions().drop("nps_score")
 
 
