@@ -245,3 +245,40 @@ def qcut_rank_bin(rn: Column, n: Column, q: int) -> Column:
     den = n - F.lit(1)
     ceil_div = F.when(den > 0, F.floor((num + den - F.lit(1)) / den)).otherwise(F.lit(0))
     return F.greatest(F.lit(0), ceil_div - F.lit(1)).cast("int")
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    partition_by: Sequence[str] = (),
+    nb: int | None = None,
+) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy / ``quantile_cont`` semantics) per
+    group, without holding a group's values in one task.
+
+    The distributed prefix counts locate, for each probability, the sorted positions
+    floor(q * (n - 1)) and ceil(q * (n - 1)); only the few distinct values covering
+    those positions survive a filter.  Returns (partition_by..., ``_q`` array of doubles).
+    """
+    part = list(partition_by)
+    d = value_prefix(df.select(*part, F.col(value).cast("double").alias(value)), value, partition_by=part, nb=nb)
+    pos = [F.lit(float(q)) * (F.col("_n") - 1) for q in probs]
+    targets = F.array(*[F.floor(p) for p in pos] + [F.ceil(p) for p in pos])
+    covers = F.exists(targets, lambda i: (i >= F.col("_before")) & (i < F.col("_before") + F.col("_cnt")))
+    # at most 2 * len(probs) rows per group survive
+    hits = d.filter(covers).groupBy(*part).agg(
+        F.first("_n").alias("_n"),
+        F.collect_list(F.struct(F.col("_before").alias("b"), F.col("_cnt").alias("c"), F.col(value).alias("v")))
+        .alias("_runs"),
+    )
+
+    def at(i):
+        found = F.filter(F.col("_runs"), lambda r: (i >= r["b"]) & (i < r["b"] + r["c"]))
+        return found[0]["v"]
+
+    qs = []
+    for p in pos:
+        lo, hi = at(F.floor(p)), at(F.ceil(p))
+        qs.append(lo + (p - F.floor(p)) * (hi - lo))
+    return hits.select(*part, F.array(*qs).alias("_q"))

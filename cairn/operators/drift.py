@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS, PSI_STABLE_BELOW, PSI_WATCH_BELOW
+from ..functions.ranking import exact_quantiles
 from .contracts import check_psi_inputs
 
 PCT_FLOOR = 1e-6
@@ -32,12 +33,15 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, features: Sequence[
     probs = [i / bins for i in range(bins + 1)]
     ref = to_long(reference, features)
     cur = to_long(current, features)
-    pct = F.percentile if exact else F.percentile_approx
-    edges = ref.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(pct("value", F.array(*[F.lit(p) for p in probs])))).alias("_e"),
-        F.count(F.lit(1)).alias("_nref"),
-        F.avg("value").alias("reference_mean"),
-    )
+    stats = ref.groupBy("feature").agg(F.count(F.lit(1)).alias("_nref"), F.avg("value").alias("reference_mean"))
+    if exact:
+        # distributed exact quantiles: no feature's values are gathered into one task
+        q = exact_quantiles(ref, "value", probs, partition_by=["feature"])
+    else:
+        q = ref.groupBy("feature").agg(F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), 10000)
+                                       .cast("array<double>").alias("_q"))
+    edges = stats.join(q, "feature").select(
+        "feature", "_nref", "reference_mean", F.array_sort(F.array_distinct("_q")).alias("_e"))
     # interior edges (drop the two ends, which become -inf / +inf)
     edges = edges.select(
         "feature", "_nref", "reference_mean",

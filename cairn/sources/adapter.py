@@ -80,7 +80,7 @@ class Canonical:
         cust = read_table(self.spark, self.sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
         nation = read_table(self.spark, self.sf_dir, "nation", ["n_nationkey", "n_regionkey"])
         region = read_table(self.spark, self.sf_dir, "region", ["r_regionkey", "r_name"])
-        geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+        geo = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
             "n_nationkey", "r_name"
         )
         first = (
