@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CLV_QUARTILE_LABELS, RISK_BAND_EDGES, RISK_BAND_TOP
 from ..functions.exprs import clip, right_closed_band
-from ..functions.ranking import avg_rank_pct, ordered_running, qcut_rank_bin
+from ..functions.ranking import avg_rank_pct, avg_rank_pcts, ordered_running, qcut_rank_bin
 
 
 def rule_churn_probability() -> Column:
@@ -55,11 +55,20 @@ def value_score_table(scored: DataFrame, pred_col: str = "predicted_clv_12m") ->
 
 
 def rule_scores(snapshot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(value_scores, churn_scores) from the closed-form scorers."""
+    """(value_scores, churn_scores) from the closed-form scorers; both percentiles come
+    from one materialized input and one edge job."""
     s = snapshot.select(
         "customer_id",
         "snapshot_date",
         rule_churn_probability().alias("churn_probability"),
-        rule_value_prediction().alias("predicted_clv_12m"),
+        F.greatest(rule_value_prediction(), F.lit(0.0)).alias("predicted_clv_12m"),
     )
-    return value_score_table(s), churn_score_table(s)
+    ranked = avg_rank_pcts(s, {"churn_probability": "risk_percentile", "predicted_clv_12m": "clv_percentile"})
+    ranked = ordered_running(ranked, [("predicted_clv_12m", True)], "customer_id")
+    label = F.element_at(F.array(*[F.lit(x) for x in CLV_QUARTILE_LABELS]),
+                         qcut_rank_bin(F.col("_rn"), F.col("_n"), 4) + 1)
+    ranked = ranked.withColumn("clv_band", label)
+    value = ranked.select("customer_id", "snapshot_date", "predicted_clv_12m", "clv_percentile", "clv_band")
+    churn = ranked.select("customer_id", "snapshot_date", "churn_probability", "risk_percentile",
+                          right_closed_band("churn_probability", RISK_BAND_EDGES, RISK_BAND_TOP).alias("risk_band"))
+    return value, churn

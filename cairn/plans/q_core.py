@@ -72,8 +72,9 @@ FROM per
 """)
 def rfm_segment_summary(spark, sf_dir):
     """Flagship: RFM at the analysis date rolled up by segment."""
-    c = canonical(spark, sf_dir)
-    return rfm.segment_rollup(rfm.calculate_rfm(c.customers(), c.orders(), ANALYSIS_DATE))
+    from .q_decision import production
+
+    return rfm.segment_rollup(production(spark, sf_dir).rfm)
 
 
 COHORT_SQL = """
@@ -170,9 +171,9 @@ _CLV_CUTS = CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF]
           S.snapshot_sql(_CHURN_CUTS, churn_h=CHURN_HORIZON_DAYS) + "SELECT " + S.SNAPSHOT_OUT + ", churn_90d FROM snap")
 def churn_training_snapshots(spark, sf_dir):
     """3 training cutoffs + holdout in one pass, churn label."""
-    c = canonical(spark, sf_dir)
-    return _snapshot_out(snapshot.build_snapshots(
-        c.customers(), c.orders(), c.interactions(), _CHURN_CUTS, churn_horizon=CHURN_HORIZON_DAYS))
+    from .q_models import labelled_snapshots
+
+    return _snapshot_out(labelled_snapshots(spark, sf_dir, "churn"))
 
 
 @register("clv_training_snapshots",
@@ -180,6 +181,6 @@ def churn_training_snapshots(spark, sf_dir):
           + ", future_gross_margin, future_revenue, future_orders FROM snap")
 def clv_training_snapshots(spark, sf_dir):
     """4 training cutoffs + holdout, future margin/revenue/orders."""
-    c = canonical(spark, sf_dir)
-    return _snapshot_out(snapshot.build_snapshots(
-        c.customers(), c.orders(), c.interactions(), _CLV_CUTS, clv_horizon=CLV_HORIZON_DAYS))
+    from .q_models import labelled_snapshots
+
+    return _snapshot_out(labelled_snapshots(spark, sf_dir, "clv"))

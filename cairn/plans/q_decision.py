@@ -44,11 +44,12 @@ class Production:
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return materialize(rfm.calculate_rfm(self.customers, self.orders, ANALYSIS_DATE, validate=False))
+        return materialize(rfm.calculate_rfm(self.customers, self.orders, ANALYSIS_DATE, validate=True))
 
     @cached_property
     def _scores(self) -> tuple[DataFrame, DataFrame]:
-        return tuple(materialize(t) for t in scores.rule_scores(self.snapshot))
+        value, churn = scores.rule_scores(self.snapshot)
+        return materialize(value), materialize(churn)
 
     @property
     def clv(self) -> DataFrame:

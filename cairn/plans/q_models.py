@@ -18,11 +18,42 @@ from .catalog import register
 CHURN_CUTS = CHURN_TRAIN_CUTOFFS + [CHURN_HOLDOUT_CUTOFF]
 
 
+_CHURN_FRAMES: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
 def churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(training rows, holdout rows) with y = churn_90d and p = rule churn score."""
-    c = canonical(spark, sf_dir)
-    snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), CHURN_CUTS,
-                                     churn_horizon=CHURN_HORIZON_DAYS)
+    """(training rows, holdout rows) with y = churn_90d and p = rule churn score; built
+    once per session (one pass over the facts for the four cutoffs) and materialized."""
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+    if key not in _CHURN_FRAMES:
+        _CHURN_FRAMES[key] = _build_churn_frames(spark, sf_dir)
+    return _CHURN_FRAMES[key]
+
+
+_SNAPS: dict[tuple, DataFrame] = {}
+
+
+def labelled_snapshots(spark, sf_dir, kind: str) -> DataFrame:
+    """Session-wide materialized multi-cutoff snapshots with labels: ``churn`` (three
+    training cutoffs + holdout, 90-day label) or ``clv`` (four + holdout, 365-day
+    value label); one pass over the facts each."""
+    from ..constants import CLV_TRAIN_CUTOFFS
+
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"), kind)
+    if key not in _SNAPS:
+        c = canonical(spark, sf_dir)
+        if kind == "churn":
+            snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), CHURN_CUTS,
+                                             churn_horizon=CHURN_HORIZON_DAYS)
+        else:
+            snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(),
+                                             CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF], clv_horizon=CLV_HORIZON_DAYS)
+        _SNAPS[key] = materialize(snaps)
+    return _SNAPS[key]
+
+
+def _build_churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    snaps = labelled_snapshots(spark, sf_dir, "churn")
     scored = materialize(snaps.select(
         "customer_id", "snapshot_date", "region", "age_band", F.col("churn_90d").alias("y"),
         scores.rule_churn_probability().alias("p"), *FEATURE_COLUMNS))
@@ -192,9 +223,8 @@ FROM ag
 """)
 def clv_holdout_metrics(spark, sf_dir):
     """Value-model metrics on predictions clipped at zero."""
-    c = canonical(spark, sf_dir)
-    snap = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [CLV_HOLDOUT_CUTOFF],
-                                    clv_horizon=CLV_HORIZON_DAYS)
+    snap = labelled_snapshots(spark, sf_dir, "clv").filter(
+        F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date"))
     scored = snap.select("customer_id", F.col("future_gross_margin").cast("double").alias("y"),
                          scores.rule_value_prediction().alias("yhat"))
     return _round_all(metrics.regression_metrics(scored))
@@ -342,11 +372,7 @@ def churn_model_scores(spark, sf_dir):
 def clv_model_comparison(spark, sf_dir):
     """Ridge, random forest and boosted-tree regressors of the
     12-month margin, evaluated on the holdout cutoff."""
-    c = canonical(spark, sf_dir)
-    from ..constants import CLV_TRAIN_CUTOFFS
-
-    snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(),
-                                     CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF], clv_horizon=CLV_HORIZON_DAYS)
+    snaps = labelled_snapshots(spark, sf_dir, "clv")
     data = materialize(models.prepare(snaps, "future_gross_margin"))
     hold = F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date")
     rows, _ = models.compare_regressors(data.filter(~hold), data.filter(hold))
