@@ -136,14 +136,28 @@ class Canonical:
         lines = li.join(bounded_broadcast(part), li.l_partkey == part.p_partkey, "inner").join(
             orders, li.l_orderkey == orders.o_orderkey, "inner"
         )
+        # the line order within an order, partitioned by the output key so the order
+        # rollup downstream reuses this exchange; the line economics are computed after
+        # the exchange, so they run in parallel tasks even when a scan is one split
+        staged = lines.select(
+            F.col("l_orderkey").alias("order_id"),
+            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_returnflag", "l_shipdate", "o_custkey", "o_orderdate", "o_orderpriority", "p_type",
+        )
+        seq = F.row_number().over(
+            Window.partitionBy("order_id").orderBy(
+                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
+            )
+        )
+        staged = staged.withColumn("line_seq", seq)
         # precisions stay <= 18 so decimal arithmetic runs on longs, not BigDecimal
         gross = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.lit(REVENUE_SCALE), 2).cast("decimal(12,2)")
         rate = F.col("l_discount").cast("decimal(5,4)")
         returned = F.col("l_returnflag") == F.lit("R")
         cost_rate = (F.lit(69) - F.pmod(F.col("l_partkey"), F.lit(28))).cast("decimal(4,0)") * F.lit(Decimal("0.01"))
-        out = lines.select(
-            F.col("l_orderkey").alias("order_id"),
-            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
+        out = staged.select(
+            "order_id",
+            "line_seq",
             F.col("o_custkey").alias("customer_id"),
             F.to_date("o_orderdate").alias("order_date"),
             _case(F.col("o_orderpriority"), ORDER_CHANNEL_BY_PRIORITY, ORDER_CHANNEL_DEFAULT).alias("channel"),
@@ -165,15 +179,6 @@ class Canonical:
             F.round(F.col("gross_revenue").cast("decimal(12,2)") * F.col("_cost_rate"), 2).cast(MONEY)
         )
         out = out.withColumn("gross_margin", (F.col("net_revenue") - cost).cast(MONEY)).drop("_cost_rate")
-        # the line order within an order; partitioned by the output key so the order
-        # rollup downstream reuses this exchange
-        seq = F.row_number().over(
-            Window.partitionBy("order_id").orderBy(
-                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-            )
-        )
-        out = out.withColumn("line_seq", seq).drop("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                                                    "l_shipdate")
         return out.withColumn(
             "order_line_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_seq").cast("string"))
         )
