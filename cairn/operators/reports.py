@@ -233,3 +233,46 @@ def recent_cohort_matrix(cohort_long: DataFrame, last: int = 24, lags: int = 13,
                           .otherwise(0).alias("highlighted"))
     return wide.join(flags, "cohort_month").select(
         "cohort_month", *[r6(F.col(str(i))).alias(f"M{i}") for i in range(lags)], "highlighted")
+
+
+# --- fixed values: business display names of the 360 export ------------------------
+BUSINESS_NAMES = {
+    "customer_id": "Customer ID",
+    "rfm_segment": "RFM Segment",
+    "risk_band": "Risk Band",
+    "clv_band": "CLV Band",
+    "monetary_12m": "Net Revenue 12M",
+    "predicted_clv_12m": "Predicted CLV 12M",
+    "churn_probability": "Churn Probability",
+    "recommended_action": "Recommended Action",
+}
+
+
+def business_export(c360: DataFrame) -> DataFrame:
+    """Business column names plus display strings for money (thousands
+    separators, whole units) and percentages (one decimal); values are rounded
+    half-up as exact decimals before formatting."""
+    money = F.format_number(F.round(F.col("monetary_12m").cast("decimal(18,2)"), 0), 0)
+    clv = F.format_number(F.round(F.col("predicted_clv_12m").cast("decimal(18,6)"), 0), 0)
+    pct = F.concat(F.format_number(F.round(F.col("churn_probability").cast("decimal(18,6)") * 100, 1), 1), F.lit("%"))
+    out = c360.select(*BUSINESS_NAMES, money.alias("_money"), clv.alias("_clv"), pct.alias("_pct"))
+    out = out.withColumn("predicted_clv_12m", r6("predicted_clv_12m")).withColumn(
+        "churn_probability", r6("churn_probability"))
+    return out.withColumnsRenamed({**BUSINESS_NAMES, "_money": "Net Revenue 12M (display)",
+                                   "_clv": "Predicted CLV 12M (display)", "_pct": "Churn Probability (display)"})
+
+
+def worst_drift_feature(report: DataFrame) -> DataFrame:
+    """The feature with the largest PSI (ties by name)."""
+    return report.orderBy(F.col("psi").desc(), F.col("feature")).limit(1)
+
+
+def top_risk_drilldown(c360: DataFrame, reasons: DataFrame) -> DataFrame:
+    """The riskiest customer's reason codes; when that customer was not explained,
+    fall back to the first explained customer (smallest id).  Both picks are scalar
+    subqueries (top-1 and min), no join of the two tables."""
+    explained = reasons.select("customer_id").distinct()
+    top = c360.orderBy(F.col("churn_probability").desc(), F.col("customer_id")).limit(1).select("customer_id")
+    top_explained = top.join(explained, "customer_id", "left_semi").select(F.max("customer_id")).scalar()
+    first = reasons.select(F.min("customer_id")).scalar()
+    return reasons.filter(F.col("customer_id") == F.coalesce(top_explained, first))

@@ -429,3 +429,28 @@ def attribution_local_reasons(spark, sf_dir):
     return _round_all(local.withColumn("additivity_mean_absolute_error",
                                        err.select("additivity_mean_absolute_error").scalar()),
                       skip=("additivity_mean_absolute_error",))
+
+
+@register("worst_drift_feature", CHURN_SCORED_SQL + _psi_sql().replace(
+    "SELECT feature, ROUND(psi, 6) AS psi,", "SELECT * FROM (SELECT feature, ROUND(psi, 6) AS psi,", 1)
+    + ") ORDER BY psi DESC, feature LIMIT 1")
+def worst_drift_feature(spark, sf_dir):
+    """The feature with the largest PSI."""
+    from ..operators.reports import worst_drift_feature as worst
+
+    return worst(drift_monitoring(spark, sf_dir))
+
+
+@register("top_risk_drilldown")
+def top_risk_drilldown(spark, sf_dir):
+    """Reason codes of the riskiest customer (fallback: first explained customer)."""
+    from ..operators.reports import top_risk_drilldown as drill
+
+    phi = _attribution(spark, sf_dir)
+    reasons = attribution.local_reasons(phi)
+    c = canonical(spark, sf_dir)
+    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    from ..operators.scores import rule_churn_probability
+
+    c360 = prod.select("customer_id", rule_churn_probability().alias("churn_probability"))
+    return _round_all(drill(c360, reasons))

@@ -398,4 +398,20 @@ def recent_cohort_matrix(spark, sf_dir):
     return reports.recent_cohort_matrix(cohort.cohort_retention_long(canonical(spark, sf_dir).orders()))
 
 
+
+@register("bi_customer_export", CHAIN + """
+SELECT customer_id AS "Customer ID", rfm_segment AS "RFM Segment", risk_band AS "Risk Band", clv_band AS "CLV Band",
+  monetary_12m AS "Net Revenue 12M", ROUND(predicted_clv_12m, 6) AS "Predicted CLV 12M",
+  ROUND(churn_probability, 6) AS "Churn Probability", recommended_action AS "Recommended Action",
+  format('{:,}', CAST(ROUND(CAST(monetary_12m AS DECIMAL(18,2)), 0) AS BIGINT)) AS "Net Revenue 12M (display)",
+  format('{:,}', CAST(ROUND(CAST(predicted_clv_12m AS DECIMAL(18,6)), 0) AS BIGINT)) AS "Predicted CLV 12M (display)",
+  format('{:.1f}', CAST(ROUND(CAST(churn_probability AS DECIMAL(18,6)) * 100, 1) AS DOUBLE)) || '%'
+    AS "Churn Probability (display)"
+FROM c360
+""")
+def bi_customer_export(spark, sf_dir):
+    """Business renames and display formatting of the 360 export."""
+    return reports.business_export(_c360(spark, sf_dir))
+
+
 _ = (Window, F)
