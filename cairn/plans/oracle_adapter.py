@@ -34,6 +34,9 @@ oline_a AS (
          CAST(l.l_discount AS DECIMAL(10,4)) AS discount_rate,
          CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.02, 2) AS DECIMAL(16,2)) AS gross_revenue,
          CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS returned_flag,
+         CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-' || CAST(l.l_partkey AS VARCHAR)
+           || '-' || CAST(l.l_suppkey AS VARCHAR) || '-' || CAST(CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) AS VARCHAR)
+           || '-' || strftime(l.l_shipdate, '%Y%m%d') AS order_line_id,
          CAST(69 - l.l_partkey % 28 AS DECIMAL(4,0)) * 0.01 AS cost_rate
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
@@ -55,7 +58,7 @@ oline AS (
          CAST(net_revenue - CASE WHEN returned_flag = 1 THEN CAST(0 AS DECIMAL(16,2))
                                  ELSE CAST(ROUND(gross_revenue * cost_rate, 2) AS DECIMAL(16,2)) END
               AS DECIMAL(16,2)) AS gross_margin,
-         CAST(order_id AS VARCHAR) || '-' || CAST(line_seq AS VARCHAR) AS order_line_id
+         order_line_id
   FROM oline_d
 ),
 ford_cat AS (

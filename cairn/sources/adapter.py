@@ -8,7 +8,7 @@ Canonical tables (money is exact DECIMAL(16,2)):
 
 * ``customers``    customer_id, acquisition_date, region, age_band, loyalty_tier,
                    preferred_channel, marketing_consent
-* ``order_lines``  order_line_id, line_seq, order_id, customer_id, order_date, product_id,
+* ``order_lines``  order_line_id, line_order, order_id, customer_id, order_date, product_id,
                    category, quantity, discount_rate, gross_revenue, discount_amount,
                    returned_flag, returned_amount, net_revenue, gross_margin
 * ``orders``       order_id, customer_id, order_date, channel, primary_category,
@@ -136,28 +136,31 @@ class Canonical:
         lines = li.join(bounded_broadcast(part), li.l_partkey == part.p_partkey, "inner").join(
             orders, li.l_orderkey == orders.o_orderkey, "inner"
         )
-        # the line order within an order, partitioned by the output key so the order
-        # rollup downstream reuses this exchange; the line economics are computed after
-        # the exchange, so they run in parallel tasks even when a scan is one split
+        # No window over an order: a line is identified by its natural key (order,
+        # line number, part, supplier, price, ship date) and "first seen" is the minimum
+        # of that key, so a huge order never lands whole in one task.
         staged = lines.select(
             F.col("l_orderkey").alias("order_id"),
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
             "l_returnflag", "l_shipdate", "o_custkey", "o_orderdate", "o_orderpriority", "p_type",
         )
-        seq = F.row_number().over(
-            Window.partitionBy("order_id").orderBy(
-                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-            )
-        )
-        staged = staged.withColumn("line_seq", seq)
         # precisions stay <= 18 so decimal arithmetic runs on longs, not BigDecimal
         gross = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.lit(REVENUE_SCALE), 2).cast("decimal(12,2)")
         rate = F.col("l_discount").cast("decimal(5,4)")
         returned = F.col("l_returnflag") == F.lit("R")
         cost_rate = (F.lit(69) - F.pmod(F.col("l_partkey"), F.lit(28))).cast("decimal(4,0)") * F.lit(Decimal("0.01"))
+        line_order = F.struct(
+            F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
+            F.col("l_extendedprice").alias("x"), F.col("l_shipdate").alias("d"))
+        line_id = F.concat_ws(
+            "-", F.col("order_id").cast("string"), F.col("l_linenumber").cast("string"),
+            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"),
+            F.date_format("l_shipdate", "yyyyMMdd"))
         out = staged.select(
             "order_id",
-            "line_seq",
+            line_id.alias("order_line_id"),
+            line_order.alias("line_order"),
             F.col("o_custkey").alias("customer_id"),
             F.to_date("o_orderdate").alias("order_date"),
             _case(F.col("o_orderpriority"), ORDER_CHANNEL_BY_PRIORITY, ORDER_CHANNEL_DEFAULT).alias("channel"),
@@ -178,28 +181,26 @@ class Canonical:
         cost = F.when(F.col("returned_flag") == 1, F.lit(0).cast(MONEY)).otherwise(
             F.round(F.col("gross_revenue").cast("decimal(12,2)") * F.col("_cost_rate"), 2).cast(MONEY)
         )
-        out = out.withColumn("gross_margin", (F.col("net_revenue") - cost).cast(MONEY)).drop("_cost_rate")
-        return out.withColumn(
-            "order_line_id", F.concat(F.col("order_id").cast("string"), F.lit("-"), F.col("line_seq").cast("string"))
-        )
+        return out.withColumn("gross_margin", (F.col("net_revenue") - cost).cast(MONEY)).drop("_cost_rate")
 
     def orders(self, lines: DataFrame | None = None) -> DataFrame:
         """Line -> order rollup with the first-seen mode of the category.
 
-        Both aggregation levels are keyed by ``order_id`` first, so they reuse the
-        hash partitioning of the line join (no extra exchange).
+        Two aggregation levels keyed by ``order_id`` first (partial aggregation, so a
+        huge order is combined map-side); no window.
         """
         lines = lines if lines is not None else self.order_lines()
         head = ["order_id", "customer_id", "order_date", "channel"]
         sums = ["gross_revenue", "discount_amount", "returned_amount", "net_revenue", "gross_margin"]
         per_cat = lines.groupBy(*head, "category").agg(
             F.count(F.lit(1)).alias("_lines"),
-            F.min("line_seq").alias("_first"),
+            F.min("line_order").alias("_first"),
             F.sum("quantity").alias("_qty"),
             *[F.sum(s).alias(s) for s in sums],
         )
         return per_cat.groupBy(*head).agg(
-            F.max_by("category", F.struct(F.col("_lines"), -F.col("_first"))).alias("primary_category"),
+            # most lines first, then the category seen first
+            F.min_by("category", F.struct(-F.col("_lines"), F.col("_first"))).alias("primary_category"),
             F.sum("_qty").cast("int").alias("item_count"),
             *[F.sum(s).cast(MONEY).alias(s) for s in sums],
         ).select(
