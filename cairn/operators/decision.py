@@ -163,3 +163,40 @@ def summarize_segments(c360: DataFrame) -> DataFrame:
         "customer_share": F.col("customers") / F.sum("customers").over(everything),
         "revenue_share": F.col("revenue_12m").cast("double") / F.sum("revenue_12m").over(everything).cast("double"),
     })
+
+
+# --- fixed value: campaign code of each action, used to vary the sampling stream ------
+ACTION_CODE = {"VIP Experience": 1, "Retain & Reward": 2, "Win-Back": 3, "Cross-Sell": 4, "Onboarding": 5,
+               "Nurture": 6}
+_HASH_MULT = 2654435761   # Knuth multiplicative constant
+_HASH_MOD = 4294967296    # 2^32
+
+
+def uniform_from_key(key: Column, stream: Column, seed: int) -> Column:
+    """Repeatable uniform in (0, 1) from integer keys (pure integer arithmetic, so any
+    engine reproduces it)."""
+    mixed = F.pmod(key * F.lit(_HASH_MULT) + stream * F.lit(97_531) + F.lit(seed), F.lit(_HASH_MOD))
+    return (mixed.cast("double") + F.lit(0.5)) / F.lit(float(_HASH_MOD))
+
+
+def weighted_contact_sample(targets: DataFrame, acquisition: DataFrame, analysis_date: str, cap: int = 1500,
+                            seed: int = 20260727, weight: str = "priority_score") -> DataFrame:
+    """Per campaign (action), a weighted sample without replacement of consented
+    customers acquired by ``analysis_date``: key = ln(u) / w (the order of u^(1/w)),
+    the ``min(cap, group size)`` largest keys are drawn (ties by id).  The per-group top-n
+    runs on the distributed ordered helper, so a campaign holding most customers is not
+    sorted in one task; the cap is the feature of the operator.
+    """
+    from ..functions.ranking import ordered_running
+
+    code = lookup("recommended_action", ACTION_CODE, 0)
+    base = (targets.filter((F.col("marketing_consent") == 1) & (F.col("recommended_action") != "Suppress")
+                           & (F.col(weight) > 0))
+            .join(acquisition.select("customer_id", "acquisition_date"), "customer_id")
+            .filter(F.col("acquisition_date") <= F.lit(analysis_date).cast("date")))
+    u = uniform_from_key(F.col("customer_id"), code, seed)
+    keyed = base.select("customer_id", "recommended_action", F.col(weight).alias("weight"),
+                        (F.log(u) / F.col(weight)).alias("sample_key"))
+    ranked = ordered_running(keyed, [("sample_key", False)], "customer_id", partition_by=["recommended_action"])
+    return ranked.filter(F.col("_rn") <= F.lit(cap)).select(
+        "recommended_action", "customer_id", "weight", "sample_key", F.col("_rn").alias("draw_order"))

@@ -194,3 +194,32 @@ def segment_summary(spark, sf_dir):
     })
     return _round(out, ["predicted_clv_12m", "average_churn_probability", "average_order_value",
                         "expected_incremental_margin", "customer_share", "revenue_share"])
+
+
+@register("campaign_contact_sample", S.c360_chain(CAMPAIGN_BUDGET) + """
+, base AS (
+  SELECT t.customer_id, t.recommended_action, t.priority_score AS weight,
+    CASE t.recommended_action WHEN 'VIP Experience' THEN 1 WHEN 'Retain & Reward' THEN 2 WHEN 'Win-Back' THEN 3
+      WHEN 'Cross-Sell' THEN 4 WHEN 'Onboarding' THEN 5 WHEN 'Nurture' THEN 6 ELSE 0 END AS code
+  FROM targets t JOIN cust c ON t.customer_id = c.customer_id
+  WHERE t.marketing_consent = 1 AND t.recommended_action <> 'Suppress' AND t.priority_score > 0
+    AND c.acquisition_date <= DATE '""" + ANALYSIS_DATE + """'
+)
+, keyed AS (
+  SELECT *, ln((CAST(((customer_id * 2654435761 + code * 97531 + 20260727) % 4294967296 + 4294967296) % 4294967296
+                   AS DOUBLE) + 0.5) / 4294967296.0) / weight AS sample_key
+  FROM base
+)
+, ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY recommended_action ORDER BY sample_key DESC, customer_id) AS draw_order
+  FROM keyed
+)
+SELECT recommended_action, customer_id, ROUND(weight, 6) AS weight, ROUND(sample_key, 6) AS sample_key, draw_order
+FROM ranked WHERE draw_order <= 1500
+""")
+def campaign_contact_sample(spark, sf_dir):
+    """Weighted per-campaign contact sample without replacement (n <= 1500) after the
+    consent and acquisition filters."""
+    p = production(spark, sf_dir)
+    out = decision.weighted_contact_sample(p.targets, p.customers, ANALYSIS_DATE)
+    return _round(out, ["weight", "sample_key"])
