@@ -41,9 +41,25 @@ def multi_quantile_edges(df: DataFrame, columns: Sequence[str], buckets: int,
     if buckets <= 1:
         return {c: [] for c in columns}
     probs = [i / buckets for i in range(1, buckets)]
+    raw = raw_quantiles(df, columns, buckets, rel_error)
+    return {c: sorted(set(vs)) for c, vs in raw.items()}
+
+
+def raw_quantiles(df: DataFrame, columns: Sequence[str], buckets: int,
+                  rel_error: float = 0.001) -> dict[str, list[float]]:
+    """The ``buckets - 1`` quantiles per column, duplicates kept (a value repeated at
+    several quantiles holds at least ~1/buckets of the rows)."""
+    if buckets <= 1:
+        return {c: [] for c in columns}
+    probs = [i / buckets for i in range(1, buckets)]
     cols = list(dict.fromkeys(columns))
     values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, probs, rel_error)
-    return {c: sorted({v for v in vs if v is not None and not math.isnan(v)}) for c, vs in zip(cols, values)}
+    return {c: [v for v in vs if v is not None and not math.isnan(v)] for c, vs in zip(cols, values)}
+
+
+def hot_values(quantiles: Sequence[float]) -> list[float]:
+    """Values that occupy two or more consecutive quantiles."""
+    return sorted({a for a, b in zip(quantiles, quantiles[1:]) if a == b})
 
 
 def bucket_expr(column: Column, edges: Sequence[float]) -> Column:
@@ -183,25 +199,41 @@ def ordered_running(
     """Row number ``_rn`` (1-based) and inclusive running sums ``_run_<s>`` in the total
     order ``order..., id_col asc`` (within ``partition_by`` groups), plus ``_n``.
 
-    A hot ordering value is split by id buckets, so no group of equal values is
-    sorted in one task.
+    A hot ordering value is split by id buckets (and, with two or more keys, by the
+    second key), so no group of equal values is sorted in one task.
     """
     part = list(partition_by)
     keys = [k for k, _ in order]
     nb = _buckets(df, nb)
     df = materialize(df)
     first, first_asc = order[0]
-    both = multi_quantile_edges(df, [id_col, first], nb)
-    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), both[id_col]))
+    raw = raw_quantiles(df, [id_col, first], nb)
+    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), sorted(set(raw[id_col]))))
 
     groups = tagged.groupBy(*part, *keys, "_ib").agg(
         F.count(F.lit(1)).alias("_gc"), *[F.sum(s).alias(f"_gs_{s}") for s in sums]
     )
-    edges = both[first]
+    # A first-key value holding >= ~1/nb of the rows gets a bucket of its own (edges
+    # just below and at it) ...
+    hot = hot_values(raw[first])
+    edges = sorted(set(raw[first]) | {math.nextafter(v, -math.inf) for v in hot})
     bucket = bucket_expr(F.col(first), edges)
     if not first_asc:
         bucket = F.lit(len(edges)) - bucket
-    groups = groups.withColumn("_b", bucket)
+    # ... which is split further by the second key, so equal first keys with many
+    # distinct second keys are not ordered in one task.  Sub-buckets only subdivide
+    # single-value buckets, so the bucket order stays the total order.
+    width = 1
+    if hot and len(order) > 1:
+        second, second_asc = order[1]
+        is_hot = F.col(first).cast("double").isin(hot)
+        sub_edges = quantile_edges(groups.filter(is_hot), second, nb)
+        width = len(sub_edges) + 1
+        sub = bucket_expr(F.col(second), sub_edges)
+        if not second_asc:
+            sub = F.lit(width - 1) - sub
+        bucket = bucket * F.lit(width) + F.when(is_hot, sub).otherwise(F.lit(0))
+    groups = groups.withColumn("_b", bucket.cast("long"))
 
     totals = groups.groupBy(*part, "_b").agg(
         F.sum("_gc").alias("_bc"), *[F.sum(f"_gs_{s}").alias(f"_bs_{s}") for s in sums]
@@ -216,7 +248,7 @@ def ordered_running(
         *[F.coalesce(F.sum(f"_bs_{s}").over(before), F.lit(0)).alias(f"_bsoff_{s}") for s in sums],
     )
     if not part:
-        totals = F.broadcast(totals)  # bounded by nb + 1 rows
+        totals = F.broadcast(totals)  # bounded by (nb + 1 + hot values) x sub-buckets rows
     groups = groups.join(totals, on=[*part, "_b"])
     sort = [F.col(k).asc() if asc else F.col(k).desc() for k, asc in order] + [F.col("_ib").asc()]
     inside = Window.partitionBy(*part, "_b").orderBy(*sort).rowsBetween(_UNBOUNDED, -1)

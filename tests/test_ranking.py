@@ -77,3 +77,18 @@ def test_published_bin_sizes(spark):
     sizes = [r["count"] for r in df.groupBy("b").count().orderBy("b").collect()]
     assert sizes == [418, 417, 417, 417, 418, 417, 417, 417, 417, 418]
     assert math.isclose(sum(sizes), 4173)
+
+
+def test_ordered_running_hot_first_key_with_distinct_second_keys(spark):
+    rng = np.random.default_rng(11)
+    n = 4000
+    first = rng.integers(0, 50, n).astype(float)
+    first[: n // 2] = 7.0  # half the rows share the first key
+    pdf = pd.DataFrame({"id": np.arange(n), "a": first, "b": rng.random(n).round(3), "w": rng.integers(0, 9, n)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    got = ordered_running(df, [("a", False), ("b", True)], "id", sums=["w"], nb=8)
+    ref = pdf.sort_values(["a", "b", "id"], ascending=[False, True, True], kind="mergesort").reset_index(drop=True)
+    ref["rn"] = np.arange(1, n + 1)
+    ref["run"] = ref["w"].cumsum()
+    m = got.toPandas().merge(ref[["id", "rn", "run"]], on="id")
+    assert (m["_rn"] == m["rn"]).all() and (m["_run_w"] == m["run"]).all()
