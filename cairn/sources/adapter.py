@@ -133,8 +133,12 @@ class Canonical:
         )
         orders = read_table(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
         part = read_table(self.spark, self.sf_dir, "part", ["p_partkey", "p_type"])
+        # orders is a fact table that grows with the data: a shuffle (sort-merge) join at
+        # every scale, never a broadcast.  The line economics below run after that
+        # exchange, in parallel tasks even when a scan is a single split, and AQE's
+        # skew-join handling splits the partition of a hot order.
         lines = li.join(bounded_broadcast(part), li.l_partkey == part.p_partkey, "inner").join(
-            orders, li.l_orderkey == orders.o_orderkey, "inner"
+            orders.hint("merge"), li.l_orderkey == orders.o_orderkey, "inner"
         )
         # No window over an order: a line is identified by its natural key (order,
         # line number, part, supplier, price, ship date) and "first seen" is the minimum
@@ -260,7 +264,8 @@ class MaterializedCanonical(Canonical):
     def orders(self, lines: DataFrame | None = None) -> DataFrame:
         if lines is not None:
             return super().orders(lines)
-        return self._get("orders", lambda: Canonical.orders(self, Canonical.order_lines(self)))
+        # roll up the materialized lines: the lineitem scan and joins run once
+        return self._get("orders", lambda: Canonical.orders(self, self.order_lines()))
 
     def interactions(self) -> DataFrame:
         return self._get("interactions", super().interactions)
