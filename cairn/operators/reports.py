@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import r6, safe_divide
+from ..functions.ranking import exact_quantiles
 
 
 def _long(df: DataFrame, rows: Sequence[tuple[int, str, str, str]]) -> DataFrame:
@@ -77,6 +78,42 @@ def clv_band_rollup(c360: DataFrame) -> DataFrame:
     )
 
 
+def clv_band_quartiles(c360: DataFrame) -> DataFrame:
+    """Exact quartiles (linear interpolation) of predicted value per value band.
+
+    The distributed quantile helper locates the covering values by prefix counts, so a
+    band holding most customers is never gathered into one task.
+    """
+    q = exact_quantiles(c360, "predicted_clv_12m", [0.25, 0.5, 0.75], partition_by=["clv_band"])
+    n = c360.groupBy("clv_band").agg(F.count(F.lit(1)).alias("customers"))
+    return n.join(q, "clv_band").select(
+        "clv_band", "customers",
+        r6(F.col("_q")[0]).alias("q1_predicted_clv_12m"),
+        r6(F.col("_q")[1]).alias("median_predicted_clv_12m"),
+        r6(F.col("_q")[2]).alias("q3_predicted_clv_12m"),
+    )
+
+
+def value_risk_reference_lines(c360: DataFrame, churn_line: float, value_quantile: float) -> DataFrame:
+    """The value-risk portfolio's reference lines: the exact ``value_quantile`` of
+    predicted value over all customers and the fixed churn line, with the customers
+    on the high side of each line and of both."""
+    # the threshold as a scalar subquery (one row), no join
+    v = exact_quantiles(c360, "predicted_clv_12m", [value_quantile]).select(F.col("_q")[0]).scalar()
+    high_value = F.col("predicted_clv_12m") > v
+    high_risk = F.col("churn_probability") >= F.lit(churn_line)
+    return c360.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(high_value).alias("high_value_customers"),
+        F.count_if(high_risk).alias("high_risk_customers"),
+        F.count_if(high_value & high_risk).alias("high_value_high_risk_customers"),
+    ).select(
+        r6(v).alias("value_threshold"),
+        F.lit(churn_line).alias("churn_threshold"),
+        "customers", "high_value_customers", "high_risk_customers", "high_value_high_risk_customers",
+    )
+
+
 def regional_mean_risk(c360: DataFrame) -> DataFrame:
     return c360.groupBy("region").agg(F.count(F.lit(1)).alias("customers"),
                                       r6(F.avg("churn_probability")).alias("average_churn_probability"))

@@ -16,6 +16,10 @@ from .q_core import COHORT_SQL
 
 CHAIN = S.c360_chain(CAMPAIGN_BUDGET)
 
+# --- fixed values: reference lines of the value-risk portfolio chart ---
+CHURN_LINE = 0.55
+VALUE_LINE_QUANTILE = 0.8
+
 
 def _sql_both(name: str, body: str, tables: tuple[str, ...], prefix: str = CHAIN, doc: str = ""):
     """Register a report whose body is plain SQL over ``tables`` (c360, targets,
@@ -176,6 +180,34 @@ def clv_band_rollup(spark, sf_dir):
     return reports.clv_band_rollup(_c360(spark, sf_dir))
 
 
+@register("clv_band_quartiles", CHAIN + """
+SELECT clv_band, COUNT(*) AS customers,
+  ROUND(quantile_cont(predicted_clv_12m, 0.25), 6) AS q1_predicted_clv_12m,
+  ROUND(quantile_cont(predicted_clv_12m, 0.5), 6) AS median_predicted_clv_12m,
+  ROUND(quantile_cont(predicted_clv_12m, 0.75), 6) AS q3_predicted_clv_12m
+FROM c360 GROUP BY clv_band
+""")
+def clv_band_quartiles(spark, sf_dir):
+    """Exact quartiles of predicted value per value band (distributed quantiles)."""
+    return reports.clv_band_quartiles(_c360(spark, sf_dir))
+
+
+@register("value_risk_reference_lines", CHAIN + f"""
+, v AS (SELECT quantile_cont(predicted_clv_12m, {VALUE_LINE_QUANTILE}) AS t FROM c360)
+SELECT ROUND((SELECT t FROM v), 6) AS value_threshold, {CHURN_LINE} AS churn_threshold,
+  COUNT(*) AS customers,
+  COUNT(*) FILTER (WHERE predicted_clv_12m > (SELECT t FROM v)) AS high_value_customers,
+  COUNT(*) FILTER (WHERE churn_probability >= {CHURN_LINE}) AS high_risk_customers,
+  COUNT(*) FILTER (WHERE predicted_clv_12m > (SELECT t FROM v) AND churn_probability >= {CHURN_LINE})
+    AS high_value_high_risk_customers
+FROM c360
+""")
+def value_risk_reference_lines(spark, sf_dir):
+    """Exact 0.80 quantile of predicted value and the churn line of the value-risk
+    portfolio, with the customers beyond them."""
+    return reports.value_risk_reference_lines(_c360(spark, sf_dir), CHURN_LINE, VALUE_LINE_QUANTILE)
+
+
 @register("regional_mean_risk", CHAIN + """
 SELECT region, COUNT(*) AS customers, ROUND(AVG(churn_probability), 6) AS average_churn_probability
 FROM c360 GROUP BY region
