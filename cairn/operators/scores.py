@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..constants import CLV_QUARTILE_LABELS, RISK_BAND_EDGES, RISK_BAND_TOP
 from ..functions.exprs import clip, right_closed_band
 from ..functions.ranking import avg_rank_pct, avg_rank_pcts, ordered_running, qcut_rank_bin
+from ..session import materialize
 
 
 def rule_churn_probability() -> Column:
@@ -67,7 +68,10 @@ def rule_scores(snapshot: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranked = ordered_running(ranked, [("predicted_clv_12m", True)], "customer_id")
     label = F.element_at(F.array(*[F.lit(x) for x in CLV_QUARTILE_LABELS]),
                          qcut_rank_bin(F.col("_rn"), F.col("_n"), 4) + 1)
-    ranked = ranked.withColumn("clv_band", label)
+    # both score tables are projections of one written table
+    ranked = materialize(ranked.withColumn("clv_band", label).select(
+        "customer_id", "snapshot_date", "predicted_clv_12m", "clv_percentile", "clv_band",
+        "churn_probability", "risk_percentile"))
     value = ranked.select("customer_id", "snapshot_date", "predicted_clv_12m", "clv_percentile", "clv_band")
     churn = ranked.select("customer_id", "snapshot_date", "churn_probability", "risk_percentile",
                           right_closed_band("churn_probability", RISK_BAND_EDGES, RISK_BAND_TOP).alias("risk_band"))

@@ -48,8 +48,7 @@ class Production:
 
     @cached_property
     def _scores(self) -> tuple[DataFrame, DataFrame]:
-        value, churn = scores.rule_scores(self.snapshot)
-        return materialize(value), materialize(churn)
+        return scores.rule_scores(self.snapshot)  # projections of one materialized table
 
     @property
     def clv(self) -> DataFrame:
