@@ -159,8 +159,9 @@ def _snapshot_out(df):
 @register("customer_snapshot_features", S.snapshot_sql([ANALYSIS_DATE]) + "SELECT " + S.SNAPSHOT_OUT + " FROM snap")
 def customer_snapshot_features(spark, sf_dir):
     """Production snapshot at the analysis date."""
-    c = canonical(spark, sf_dir)
-    return _snapshot_out(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    from .q_decision import production
+
+    return _snapshot_out(production(spark, sf_dir).snapshot)  # the session's materialized snapshot
 
 
 _CHURN_CUTS = CHURN_TRAIN_CUTOFFS + [CHURN_HOLDOUT_CUTOFF]

@@ -61,6 +61,13 @@ def _build_churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return scored.filter(~hold), scored.filter(hold)
 
 
+def _production_snapshot(spark, sf_dir) -> DataFrame:
+    """The production snapshot at the analysis date, built once per session."""
+    from .q_decision import production
+
+    return production(spark, sf_dir).snapshot
+
+
 def _round_all(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     return df.withColumns({c: r6(c) for c, t in df.dtypes if t == "double" and c not in skip})
 
@@ -314,8 +321,7 @@ FROM ps
 def drift_monitoring(spark, sf_dir):
     """PSI of the 16 features, holdout snapshot vs production."""
     _, hold = churn_frames(spark, sf_dir)
-    c = canonical(spark, sf_dir)
-    prod = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE])
+    prod = _production_snapshot(spark, sf_dir)
     return _round_all(drift.drift_report(hold, prod))
 
 
@@ -362,8 +368,7 @@ def churn_model_scores(spark, sf_dir):
 
     train, _ = _churn_train_test(spark, sf_dir)
     model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
-    c = canonical(spark, sf_dir)
-    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    prod = models.prepare(_production_snapshot(spark, sf_dir))
     scored = models.positive_probability(model, prod, "churn_probability")
     return _round_all(churn_score_table(scored))
 
@@ -403,8 +408,7 @@ def model_bundle_info(spark, sf_dir):
 def _attribution(spark, sf_dir):
     train, _ = _churn_train_test(spark, sf_dir)
     model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
-    c = canonical(spark, sf_dir)
-    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    prod = models.prepare(_production_snapshot(spark, sf_dir))
     rows = prod.orderBy(F.col("recency_days").desc(), "customer_id").limit(60)
     background = attribution.seeded_sample(train, 24)
     base = attribution.baseline_medians(background)
@@ -448,8 +452,7 @@ def top_risk_drilldown(spark, sf_dir):
 
     phi = _attribution(spark, sf_dir)
     reasons = attribution.local_reasons(phi)
-    c = canonical(spark, sf_dir)
-    prod = models.prepare(snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), [ANALYSIS_DATE]))
+    prod = models.prepare(_production_snapshot(spark, sf_dir))
     from ..operators.scores import rule_churn_probability
 
     c360 = prod.select("customer_id", rule_churn_probability().alias("churn_probability"))
