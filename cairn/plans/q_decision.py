@@ -7,7 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ANALYSIS_DATE, CAMPAIGN_BUDGET
+from ..constants import (ANALYSIS_DATE, CAMPAIGN_BUDGET, CHURN_HOLDOUT_CUTOFF, CHURN_HORIZON_DAYS,
+                         CHURN_TRAIN_CUTOFFS, CLV_HOLDOUT_CUTOFF, CLV_HORIZON_DAYS, CLV_TRAIN_CUTOFFS)
 from ..functions.exprs import r6
 from ..operators import decision, rfm, scores, snapshot
 from ..session import materialize
@@ -18,6 +19,36 @@ from .catalog import register
 BINDING_BUDGET = 20_000.0   # a budget that binds at sf0.01, to exercise the prefix cut
 
 
+LABELS = ("churn_90d", "future_gross_margin", "future_revenue", "future_orders")
+ALL_CUTOFFS = sorted({ANALYSIS_DATE, *CHURN_TRAIN_CUTOFFS, CHURN_HOLDOUT_CUTOFF, *CLV_TRAIN_CUTOFFS,
+                      CLV_HOLDOUT_CUTOFF})
+_SNAPSHOTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def session_snapshots(spark, sf_dir) -> DataFrame:
+    """Every cutoff of the session (production, churn and value training and holdout)
+    in ONE pass over the facts, with both label horizons as extra conditional
+    aggregates; written once, partitioned by ``snapshot_date`` so each consumer reads
+    only its cutoffs."""
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+    if key not in _SNAPSHOTS:
+        c = canonical(spark, sf_dir)
+        snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), ALL_CUTOFFS,
+                                         churn_horizon=CHURN_HORIZON_DAYS, clv_horizon=CLV_HORIZON_DAYS)
+        _SNAPSHOTS[key] = materialize(snaps, partition_by=("snapshot_date",))
+    return _SNAPSHOTS[key]
+
+
+def snapshots_at(snaps: DataFrame, cutoffs, labels: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``cutoffs`` (a partition filter) with only the ``labels`` asked for."""
+    dates = [F.lit(c).cast("date") for c in cutoffs]
+    return snaps.filter(F.col("snapshot_date").isin(*dates)).drop(*[x for x in LABELS if x not in labels])
+
+
+def production_snapshot_of(snaps: DataFrame) -> DataFrame:
+    return snapshots_at(snaps, [ANALYSIS_DATE])
+
+
 class Production:
     """Production snapshot -> RFM -> rule scores -> decision -> 360.
 
@@ -39,8 +70,7 @@ class Production:
 
     @cached_property
     def snapshot(self) -> DataFrame:
-        return materialize(snapshot.build_snapshots(self.customers, self.orders, self.c.interactions(),
-                                                    [ANALYSIS_DATE]))
+        return production_snapshot_of(session_snapshots(self.c.spark, self.c.sf_dir))
 
     @cached_property
     def rfm(self) -> DataFrame:

@@ -30,26 +30,18 @@ def churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return _CHURN_FRAMES[key]
 
 
-_SNAPS: dict[tuple, DataFrame] = {}
-
-
 def labelled_snapshots(spark, sf_dir, kind: str) -> DataFrame:
     """Session-wide materialized multi-cutoff snapshots with labels: ``churn`` (three
     training cutoffs + holdout, 90-day label) or ``clv`` (four + holdout, 365-day
-    value label); one pass over the facts each."""
+    value label): selections of the session's one-pass snapshot table."""
     from ..constants import CLV_TRAIN_CUTOFFS
+    from .q_decision import session_snapshots, snapshots_at
 
-    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"), kind)
-    if key not in _SNAPS:
-        c = canonical(spark, sf_dir)
-        if kind == "churn":
-            snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), CHURN_CUTS,
-                                             churn_horizon=CHURN_HORIZON_DAYS)
-        else:
-            snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(),
-                                             CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF], clv_horizon=CLV_HORIZON_DAYS)
-        _SNAPS[key] = materialize(snaps)
-    return _SNAPS[key]
+    snaps = session_snapshots(spark, sf_dir)
+    if kind == "churn":
+        return snapshots_at(snaps, CHURN_CUTS, ("churn_90d",))
+    return snapshots_at(snaps, CLV_TRAIN_CUTOFFS + [CLV_HOLDOUT_CUTOFF],
+                        ("future_gross_margin", "future_revenue", "future_orders"))
 
 
 def _build_churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:

@@ -64,7 +64,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return 200
 
 
-def materialize(df):
+def materialize(df, partition_by: tuple[str, ...] = ()):
     """Cut the lineage: write ``df`` as a parquet table in the shared checkpoint folder
     and read it back.
 
@@ -74,8 +74,14 @@ def materialize(df):
     cluster, never ``localCheckpoint`` or a machine-local folder), so a lost executor
     does not lose it.  Parquet rather than an RDD checkpoint: it is columnar and
     compressed, and every later scan of it gets column pruning and filter pushdown.
+    ``partition_by`` writes one folder per value of those (few-valued) columns, so a
+    filter on them prunes whole folders.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    # the declared schema keeps partition column types; the select keeps column order
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
