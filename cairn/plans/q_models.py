@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from ..constants import (ANALYSIS_DATE, CHURN_HOLDOUT_CUTOFF, CHURN_HORIZON_DAYS, CHURN_TRAIN_CUTOFFS,
                          CLV_HOLDOUT_CUTOFF, CLV_HORIZON_DAYS, FEATURE_COLUMNS)
 from ..functions.exprs import r6
-from ..operators import drift, fairness, metrics, scores, snapshot
+from ..operators import drift, fairness, metrics, scores
 from ..session import materialize
-from ..sources.adapter import canonical
 from . import sql_parts as S
 from .catalog import register
 
