@@ -63,3 +63,16 @@ def test_flagship_plan_prunes_and_pushes_down(spark):
     assert schemas == ["ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,"
                        "l_discount:double,l_returnflag:string>"]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fact_join_shuffles_and_dimensions_broadcast(spark):
+    """Lines join orders (a fact that grows with the data) by sort-merge join, never a
+    broadcast; the part dimension passed the row-count check and is broadcast."""
+    from cairn.sources.adapter import lazy_canonical
+
+    plan = _plan(lazy_canonical(spark, SMOKE).order_lines())
+    assert "SortMergeJoin" in plan
+    lines = plan.splitlines()
+    # the "Input [...]" line under each "(n) BroadcastExchange" node of the details section
+    inputs = [lines[i + 1] for i, x in enumerate(lines) if x.startswith("(") and x.endswith(") BroadcastExchange")]
+    assert inputs and all("p_partkey" in x and "o_orderkey" not in x for x in inputs)
