@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package, table
+from . import warc_zip
+from .packing import packed_documents
 from .piece_counts import piece_counts
+from .simhash_blocks import simhash_components
 from .token_ids import token_offsets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +27,15 @@ def register(fn):
     return fn
 
 
+@register
+def op4_warc_zip(spark, sf_dir):
+    """WARC records of every page in ZIP packages, written and read back by ranges."""
+    return warc_zip.archived_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+ORACLE["op4_warc_zip"] = warc_zip.ORACLE_SQL
+
+
 @register
 def op6_token_ids(spark, sf_dir):
     """Token-id files with Elias-Fano document boundaries, written and read back."""
@@ -34,3 +46,15 @@ def op6_token_ids(spark, sf_dir):
 def op7_piece_counts(spark, sf_dir):
     """Greedy word-piece counts of every document."""
     return piece_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op8_simhash_blocks(spark, sf_dir):
+    """SimHash fingerprints and components of every document."""
+    return simhash_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op9_packing(spark, sf_dir):
+    """Best-fit packing of every document into sequences of 4096 tokens."""
+    return packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
