@@ -125,7 +125,8 @@ def piece_counts(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
         for batch in batches:
             cols = [[], [], []]
             for w in tb.iter_words(batch.column("text"), tb.WHITE_TABLE):
-                got = book.values.pool[book.table.lookup(w, w.codes())]
+                rows = book.table.lookup(w, w.codes())  # may move the values: read them afterwards
+                got = book.values.pool[rows]
                 for col, values in zip(cols, (np.ones(len(w), np.int64), np.abs(got), got < 0)):
                     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
                     col.append(np.diff(total[w.first]))

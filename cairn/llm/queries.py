@@ -10,8 +10,10 @@ from .common import ship_package, table
 from . import warc_zip
 from .packing import packed_documents
 from .piece_counts import piece_counts
+from .quality_llr import quality_verdicts
 from .simhash_blocks import simhash_components
 from .token_ids import token_offsets
+from .winnow import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +29,19 @@ def register(fn):
     return fn
 
 
+@register
+def op1_quality_llr(spark, sf_dir):
+    """Base rules and log-likelihood-ratio verdict of every document."""
+    return quality_verdicts(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@register
+def op2_winnowing(spark, sf_dir):
+    """Words of every document that lie in a window of a benchmark item."""
+    return decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @register
 def op4_warc_zip(spark, sf_dir):
     """WARC records of every page in ZIP packages, written and read back by ranges."""
