@@ -39,7 +39,8 @@ WHITE = " \t\n\x0b\f\r"
 
 
 def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
+    """``body`` of a value that is computed once, also where the optimizer moves the
+    expression into a filter: lambdas over words would else split the text for each word."""
     return F.transform(F.array(value), body)[0]
 
 
@@ -52,41 +53,46 @@ def words_of(text: Column) -> Column:
 
 def _windows(words: Column, n: int) -> Column:
     """64-bit hashes of the n consecutive words from each word on."""
-    own = F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
-    return F.transform(own, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]))
+    def hashes(ws):
+        own = F.slice(ws, 1, F.greatest(F.size(ws) - (n - 1), F.lit(0)))
+        return F.transform(own, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, n)]))
+
+    return let(words, hashes)
 
 
 def repeated_words(grams: Column, n: int = 3) -> Column:
     """Words inside windows (given as hashes in text order) that occur twice or more."""
-    placed = F.sort_array(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    again = let(placed, lambda s: F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])))
-    starts = F.sort_array(F.transform(again, lambda x: x["i"]))
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    total = F.aggregate(starts, zero, lambda acc, p: F.struct((acc["n"] + p + n - F.greatest(p, acc["end"])).alias("n"),
-                                                              (p + n).alias("end")), lambda acc: acc["n"])
-    return F.when(F.size(F.array_distinct(grams)) < F.size(grams), total).otherwise(F.lit(0)).cast("long")
+    def total(g):
+        placed = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        again = let(placed, lambda s: F.filter(
+            s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])))
+        starts = F.sort_array(F.transform(again, lambda x: x["i"]))
+        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+        return F.aggregate(starts, zero, lambda acc, p: F.struct(
+            (acc["n"] + p + n - F.greatest(p, acc["end"])).alias("n"), (p + n).alias("end")), lambda acc: acc["n"])
+
+    return let(grams, lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), total(g)).otherwise(F.lit(0))).cast("long")
 
 
 def with_base_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
     """Adds _words and the base columns to ``docs`` (with _text, never null)."""
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(WHITE))) > 0)
-    out = docs.withColumn("_words", words_of(text)).withColumn("_grams", _windows(F.col("_words"), 3))
-    out = out.select(
+    out = docs.withColumn("_words", words_of(text)).select(
         "*", F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_grams")).alias("n_repeat_words")).drop("_grams")
+        repeated_words(_windows(F.col("_words"), 3)).alias("n_repeat_words"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
 def features(words: Column, buckets: int) -> Column:
     """Bucket numbers of the words and word pairs of a text."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    double = F.transform(_windows(words, 2), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    return F.concat(single, double)
+    bucket = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+    return let(words, lambda ws: F.concat(F.transform(ws, lambda w: bucket(F.xxhash64(w))),
+                                          F.transform(_windows(ws, 2), bucket)))
 
 
 def labelled(labels: DataFrame, limit: int) -> DataFrame:
@@ -122,9 +128,9 @@ def score(words: Column, weights: list[float]) -> Column:
 
 
 def fit_threshold(scored: DataFrame, keep_weight: int = KEEP_WEIGHT) -> float:
-    """Threshold from the labelled rows of ``scored`` (llr, trusted)."""
+    """Threshold from the labelled rows of ``scored`` (llr, trusted, base_failed)."""
     step = F.greatest(F.lit(-20_000), F.least(F.lit(20_000), F.floor(F.col("llr") / SCORE_STEP))).cast("int")
-    rows = (scored.groupBy(step.alias("s")).agg(F.count_if("trusted").alias("good"), F.count_if(~F.col("trusted")).alias("bad"))
+    rows = (scored.where("NOT base_failed").groupBy(step.alias("s")).agg(F.count_if("trusted").alias("good"), F.count_if(~F.col("trusted")).alias("bad"))
             .collect())  # bounded by the number of steps
     rows = sorted((r.s, r.good, r.bad) for r in rows)
     if not sum(r[1] for r in rows) or not sum(r[2] for r in rows):
@@ -151,8 +157,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     pick = docs.select(F.col("doc_id"), text).join(known, "doc_id", "left")
     weights = fit_weights(pick.select(words_of(F.col("_text")).alias("_words"), "trusted"), buckets)
     fit = with_base_rules(docs.select("doc_id", text).join(known, "doc_id"), min_words, max_repeat_percent)
-    threshold = fit_threshold(fit.where("NOT base_failed").select(score(F.col("_words"), weights).alias("llr"), "trusted"), keep_weight)
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept", "_words", "_grams", "_text"]
+    threshold = fit_threshold(fit.select(score(F.col("_words"), weights).alias("llr"), "trusted", "base_failed"), keep_weight)
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept", "_words", "_text"]
     own = [c for c in docs.columns if c not in made]
     out = with_base_rules(docs.select(*own, text), min_words, max_repeat_percent)
     out = out.withColumn("llr", score(F.col("_words"), weights))

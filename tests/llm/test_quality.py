@@ -96,4 +96,5 @@ def test_plan_is_native(spark):
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         quality_verdicts(docs, marks, buckets=64).explain("formatted")
-    assert "Python" not in out.getvalue() and "Arrow" not in out.getvalue() and "Exchange" not in out.getvalue()
+    nodes = re.findall(r"\(\d+\) (.+?)(?: \[|\n)", out.getvalue())
+    assert nodes and all(re.match("Project|Scan|Filter", n) for n in nodes), nodes
