@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package, table
 from . import warc_zip
+from .maxent_lm import lm_scores
 from .packing import packed_documents
 from .piece_counts import piece_counts
 from .quality_llr import quality_verdicts
@@ -42,6 +43,12 @@ def op2_winnowing(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+@register
+def op3_maxent_lm(spark, sf_dir):
+    """Language-model scores of every document, learned outside the held-out fold."""
+    return lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register
 def op4_warc_zip(spark, sf_dir):
     """WARC records of every page in ZIP packages, written and read back by ranges."""
