@@ -13,6 +13,7 @@ from .packing import packed_documents
 from .piece_counts import piece_counts
 from .quality_llr import quality_verdicts
 from .simhash_blocks import simhash_components
+from .suffix_dedup import removed_repeats
 from .token_ids import token_offsets
 from .winnow import decontaminate
 
@@ -80,3 +81,9 @@ def op8_simhash_blocks(spark, sf_dir):
 def op9_packing(spark, sf_dir):
     """Best-fit packing of every document into sequences of 4096 tokens."""
     return packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op10_suffix_dedup(spark, sf_dir):
+    """Bytes of every document inside 50-byte strings that start in an earlier document."""
+    return removed_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
