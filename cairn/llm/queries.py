@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package, table
 from . import warc_zip
+from .compact_windows import passage_repeats
 from .maxent_lm import lm_scores
 from .packing import packed_documents
 from .piece_counts import piece_counts
@@ -59,6 +60,12 @@ def op4_warc_zip(spark, sf_dir):
 ORACLE["op4_warc_zip"] = warc_zip.ORACLE_SQL
 
 
+@register
+def op5_compact_windows(spark, sf_dir):
+    """Passages of every document that nearly repeat one of an earlier document."""
+    return passage_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register
 def op6_token_ids(spark, sf_dir):
     """Token-id files with Elias-Fano document boundaries, written and read back."""
