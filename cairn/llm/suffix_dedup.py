@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textbytes as tb
 from .common import materialize
@@ -62,8 +63,10 @@ def _unsqueeze(data) -> memoryview:
     return memoryview(pa.decompress(view[8:], decompressed_size=size, codec="zstd")) if size else memoryview(b"")
 
 
-def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """chunk, ids, lens, digests (one entry per text), body (the texts' bytes, compressed)."""
+def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """chunk, ids, lens, digests (one entry per text), body (the texts' bytes, compressed),
+    carried (one struct per text with the columns ``carry``)."""
+    extra = pa.struct([(c, to_arrow_type(docs.schema[c].dataType)) for c in carry] or [("_none", pa.int8())])
 
     def run(batches):
         chunk = TaskContext.get().partitionId() * CHUNK_STEP
@@ -74,13 +77,18 @@ def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk]), pa.array([batch.column("doc_id").slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
                      pa.array([np.diff(offsets[lo: hi + 1])], pa.list_(pa.int64())), pa.array([marks], pa.list_(pa.binary())),
-                     pa.array([_squeeze(data[offsets[lo]: offsets[hi]])], pa.binary())],
-                    ["chunk", "ids", "lens", "digests", "body"])
+                     pa.array([_squeeze(data[offsets[lo]: offsets[hi]])], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), pa.StructArray.from_arrays(
+                         [batch.column(c).slice(lo, hi - lo).cast(extra.field(c).type) for c in carry]
+                         or [pa.nulls(hi - lo, pa.int8())], fields=list(extra)))],
+                    ["chunk", "ids", "lens", "digests", "body", "carried"])
                 chunk += 1
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`") for c in carry])
+    kinds = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in carry) or "_none: tinyint"
     return materialize(keyed.mapInArrow(
-        run, "chunk long, ids array<long>, lens array<long>, digests array<binary>, body binary"))
+        run, "chunk long, ids array<long>, lens array<long>, digests array<binary>, body binary, "
+             f"carried array<struct<{kinds}>>"))
 
 
 class Chunk:
@@ -364,11 +372,11 @@ def judged_chunks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk
     shards = max(1, -(-anchors * (length + (length - gram) // 2) // 4 // shard_bytes))
     flags = _flag_anchors(chunks, length, gram, buckets, crowded)
     copies = materialize(_copies(chunks))
-    marked = (chunks.drop("digests").join(flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags")), "chunk")
+    marked = (chunks.drop("digests", "carried").join(flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags")), "chunk")
               .join(copies, "chunk", "left"))
     sent = _segments(marked, length, gram, buckets, shards)
     verdicts = materialize(sent.groupBy("shard").applyInArrow(lambda t: _decide(t, length), "chunk long, body binary"))
-    return (chunks.drop("digests").join(verdicts.groupBy("chunk").agg(F.collect_list("body").alias("verdicts")), "chunk", "left")
+    return (chunks.drop("digests", "carried").join(verdicts.groupBy("chunk").agg(F.collect_list("body").alias("verdicts")), "chunk", "left")
             .join(copies, "chunk", "left"))
 
 
