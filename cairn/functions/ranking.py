@@ -25,6 +25,11 @@ from pyspark.sql import functions as F
 from ..session import materialize, shuffle_partitions
 
 _UNBOUNDED = Window.unboundedPreceding
+#: buckets of the ordered axis: enough to spread the work, few enough for a small CASE tree,
+#: whatever the number of shuffle partitions
+MIN_BUCKETS, MAX_BUCKETS = 8, 200
+ID_SAMPLE = 4096   # ids that place the edges of the id buckets
+HOT_SALTS = 16     # ways to split the join of ranks on a value that very many rows share
 
 
 def quantile_edges(df: DataFrame, column: str, buckets: int, rel_error: float = 0.001) -> list[float]:
@@ -65,7 +70,8 @@ def hot_values(quantiles: Sequence[float]) -> list[float]:
 def bucket_expr(column: Column, edges: Sequence[float]) -> Column:
     """Index of the first edge >= value (0..len(edges)), as a balanced CASE tree.
 
-    Depth is log2(len(edges)); it stays inside whole-stage codegen.
+    Edges may be of any ordered type.  Depth is log2(len(edges)); it stays inside
+    whole-stage codegen.
     """
     edges = list(edges)
 
@@ -73,13 +79,22 @@ def bucket_expr(column: Column, edges: Sequence[float]) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(column <= F.lit(float(edges[mid])), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return F.when(column <= F.lit(edges[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
     return build(0, len(edges)).cast("int")
 
 
 def _buckets(df: DataFrame, nb: int | None) -> int:
-    return nb or shuffle_partitions(df.sparkSession)
+    return nb or min(MAX_BUCKETS, max(MIN_BUCKETS, shuffle_partitions(df.sparkSession)))
+
+
+def id_edges(df: DataFrame, column: str, buckets: int) -> list:
+    """Cut points of an id column of any ordered type, from a bounded sample (the ids whose
+    hashes are smallest).  They only balance the work."""
+    rows = (df.select(column).where(F.col(column).isNotNull()).orderBy(F.xxhash64(column)).limit(ID_SAMPLE)
+            .agg(F.sort_array(F.collect_set(column)).alias("ids")).first())
+    ids = rows["ids"]
+    return [ids[i * len(ids) // buckets] for i in range(1, buckets) if ids[i * len(ids) // buckets] != ids[0]] if ids else []
 
 
 def value_prefix(
@@ -96,12 +111,15 @@ def value_prefix(
     Columns: partition_by, value, ``_cnt`` (rows with this value), ``_before``
     (rows strictly before it), ``_n`` (rows in the partition group), and for each
     ``s`` in ``sums``: ``_s_<s>``, ``_sb_<s>`` (before) and ``_st_<s>`` (group total).
+    Rows with a null value have no place in the order and are left out, also of ``_n``.
     """
     part = list(partition_by)
     nb = _buckets(df, nb)
+    df = df.where(F.col(value).isNotNull())
     agg = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(s).alias(f"_s_{s}") for s in sums]
     distinct = df.groupBy(*part, value).agg(*agg)
     if edges is None:
+        distinct = materialize(distinct)  # read for the edges, the totals and the prefix
         edges = quantile_edges(distinct, value, nb)
     bucket = bucket_expr(F.col(value), edges)
     if not ascending:
@@ -164,15 +182,22 @@ def avg_rank_pcts(
     part = list(partition_by)
     df = materialize(df)
     # one job for every column's edges (over rows; any edges give exact results)
-    all_edges = multi_quantile_edges(df, list(columns), _buckets(df, nb))
+    quantiles = raw_quantiles(df, list(columns), _buckets(df, nb))
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SALTS)).cast("int"))
     for value, out in columns.items():
-        ranked = value_prefix(df, value, partition_by=part, nb=nb, edges=all_edges[value]).select(
+        raw = quantiles[value]
+        ranked = value_prefix(df, value, partition_by=part, nb=nb, edges=sorted(set(raw))).select(
             *part,
             value,
             ((F.col("_before") + (F.col("_cnt") + F.lit(1)) / F.lit(2)) / F.col("_n")).alias(out),
         )
-        df = df.join(ranked, on=[*part, value], how="left")
-    return df
+        # rows of a value that very many share are dealt over several keys
+        is_hot = F.coalesce(F.col(value).cast("double").isin(hot_values(raw)), F.lit(False)) if hot_values(raw) else F.lit(False)
+        every = F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))
+        ranked = ranked.withColumn("_way", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+        salted = (salted.withColumn("_way", F.when(is_hot, F.col("_salt")).otherwise(F.lit(0)))
+                  .join(ranked, on=[*part, value, "_way"], how="left").drop("_way"))
+    return salted.select(*df.columns, *columns.values())
 
 
 def avg_rank(df: DataFrame, value: str, out: str, partition_by: Sequence[str] = (), nb: int | None = None) -> DataFrame:
@@ -207,8 +232,8 @@ def ordered_running(
     nb = _buckets(df, nb)
     df = materialize(df)
     first, first_asc = order[0]
-    raw = raw_quantiles(df, [id_col, first], nb)
-    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), sorted(set(raw[id_col]))))
+    raw = raw_quantiles(df, [first], nb)
+    tagged = df.withColumn("_ib", bucket_expr(F.col(id_col), id_edges(df, id_col, nb)))
 
     groups = tagged.groupBy(*part, *keys, "_ib").agg(
         F.count(F.lit(1)).alias("_gc"), *[F.sum(s).alias(f"_gs_{s}") for s in sums]
@@ -226,14 +251,16 @@ def ordered_running(
     width = 1
     if hot and len(order) > 1:
         second, second_asc = order[1]
-        is_hot = F.col(first).cast("double").isin(hot)
+        is_hot = F.coalesce(F.col(first).cast("double").isin(hot), F.lit(False))
         sub_edges = quantile_edges(groups.filter(is_hot), second, nb)
         width = len(sub_edges) + 1
         sub = bucket_expr(F.col(second), sub_edges)
         if not second_asc:
             sub = F.lit(width - 1) - sub
         bucket = bucket * F.lit(width) + F.when(is_hot, sub).otherwise(F.lit(0))
-    groups = groups.withColumn("_b", bucket.cast("long"))
+    # nulls come first in ascending and last in descending order, in a bucket of their own
+    null_bucket = F.lit(-1) if first_asc else F.lit((len(edges) + 1) * width)
+    groups = groups.withColumn("_b", F.when(F.col(first).isNull(), null_bucket).otherwise(bucket).cast("long"))
 
     totals = groups.groupBy(*part, "_b").agg(
         F.sum("_gc").alias("_bc"), *[F.sum(f"_gs_{s}").alias(f"_bs_{s}") for s in sums]
@@ -260,7 +287,12 @@ def ordered_running(
         (F.col("_boff") + F.coalesce(F.sum("_gc").over(inside), F.lit(0))).alias("_goff"),
         *[(F.col(f"_bsoff_{s}") + F.coalesce(F.sum(f"_gs_{s}").over(inside), F.lit(0))).alias(f"_gsoff_{s}") for s in sums],
     )
-    joined = tagged.join(groups, on=[*part, *keys, "_ib"])
+    names = [*part, *keys, "_ib"]
+    right = groups.select(*[F.col(c).alias(f"_g_{c}") for c in names], *[c for c in groups.columns if c not in names])
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    joined = tagged.join(right, same).drop(*[f"_g_{c}" for c in names])
     within = Window.partitionBy(*part, *keys, "_ib").orderBy(F.col(id_col).asc()).rowsBetween(_UNBOUNDED, 0)
     out = joined.withColumn("_rn", F.col("_goff") + F.count(F.lit(1)).over(within))
     for s in sums:

@@ -165,18 +165,25 @@ def summarize_segments(c360: DataFrame) -> DataFrame:
     })
 
 
-# --- fixed value: campaign code of each action, used to vary the sampling stream ------
+# --- fixed values: campaign code of each action, used to vary the sampling stream -----
 ACTION_CODE = {"VIP Experience": 1, "Retain & Reward": 2, "Win-Back": 3, "Cross-Sell": 4, "Onboarding": 5,
                "Nurture": 6}
-_HASH_MULT = 2654435761   # Knuth multiplicative constant
-_HASH_MOD = 4294967296    # 2^32
+# --- fixed values: multipliers of the sampling stream, all below 2^32 -------------------
+_MULT_LOW, _MULT_HIGH, _MULT_FOLD = 2654435761, 2246822519, 40503
+_STREAM_BASE, _STREAM_STEP = 1664525, 195062
+_HALF, _FULL = 2147483648, 4294967296    # 2^31, 2^32
 
 
 def uniform_from_key(key: Column, stream: Column, seed: int) -> Column:
-    """Repeatable uniform in (0, 1) from integer keys (pure integer arithmetic, so any
-    engine reproduces it)."""
-    mixed = F.pmod(key * F.lit(_HASH_MULT) + stream * F.lit(97_531) + F.lit(seed), F.lit(_HASH_MOD))
-    return (mixed.cast("double") + F.lit(0.5)) / F.lit(float(_HASH_MOD))
+    """Repeatable uniform in (0, 1) from integer keys of any size.  Pure integer arithmetic
+    with every product below 2^63, so any engine reproduces it; each stream has a
+    multiplier of its own, so streams are not shifted copies of one another."""
+    low, high = F.pmod(key, F.lit(_HALF)), F.pmod(F.shiftright(key, 31), F.lit(_HALF))
+    x = F.pmod(F.pmod(low * F.lit(_MULT_LOW), F.lit(_FULL)) + F.pmod(high * F.lit(_MULT_HIGH), F.lit(_FULL)) + F.lit(seed),
+               F.lit(_HALF))
+    own = (F.lit(_STREAM_BASE) + stream * F.lit(_STREAM_STEP)).cast("long")
+    mixed = F.pmod(F.pmod(x * own, F.lit(_FULL)) + F.shiftright(x, 16) * F.lit(_MULT_FOLD), F.lit(_FULL))
+    return (mixed.cast("double") + F.lit(0.5)) / F.lit(float(_FULL))
 
 
 def weighted_contact_sample(targets: DataFrame, acquisition: DataFrame, analysis_date: str, cap: int = 1500,

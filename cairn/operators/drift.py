@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS, PSI_STABLE_BELOW, PSI_WATCH_BELOW
 from ..functions.ranking import exact_quantiles
-from .contracts import check_psi_inputs
+from .contracts import check_psi_inputs, check_psi_samples
 
 PCT_FLOOR = 1e-6
 
@@ -23,23 +23,19 @@ def to_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def psi_by_feature(reference: DataFrame, current: DataFrame, features: Sequence[str] = FEATURE_COLUMNS,
-                   bins: int = 10, exact: bool = True) -> DataFrame:
+                   bins: int = 10) -> DataFrame:
     """PSI per feature: quantile edges of the reference (linear interpolation, unique),
     outer edges at +-inf, right-closed bins, shares floored at 1e-6; fewer than three
-    distinct edges -> 0.  ``exact=False`` uses ``percentile_approx`` for very large
-    groups.
+    distinct edges -> 0.  Empty samples and values that are not finite are refused.
     """
     bins = check_psi_inputs(bins)
+    check_psi_samples(reference, current, features)
     probs = [i / bins for i in range(bins + 1)]
     ref = to_long(reference, features)
     cur = to_long(current, features)
     stats = ref.groupBy("feature").agg(F.count(F.lit(1)).alias("_nref"), F.avg("value").alias("reference_mean"))
-    if exact:
-        # distributed exact quantiles: no feature's values are gathered into one task
-        q = exact_quantiles(ref, "value", probs, partition_by=["feature"])
-    else:
-        q = ref.groupBy("feature").agg(F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), 10000)
-                                       .cast("array<double>").alias("_q"))
+    # distributed exact quantiles: no feature's values are gathered into one task
+    q = exact_quantiles(ref, "value", probs, partition_by=["feature"])
     edges = stats.join(q, "feature").select(
         "feature", "_nref", "reference_mean", F.array_sort(F.array_distinct("_q")).alias("_e"))
     # interior edges (drop the two ends, which become -inf / +inf)

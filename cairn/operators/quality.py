@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
 from ..functions.exprs import is_finite
+from .contracts import require
 
 
 def _check(df: DataFrame, name: str, passed: Column) -> DataFrame:
@@ -72,9 +73,8 @@ def data_quality_report(customers: DataFrame, products: DataFrame, orders: DataF
 
 def raise_on_failure(report_df: DataFrame) -> None:
     """Publication gate: collect only the failing check names (at most one per check)."""
-    failed = [r["check_name"] for r in report_df.filter(F.col("status") != "PASS").select("check_name").collect()]
-    if failed:
-        raise ValueError(f"Data quality gates failed: {failed}")
+    failed = report_df.filter(F.col("status") != "PASS").select("check_name").collect()
+    require("publication", {r["check_name"]: 1 for r in failed})
 
 
 def order_sanity(orders: DataFrame, date_start: str, date_end: str) -> DataFrame:
@@ -109,25 +109,27 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: S
     within tolerance: |a - b| <= max(rel_tol * max(|a|, |b|), abs_tol); both null -> equal.
     """
     keys = list(keys)
+    check_same_columns(left, right)
     l = left.select(*keys, *[F.col(c).cast("double").alias(f"_l_{c}") for c in columns], F.lit(1).alias("_inl"))
     r = right.select(*keys, *[F.col(c).cast("double").alias(f"_r_{c}") for c in columns], F.lit(1).alias("_inr"))
     j = l.join(r, keys, "full_outer")
-    parts = []
-    first_key = keys[0]
-    for c in columns:
+    both = F.col("_inl").isNotNull() & F.col("_inr").isNotNull()
+    # one pass: every column's figures are aggregates of the same join
+    aggs = []
+    for i, c in enumerate(columns):
         a, b = F.col(f"_l_{c}"), F.col(f"_r_{c}")
         tol = F.greatest(F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_tol))
         same = (a.isNull() & b.isNull()) | (a.isNotNull() & b.isNotNull() & (F.abs(a - b) <= tol))
-        both = F.col("_inl").isNotNull() & F.col("_inr").isNotNull()
-        parts.append(j.agg(
-            F.lit(c).alias("column"),
-            F.count_if(both).alias("rows_compared"),
-            F.count_if(F.col("_inr").isNull()).alias("missing_right"),
-            F.count_if(F.col("_inl").isNull()).alias("missing_left"),
-            F.count_if(both & ~same).alias("mismatches"),
-            F.min(F.when(both & ~same, F.col(first_key))).alias("first_mismatch_key"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count_if(both & ~same).alias(f"_m_{i}"), F.min(F.when(both & ~same, F.col(keys[0]))).alias(f"_k_{i}")]
+    total = j.agg(F.count_if(both).alias("rows_compared"), F.count_if(F.col("_inr").isNull()).alias("missing_right"),
+                  F.count_if(F.col("_inl").isNull()).alias("missing_left"), *aggs)
+    return total.select("rows_compared", "missing_right", "missing_left", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"_m_{i}").alias("mismatches"), F.col(f"_k_{i}").alias("first_mismatch_key"))
+        for i, c in enumerate(columns)])).alias("_x")).select(
+            "_x.column", "rows_compared", "missing_right", "missing_left", "_x.mismatches", "_x.first_mismatch_key")
+
+
+def check_same_columns(left: DataFrame, right: DataFrame) -> None:
+    """Both tables have the same set of columns."""
+    l, r = set(left.columns), set(right.columns)
+    require("columns", {**{f"{c}_only_left": 1 for c in sorted(l - r)}, **{f"{c}_only_right": 1 for c in sorted(r - l)}})

@@ -38,7 +38,7 @@ def _order_measures(c: Column, churn_h: int | None, clv_h: int | None) -> list[t
         ("discount_amount_12m", F.sum(F.when(w12, F.col("discount_amount"))), "sum"),
         ("returned_orders_12m", F.sum(F.when(w12, F.col("returned_flag"))), "sum"),
         # one flag per (customer, category): summed at level 2 = distinct categories
-        ("category_diversity_12m", F.max(F.when(w12, F.lit(1)).otherwise(F.lit(0))), "sum"),
+        ("category_diversity_12m", F.max(F.when(w12 & F.col("primary_category").isNotNull(), F.lit(1)).otherwise(F.lit(0))), "sum"),
         ("online_orders_12m", F.count_if(w12 & F.col("channel").isin(*ONLINE_CHANNELS)), "sum"),
     ]
     if churn_h is not None:

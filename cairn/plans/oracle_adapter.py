@@ -39,8 +39,8 @@ oline_a AS (
            || '-' || strftime(l.l_shipdate, '%Y%m%d') AS order_line_id,
          CAST(69 - l.l_partkey % 28 AS DECIMAL(4,0)) * 0.01 AS cost_rate
   FROM lineitem l
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 oline_b AS (
   SELECT *, CAST(ROUND(gross_revenue * discount_rate, 2) AS DECIMAL(16,2)) AS discount_amount FROM oline_a
@@ -62,24 +62,33 @@ oline AS (
   FROM oline_d
 ),
 ford_cat AS (
-  SELECT order_id, customer_id, order_date, channel, category,
+  SELECT order_id, category,
          COUNT(*) AS n_lines, MIN(line_seq) AS first_seq, SUM(quantity) AS qty,
          SUM(gross_revenue) AS gross_revenue, SUM(discount_amount) AS discount_amount,
          SUM(returned_amount) AS returned_amount, SUM(net_revenue) AS net_revenue, SUM(gross_margin) AS gross_margin
-  FROM oline GROUP BY order_id, customer_id, order_date, channel, category
+  FROM oline GROUP BY order_id, category
 ),
-ford AS (
-  SELECT order_id, customer_id, order_date, channel,
+ford_roll AS (
+  SELECT order_id,
          MAX(CASE WHEN rk = 1 THEN category END) AS primary_category,
-         CAST(SUM(qty) AS INTEGER) AS item_count,
-         CAST(SUM(gross_revenue) AS DECIMAL(16,2)) AS gross_revenue,
-         CAST(SUM(discount_amount) AS DECIMAL(16,2)) AS discount_amount,
-         CAST(SUM(returned_amount) AS DECIMAL(16,2)) AS returned_amount,
-         CAST(SUM(net_revenue) AS DECIMAL(16,2)) AS net_revenue,
-         CAST(SUM(gross_margin) AS DECIMAL(16,2)) AS gross_margin,
-         CASE WHEN SUM(returned_amount) > 0 THEN 1 ELSE 0 END AS returned_flag
+         SUM(qty) AS qty, SUM(gross_revenue) AS gross_revenue, SUM(discount_amount) AS discount_amount,
+         SUM(returned_amount) AS returned_amount, SUM(net_revenue) AS net_revenue, SUM(gross_margin) AS gross_margin
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY n_lines DESC, first_seq) AS rk FROM ford_cat)
-  GROUP BY order_id, customer_id, order_date, channel
+  GROUP BY order_id
+),
+ford AS (
+  SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Mobile App' WHEN '2-HIGH' THEN 'Web'
+              WHEN '3-MEDIUM' THEN 'Marketplace' ELSE 'Store' END AS channel,
+         r.primary_category,
+         CAST(COALESCE(r.qty, 0) AS INTEGER) AS item_count,
+         CAST(COALESCE(r.gross_revenue, 0) AS DECIMAL(16,2)) AS gross_revenue,
+         CAST(COALESCE(r.discount_amount, 0) AS DECIMAL(16,2)) AS discount_amount,
+         CAST(COALESCE(r.returned_amount, 0) AS DECIMAL(16,2)) AS returned_amount,
+         CAST(COALESCE(r.net_revenue, 0) AS DECIMAL(16,2)) AS net_revenue,
+         CAST(COALESCE(r.gross_margin, 0) AS DECIMAL(16,2)) AS gross_margin,
+         CASE WHEN r.returned_amount > 0 THEN 1 ELSE 0 END AS returned_flag
+  FROM orders o LEFT JOIN ford_roll r ON o.o_orderkey = r.order_id
 ),
 inter AS (
   SELECT customer_id, month,

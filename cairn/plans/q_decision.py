@@ -234,10 +234,15 @@ def segment_summary(spark, sf_dir):
   WHERE t.marketing_consent = 1 AND t.recommended_action <> 'Suppress' AND t.priority_score > 0
     AND c.acquisition_date <= DATE '""" + ANALYSIS_DATE + """'
 )
+, mixed AS (
+  SELECT *, (((customer_id % 2147483648) * 2654435761) % 4294967296
+             + (((customer_id >> 31) % 2147483648) * 2246822519) % 4294967296 + 20260727) % 2147483648 AS x
+  FROM base
+)
 , keyed AS (
-  SELECT *, ln((CAST(((customer_id * 2654435761 + code * 97531 + 20260727) % 4294967296 + 4294967296) % 4294967296
+  SELECT *, ln((CAST(((x * (1664525 + code * 195062)) % 4294967296 + (x >> 16) * 40503) % 4294967296
                    AS DOUBLE) + 0.5) / 4294967296.0) / weight AS sample_key
-  FROM base
+  FROM mixed
 )
 , ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY recommended_action ORDER BY sample_key DESC, customer_id) AS draw_order

@@ -227,7 +227,7 @@ def _scratch(spark, name: str, sf_dir: str) -> str:
 
     from ..session import ensure_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{abs(hash(sf_dir))}-{uuid.uuid4().hex[:8]}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @register("csv_roundtrip_orders", """
@@ -272,6 +272,6 @@ def stream_scoring(spark, sf_dir):
         spark, f"{base}/source", feats.schema, f"{base}/sink", f"{base}/checkpoint",
         scorer=lambda d: d.select("customer_id", rule_churn_probability().alias("churn_probability"),
                                   rule_value_prediction().alias("predicted_clv_12m")),
-        threshold=0.5, snapshot_date=ANALYSIS_DATE, max_files_per_trigger=2)
+        threshold=0.5, snapshot_date=ANALYSIS_DATE)
     q.awaitTermination()
     return read_scored(spark, f"{base}/sink").drop("batch_id")

@@ -1,8 +1,9 @@
 """Spark session helpers.
 
-The library never creates machine-local scratch space on a cluster: lineage is cut
-by writing parquet tables into the shared folder named by ``spark.checkpoint.dir``.  Only when the session has no such setting (local tests)
-do we point it at a fresh temporary folder.
+Lineage is cut by writing parquet tables into the shared folder named by
+``spark.checkpoint.dir``.  Only a ``local`` session may leave it unset: everything then
+runs on one machine and a fresh temporary folder is shared.  Any other session without
+the setting is refused.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def build_session(master: str | None = None, app: str = "cairn", shuffle_partiti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder.  A ``local`` session without one gets a temporary
+    folder; any other raises, since executors on other machines would not see it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -49,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    # Unset: this is a test or a laptop run, never a cluster deployment.
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     local = tempfile.mkdtemp(prefix="cairn-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

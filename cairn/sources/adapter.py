@@ -8,7 +8,7 @@ Canonical tables (money is exact DECIMAL(16,2)):
 
 * ``customers``    customer_id, acquisition_date, region, age_band, loyalty_tier,
                    preferred_channel, marketing_consent
-* ``order_lines``  order_line_id, line_order, order_id, customer_id, order_date, product_id,
+* ``order_lines``  order_line_id, order_id, customer_id, order_date, product_id,
                    category, quantity, discount_rate, gross_revenue, discount_amount,
                    returned_flag, returned_amount, net_revenue, gross_margin
 * ``orders``       order_id, customer_id, order_date, channel, primary_category,
@@ -42,14 +42,14 @@ INTERACTION_END = (2001, 7)          # interaction months end at 2001-07
 INTERACTION_MONTHS = 36
 MONEY = "decimal(16,2)"
 
-# Largest dimension that may be broadcast without a size check failing over to a
-# shuffle join (rows).  Dimension sizes are checked, never assumed.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Region and nation are broadcast if they have at most so many rows; every other join
+# is left to the optimizer's size statistics.
+BROADCAST_ROW_LIMIT = 10_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows; else leave the join to
-    Catalyst (sort-merge / shuffle-hash, AQE may still convert at run time)."""
+    the optimizer."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -123,7 +123,8 @@ class Canonical:
         )
 
     # ---- facts ------------------------------------------------------------------
-    def order_lines(self) -> DataFrame:
+    def _priced_lines(self) -> DataFrame:
+        """Every line of lineitem with its economics; a line without a part has no category."""
         li = read_table(
             self.spark,
             self.sf_dir,
@@ -131,50 +132,21 @@ class Canonical:
             ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
              "l_discount", "l_returnflag", "l_shipdate"],
         )
-        orders = read_table(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
         part = read_table(self.spark, self.sf_dir, "part", ["p_partkey", "p_type"])
-        # orders is a fact table that grows with the data: a shuffle (sort-merge) join at
-        # every scale, never a broadcast.  The line economics below run after that
-        # exchange, in parallel tasks even when a scan is a single split, and AQE's
-        # skew-join handling splits the partition of a hot order.
-        lines = li.join(bounded_broadcast(part), li.l_partkey == part.p_partkey, "inner").join(
-            orders.hint("merge"), li.l_orderkey == orders.o_orderkey, "inner"
-        )
-        # No window over an order: a line is identified by its natural key (order,
-        # line number, part, supplier, price, ship date) and "first seen" is the minimum
-        # of that key, so a huge order never lands whole in one task.
-        staged = lines.select(
-            F.col("l_orderkey").alias("order_id"),
-            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-            "l_returnflag", "l_shipdate", "o_custkey", "o_orderdate", "o_orderpriority", "p_type",
-        )
+        lines = li.join(part, li.l_partkey == part.p_partkey, "left")
         # precisions stay <= 18 so decimal arithmetic runs on longs, not BigDecimal
         gross = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.lit(REVENUE_SCALE), 2).cast("decimal(12,2)")
         rate = F.col("l_discount").cast("decimal(5,4)")
-        returned = F.col("l_returnflag") == F.lit("R")
         cost_rate = (F.lit(69) - F.pmod(F.col("l_partkey"), F.lit(28))).cast("decimal(4,0)") * F.lit(Decimal("0.01"))
-        line_order = F.struct(
-            F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
-            F.col("l_extendedprice").alias("x"), F.col("l_shipdate").alias("d"))
-        line_id = F.concat_ws(
-            "-", F.col("order_id").cast("string"), F.col("l_linenumber").cast("string"),
-            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-            F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"),
-            F.date_format("l_shipdate", "yyyyMMdd"))
-        out = staged.select(
-            "order_id",
-            line_id.alias("order_line_id"),
-            line_order.alias("line_order"),
-            F.col("o_custkey").alias("customer_id"),
-            F.to_date("o_orderdate").alias("order_date"),
-            _case(F.col("o_orderpriority"), ORDER_CHANNEL_BY_PRIORITY, ORDER_CHANNEL_DEFAULT).alias("channel"),
-            F.col("l_partkey").alias("product_id"),
+        out = lines.select(
+            F.col("l_orderkey").alias("order_id"),
+            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
             F.col("p_type").alias("category"),
             F.col("l_quantity").cast("int").alias("quantity"),
             rate.cast("decimal(10,4)").alias("discount_rate"),
             gross.cast(MONEY).alias("gross_revenue"),
             F.round(gross * rate, 2).cast(MONEY).alias("discount_amount"),
-            F.when(returned, 1).otherwise(0).alias("returned_flag"),
+            F.when(F.col("l_returnflag") == F.lit("R"), 1).otherwise(0).alias("returned_flag"),
             cost_rate.alias("_cost_rate"),
         )
         net_before = (F.col("gross_revenue") - F.col("discount_amount")).cast(MONEY)
@@ -187,31 +159,58 @@ class Canonical:
         )
         return out.withColumn("gross_margin", (F.col("net_revenue") - cost).cast(MONEY)).drop("_cost_rate")
 
-    def orders(self, lines: DataFrame | None = None) -> DataFrame:
-        """Line -> order rollup with the first-seen mode of the category.
+    def _headers(self) -> DataFrame:
+        orders = read_table(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+        return orders.select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.to_date("o_orderdate").alias("order_date"),
+            _case(F.col("o_orderpriority"), ORDER_CHANNEL_BY_PRIORITY, ORDER_CHANNEL_DEFAULT).alias("channel"),
+        )
 
-        Two aggregation levels keyed by ``order_id`` first (partial aggregation, so a
-        huge order is combined map-side); no window.
+    def order_lines(self) -> DataFrame:
+        """Every line with its order's header; a line without an order keeps null there."""
+        # No window over an order: a line is identified by its natural key (order,
+        # line number, part, supplier, price, ship date), so a huge order never lands
+        # whole in one task.  Orders grow with the data: a shuffle join at every scale.
+        lines = self._priced_lines().join(self._headers().hint("merge"), "order_id", "left")
+        line_id = F.concat_ws(
+            "-", F.col("order_id").cast("string"), F.col("l_linenumber").cast("string"),
+            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"),
+            F.date_format("l_shipdate", "yyyyMMdd"))
+        return lines.select(
+            "order_id", line_id.alias("order_line_id"), "customer_id", "order_date", "channel",
+            F.col("l_partkey").alias("product_id"), "category", "quantity", "discount_rate", "gross_revenue",
+            "discount_amount", "returned_flag", "returned_amount", "net_revenue", "gross_margin",
+        )
+
+    def orders(self) -> DataFrame:
+        """Every order header with its line rollup and the first-seen mode of the category;
+        an order without lines has zero items and amounts and no category.
+
+        Lines are aggregated by order and category before they meet the headers, so a huge
+        order is combined on the map side and the header is not shuffled with the lines.
+        "First seen" is the smallest (line number, part): a part has one category, so two
+        categories of an order never tie on it, and it packs into one long.
         """
-        lines = lines if lines is not None else self.order_lines()
-        head = ["order_id", "customer_id", "order_date", "channel"]
         sums = ["gross_revenue", "discount_amount", "returned_amount", "net_revenue", "gross_margin"]
-        per_cat = lines.groupBy(*head, "category").agg(
-            F.count(F.lit(1)).alias("_lines"),
-            F.min("line_order").alias("_first"),
-            F.sum("quantity").alias("_qty"),
+        seen = F.shiftleft(F.col("l_linenumber").cast("long"), 40) + F.col("l_partkey")
+        per_cat = self._priced_lines().groupBy("order_id", "category").agg(
+            F.count(F.lit(1)).alias("_lines"), F.min(seen).alias("_first"), F.sum("quantity").alias("_qty"),
             *[F.sum(s).alias(s) for s in sums],
         )
-        return per_cat.groupBy(*head).agg(
+        rollup = per_cat.groupBy("order_id").agg(
             # most lines first, then the category seen first
             F.min_by("category", F.struct(-F.col("_lines"), F.col("_first"))).alias("primary_category"),
             F.sum("_qty").cast("int").alias("item_count"),
             *[F.sum(s).cast(MONEY).alias(s) for s in sums],
-        ).select(
-            *head,
-            "primary_category",
-            "item_count",
-            *sums,
+        )
+        joined = self._headers().join(rollup.hint("merge"), "order_id", "left")
+        return joined.select(
+            "order_id", "customer_id", "order_date", "channel", "primary_category",
+            F.coalesce("item_count", F.lit(0)).alias("item_count"),
+            *[F.coalesce(s, F.lit(0).cast(MONEY)).alias(s) for s in sums],
             F.when(F.col("returned_amount") > 0, 1).otherwise(0).alias("returned_flag"),
         )
 
@@ -261,11 +260,8 @@ class MaterializedCanonical(Canonical):
     def order_lines(self) -> DataFrame:
         return self._get("order_lines", super().order_lines)
 
-    def orders(self, lines: DataFrame | None = None) -> DataFrame:
-        if lines is not None:
-            return super().orders(lines)
-        # roll up the materialized lines: the lineitem scan and joins run once
-        return self._get("orders", lambda: Canonical.orders(self, self.order_lines()))
+    def orders(self) -> DataFrame:
+        return self._get("orders", super().orders)
 
     def interactions(self) -> DataFrame:
         return self._get("interactions", super().interactions)

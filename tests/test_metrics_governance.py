@@ -116,9 +116,9 @@ def test_fairness_brute_force_and_contract(spark):
             assert row["roc_auc"] == pytest.approx(_auc(part["y"].to_numpy(), part["p"].to_numpy()))
     with pytest.raises(ValueError, match="threshold"):
         fairness.fairness_audit(scored, True)
-    with pytest.raises(ValueError, match="binary"):
+    with pytest.raises(ValueError, match="outcome_not_binary"):
         fairness.fairness_audit(scored.withColumn("churn_90d", F.lit(2)), 0.5)
-    with pytest.raises(ValueError, match="populated"):
+    with pytest.raises(ValueError, match="_blank"):
         fairness.fairness_audit(scored.withColumn("region", F.lit(" ")), 0.5)
 
 
