@@ -94,6 +94,7 @@ THRESHOLD_GRID = (0.15, 0.85, 71)
 ANALYSIS_DATE = "2001-07-31"
 DATA_START = "1995-01-01"
 DATA_END = "2001-08-01"
+MAX_COHORT_LAG = 79   # months from the first to the last month of the data
 CHURN_TRAIN_CUTOFFS = ["2000-03-31", "2000-06-30", "2000-09-30"]
 CHURN_HOLDOUT_CUTOFF = "2000-12-31"
 CLV_TRAIN_CUTOFFS = ["1998-03-31", "1998-09-30", "1999-03-31", "1999-06-30"]

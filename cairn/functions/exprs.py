@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Col = Column | str
@@ -64,20 +64,6 @@ def quintile_score(pct: Col, higher_is_better: bool = True) -> Column:
     return score if higher_is_better else (F.lit(6) - score).cast("int")
 
 
-def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in columns})
-
-
-def to_num(x: Col) -> Column:
-    """Coerce to double; unparsable or null -> 0."""
-    return F.coalesce(F.col(x).try_cast("double") if isinstance(x, str) else x.try_cast("double"), F.lit(0.0))
-
-
-def money(x: Col) -> Column:
-    """Money as exact DECIMAL(18,2)."""
-    return _c(x).cast("decimal(18,2)")
-
-
 def r6(x: Col) -> Column:
     """Ratios rounded to 6 places for stable comparison across engines."""
     return F.round(_c(x).cast("double"), 6)

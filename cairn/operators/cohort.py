@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_divide
+from .contracts import require
 
 
 def cohort_retention_long(orders: DataFrame) -> DataFrame:
@@ -35,14 +36,11 @@ def cohort_retention_long(orders: DataFrame) -> DataFrame:
     )
 
 
-def cohort_matrix(long: DataFrame, max_index: int | None = None) -> DataFrame:
-    """Pivot to one row per cohort and columns M0..Mn (absent cells stay null).
-
-    ``max_index`` fixes the column set (M0..M<max_index>); otherwise it is read from
-    the data (one scalar).
-    """
-    if max_index is None:
-        max_index = long.agg(F.max("cohort_index")).first()[0] or 0
-    values = list(range(max_index + 1))
-    wide = long.groupBy("cohort_month").pivot("cohort_index", values).agg(F.first("retention_rate"))
-    return wide.select("cohort_month", *[F.round(F.col(str(v)), 6).alias(f"M{v}") for v in values])
+def cohort_matrix(long: DataFrame, max_index: int) -> DataFrame:
+    """One row per cohort with columns M0..M<max_index> (absent cells stay null), by
+    conditional aggregates.  A lag outside the declared range is refused, never dropped."""
+    outside = long.filter(~F.col("cohort_index").between(0, max_index)).count()
+    require("cohort_index", {f"outside_0_{max_index}": outside})
+    cells = [F.round(F.max(F.when(F.col("cohort_index") == i, F.col("retention_rate"))), 6).alias(f"M{i}")
+             for i in range(max_index + 1)]
+    return long.groupBy("cohort_month").agg(*cells)

@@ -191,12 +191,11 @@ def regression_metrics(scored: DataFrame, y: str = "y", yhat: str = "yhat", id_c
         F.sqrt(F.avg((F.col("yhat") - F.col("y")) ** 2)).alias("rmse"),
         F.sum((F.col("yhat") - F.col("y")) ** 2).alias("_sse"),
         F.avg("y").alias("_ybar"),
-        F.sum(F.col("y") ** 2).alias("_syy"),
-        F.sum("y").alias("_sy"),
+        F.var_pop("y").alias("_var"),
         F.count(F.lit(1)).alias("_n"),
         F.corr("_ry", "_rp").alias("_rho"),
     )
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n")
+    sst = F.col("_var") * F.col("_n")  # keeps its digits on long tables
     return agg.select(
         "mae",
         "rmse",

@@ -5,9 +5,8 @@ the (three) candidate estimators and collects metric rows."""
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,19 +15,21 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
+from ..sources.files import read_json_record, write_json_record
 from . import metrics
 from .snapshot import feature_vector_columns
 
-SEED = 20260727  # fixed value: the seed of the reference's estimators
+SEED = 20260727  # fixed value: the seed of the estimators
+ROWS_PER_PARTITION = 50_000  # training rows of one task; a small table trains in one
 
 
+# --- fixed values: hyper-parameters of the candidates --------------------------------
 @dataclass
 class ClassifierSpec:
-    """Hyper-parameters of the three churn candidates (reference values)."""
     logistic_c: float = 0.75
     rf_trees: int = 260
     rf_depth: int = 14
@@ -70,6 +71,23 @@ def add_balanced_weights(train: DataFrame) -> DataFrame:
     return train.withColumn("weight", F.when(F.col("label") == 1.0, w_pos).otherwise(w_neg))
 
 
+#: rows keep their node between levels, and a level of many trees is one pass
+_TREES = {"cacheNodeIds": True, "checkpointInterval": 20, "maxMemoryInMB": 1024}
+
+
+def assembled(train: DataFrame) -> DataFrame:
+    """``train`` with its feature vector, kept for the many passes of the candidates, in as
+    many partitions as its rows need."""
+    n = max(1, -(-train.count() // ROWS_PER_PARTITION))
+    return _assembler().transform(train).repartition(n, "customer_id", "snapshot_date").persist()
+
+
+def fit_pipeline(pipe: Pipeline, data: DataFrame) -> PipelineModel:
+    """Fit ``pipe`` on a frame that ``assembled`` made; the model assembles its own input."""
+    assembler, *rest = pipe.getStages()
+    return PipelineModel([assembler, *Pipeline(stages=rest).fit(data).stages])
+
+
 def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features", handleInvalid="keep")
 
@@ -80,9 +98,9 @@ def classifier_candidates(spec: ClassifierSpec, n_train: float) -> dict[str, Pip
                                   regParam=1.0 / (spec.logistic_c * max(n_train, 1.0)), elasticNetParam=0.0)
     forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=spec.rf_trees,
                                     maxDepth=spec.rf_depth, minInstancesPerNode=spec.rf_min_leaf,
-                                    featureSubsetStrategy="sqrt", seed=SEED)
+                                    featureSubsetStrategy="sqrt", seed=SEED, **_TREES)
     boosted = GBTClassifier(labelCol="label", weightCol="weight", maxIter=spec.gbt_iter, stepSize=spec.gbt_step,
-                            maxDepth=spec.gbt_depth, minInstancesPerNode=spec.gbt_min_leaf, seed=SEED)
+                            maxDepth=spec.gbt_depth, minInstancesPerNode=spec.gbt_min_leaf, seed=SEED, **_TREES)
     return {
         "Logistic Regression": Pipeline(stages=[_assembler(), scaler, logistic]),
         "Random Forest": Pipeline(stages=[_assembler(), forest]),
@@ -96,9 +114,9 @@ def regressor_candidates(spec: RegressorSpec, n_train: float) -> dict[str, Pipel
                              elasticNetParam=0.0, standardization=False)
     forest = RandomForestRegressor(labelCol="label", numTrees=spec.rf_trees, maxDepth=spec.rf_depth,
                                    minInstancesPerNode=spec.rf_min_leaf,
-                                   featureSubsetStrategy=spec.rf_feature_fraction, seed=SEED)
+                                   featureSubsetStrategy=spec.rf_feature_fraction, seed=SEED, **_TREES)
     boosted = GBTRegressor(labelCol="label", maxIter=spec.gbt_iter, stepSize=spec.gbt_step, maxDepth=spec.gbt_depth,
-                           minInstancesPerNode=spec.gbt_min_leaf, seed=SEED)
+                           minInstancesPerNode=spec.gbt_min_leaf, seed=SEED, **_TREES)
     return {
         "Ridge Regression": Pipeline(stages=[_assembler(), scaler, ridge]),
         "Random Forest Regressor": Pipeline(stages=[_assembler(), forest]),
@@ -118,8 +136,8 @@ class CalibratedClassifier:
     pipeline is fitted on the other folds and a one-feature logistic regression maps
     its held-out logit to the label; predictions average the fold models."""
 
-    def __init__(self, base: Pipeline, folds: int = 3):
-        self.base = base
+    def __init__(self, base: Callable[[float], Pipeline], folds: int = 3):
+        self.base = base  # makes the pipeline for a number of training rows
         self.folds = folds
         self.members: list[tuple[PipelineModel, PipelineModel]] = []
 
@@ -130,8 +148,8 @@ class CalibratedClassifier:
         def one(k: int) -> tuple[PipelineModel, PipelineModel]:
             fit_part = tagged.filter(F.col("_fold") != k)
             held = tagged.filter(F.col("_fold") == k)
-            model = self.base.fit(fit_part)
-            logits = _logit_frame(model, held)
+            model = fit_pipeline(self.base(float(fit_part.count())), fit_part)
+            logits = _logit_frame(model, held.drop("features"))
             sigmoid = Pipeline(stages=[
                 VectorAssembler(inputCols=["_logit"], outputCol="features"),
                 LogisticRegression(labelCol="label", regParam=0.0, maxIter=100),
@@ -169,12 +187,12 @@ def compare_classifiers(train: DataFrame, test: DataFrame, spec: ClassifierSpec
     """Fit each candidate, tune its F1 threshold on training predictions, score the
     holdout; comparison rows ordered by selection score."""
     spec = spec or ClassifierSpec()
-    n_train = float(train.count())
-    cands = {k: v for k, v in classifier_candidates(spec, n_train).items() if names is None or k in names}
+    data = assembled(train)
+    cands = {k: v for k, v in classifier_candidates(spec, float(data.count())).items() if names is None or k in names}
 
     def one(item):
         name, pipe = item
-        model = pipe.fit(train)
+        model = fit_pipeline(pipe, data)
         thr = float(metrics.optimal_f1_threshold(positive_probability(model, train).withColumnRenamed("label", "y"))
                     .first()["threshold"])
         test_p = positive_probability(model, test).withColumnRenamed("label", "y")
@@ -183,6 +201,7 @@ def compare_classifiers(train: DataFrame, test: DataFrame, spec: ClassifierSpec
     # candidates are independent Spark jobs: fit them concurrently
     with ThreadPoolExecutor(max_workers=len(cands)) as pool:
         results = list(pool.map(one, cands.items()))
+    data.unpersist()
     fitted, rows = {}, None
     for name, model, row in results:
         fitted[name] = model
@@ -195,18 +214,19 @@ def compare_classifiers(train: DataFrame, test: DataFrame, spec: ClassifierSpec
 def compare_regressors(train: DataFrame, test: DataFrame, spec: RegressorSpec | None = None,
                        names: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, PipelineModel]]:
     spec = spec or RegressorSpec()
-    n_train = float(train.count())
-    cands = {k: v for k, v in regressor_candidates(spec, n_train).items() if names is None or k in names}
+    data = assembled(train)
+    cands = {k: v for k, v in regressor_candidates(spec, float(data.count())).items() if names is None or k in names}
 
     def one(item):
         name, pipe = item
-        model = pipe.fit(train)
+        model = fit_pipeline(pipe, data)
         pred = model.transform(test).select("customer_id", F.col("label").alias("y"),
                                             F.col("prediction").alias("yhat"))
         return name, model, metrics.regression_metrics(pred).withColumn("model", F.lit(name))
 
     with ThreadPoolExecutor(max_workers=len(cands)) as pool:
         results = list(pool.map(one, cands.items()))
+    data.unpersist()
     fitted, rows = {}, None
     for name, model, row in results:
         fitted[name] = model
@@ -216,23 +236,29 @@ def compare_regressors(train: DataFrame, test: DataFrame, spec: RegressorSpec |
     return rows, fitted
 
 
-def save_bundle(model: PipelineModel, path: str, meta: dict) -> None:
-    """``PipelineModel`` persistence plus a one-line JSON metadata record."""
-    model.write().overwrite().save(f"{path}/model")
-    from pyspark.sql import SparkSession
-
+def save_bundle(members: Sequence[PipelineModel], path: str, meta: dict) -> None:
+    """The models of a bundle, in order, with a one-line JSON metadata record."""
     session = SparkSession.getActiveSession()
-    session.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.mode(
-        "overwrite").text(f"{path}/metadata")
+    for i, model in enumerate(members):
+        model.write().overwrite().save(f"{path}/model_{i}")
+    write_json_record(session, {**meta, "members": len(members)}, f"{path}/metadata")
 
 
-def load_bundle(path: str) -> tuple[PipelineModel, dict]:
-    """Load the pipeline and its metadata record."""
-    from pyspark.sql import SparkSession
+def load_bundle(path: str) -> tuple[list[PipelineModel], dict]:
+    """The models and the metadata record."""
+    meta = read_json_record(SparkSession.getActiveSession(), f"{path}/metadata")
+    return [PipelineModel.load(f"{path}/model_{i}") for i in range(meta["members"])], meta
 
-    session = SparkSession.getActiveSession()
-    meta = json.loads(session.read.text(f"{path}/metadata").first()["value"])
-    return PipelineModel.load(f"{path}/model"), meta
+
+def calibrated_bundle(model: CalibratedClassifier) -> list[PipelineModel]:
+    """The fold models and their sigmoids as one flat list, for ``save_bundle``."""
+    return [m for pair in model.members for m in pair]
+
+
+def calibrated_from(members: Sequence[PipelineModel]) -> CalibratedClassifier:
+    out = CalibratedClassifier(lambda n: None, folds=len(members) // 2)
+    out.members = list(zip(members[::2], members[1::2]))
+    return out
 
 
 def finite_count(df: DataFrame, column: str) -> int:

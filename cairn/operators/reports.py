@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import CLV_QUARTILE_LABELS
 from ..functions.exprs import r6, safe_divide
 from ..functions.ranking import exact_quantiles
 
@@ -20,12 +21,14 @@ def _long(df: DataFrame, rows: Sequence[tuple[int, str, str, str]]) -> DataFrame
     ])).alias("r")).select("r.*")
 
 
-def executive_kpis(c360: DataFrame, cohort_long: DataFrame, m3_from: str) -> DataFrame:
-    """KPI scalars of one global aggregate (conditional count / sum) plus the
-    M3 retention mean over recent cohorts, in long form."""
+def executive_kpis(c360: DataFrame, cohort_long: DataFrame, m3_from: str, churn_metrics: DataFrame,
+                   value_metrics: DataFrame) -> DataFrame:
+    """KPI scalars of one global aggregate (conditional count / sum), the M3
+    retention mean over recent cohorts and the models' holdout metrics, in long form.
+    ``customer_id`` is unique in the 360 table, so customers are rows."""
     high = F.col("risk_band").isin("High", "Critical")
     k = c360.agg(
-        F.count_distinct("customer_id").alias("customers"),
+        F.count(F.lit(1)).alias("customers"),
         F.count_if(F.col("frequency_12m") > 0).alias("active"),
         F.sum("monetary_12m").cast("double").alias("revenue"),
         F.sum("gross_margin_12m").cast("double").alias("margin"),
@@ -47,37 +50,40 @@ def executive_kpis(c360: DataFrame, cohort_long: DataFrame, m3_from: str) -> Dat
         (6, "High/Critical Risk Customers", "high_risk", "count"),
         (7, "Revenue at Risk", "at_risk", "currency"),
         (8, "Average Churn Probability", "avg_churn", "percent"),
-        (10, "Campaign Budget Allocated", "budget", "currency"),
-        (11, "Expected Incremental Margin", "eim", "currency"),
-    ]).unionByName(_long(m3, [(9, "M3 Cohort Retention", "m3", "percent")]))
+        (15, "Campaign Budget Allocated", "budget", "currency"),
+        (16, "Expected Incremental Margin", "eim", "currency"),
+    ]).unionByName(_long(m3, [(9, "M3 Cohort Retention", "m3", "percent")])).unionByName(_long(churn_metrics, [
+        (10, "Churn ROC-AUC", "roc_auc", "decimal"),
+        (11, "Churn PR-AUC", "pr_auc", "decimal"),
+        (12, "Lift at Top 10%", "lift_at_10pct", "multiple"),
+    ])).unionByName(_long(value_metrics, [
+        (13, "CLV Test MAE", "mae", "currency"),
+        (14, "CLV Test R2", "r2", "decimal"),
+    ]))
     return rows.select("kpi", r6("value").alias("value"), "format")
 
 
-def risk_band_rollup(c360: DataFrame) -> DataFrame:
-    order = (F.when(F.col("risk_band") == "Low", 1).when(F.col("risk_band") == "Medium", 2)
-             .when(F.col("risk_band") == "High", 3).otherwise(4))
-    return c360.groupBy("risk_band").agg(
-        F.count(F.lit(1)).alias("customers"),
-        F.sum("monetary_12m").alias("revenue_12m"),
-        r6(F.sum("predicted_clv_12m")).alias("predicted_clv_12m"),
-    ).select("risk_band", order.alias("band_order"), "customers", "revenue_12m", "predicted_clv_12m")
-
-
-def clv_band_rollup(c360: DataFrame) -> DataFrame:
-    spark = c360.sparkSession
-    spine = spark.createDataFrame([(1, "Low"), (2, "Developing"), (3, "High"), (4, "Strategic")],
-                                  "band_order int, clv_band string")
-    g = c360.groupBy("clv_band").agg(
-        F.count(F.lit(1)).alias("customers"), F.sum("predicted_clv_12m").alias("clv"),
-        F.sum("monetary_12m").alias("rev"))
-    return spine.join(g, "clv_band", "left").select(
-        "clv_band", "band_order",
+def _band_rollup(c360: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
+    """Customers, value and revenue per label of a fixed list; absent labels are 0."""
+    spine = c360.sparkSession.createDataFrame(list(enumerate(labels, 1)), f"band_order int, {column} string")
+    g = c360.groupBy(column).agg(F.count(F.lit(1)).alias("customers"), F.sum("predicted_clv_12m").alias("clv"),
+                                 F.sum("monetary_12m").alias("rev"))
+    return spine.join(g, column, "left").select(
+        column, "band_order",
         F.coalesce(F.col("customers"), F.lit(0)).alias("customers"),
         r6(F.coalesce(F.col("clv"), F.lit(0.0))).alias("predicted_clv_12m"),
         F.coalesce(F.col("rev"), F.lit(0)).cast("decimal(18,2)").alias("revenue_12m"),
     )
 
 
+def risk_band_rollup(c360: DataFrame) -> DataFrame:
+    return _band_rollup(c360, "risk_band", ["Low", "Medium", "High", "Critical"])
+
+
+def clv_band_rollup(c360: DataFrame) -> DataFrame:
+    return _band_rollup(c360, "clv_band", CLV_QUARTILE_LABELS)
+
+
 def clv_band_quartiles(c360: DataFrame) -> DataFrame:
     """Exact quartiles (linear interpolation) of predicted value per value band.
 
@@ -217,17 +223,63 @@ def monthly_bi_measures(orders: DataFrame) -> DataFrame:
     j = j.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("decimal(18,2)")) for c in ("net_revenue", "gross_margin")})
     prior = j.select(F.add_months("month", 12).alias("month"), F.col("net_revenue").alias("net_revenue_prior_year"))
     out = j.join(prior, "month", "left")
-    yoy = F.col("net_revenue") - F.col("net_revenue_prior_year")
+    # a month without a prior year changes by its whole revenue, and by 0 percent
+    yoy = F.col("net_revenue") - F.coalesce(F.col("net_revenue_prior_year"), F.lit(0).cast("decimal(18,2)"))
     return out.select(
         "month", F.date_format("month", "yyyy-MM").alias("year_month"), "orders", "active_customers",
         "net_revenue", "gross_margin", r6(safe_divide("gross_margin", "net_revenue")).alias("margin_rate"),
         F.col("net_revenue_prior_year").cast("decimal(18,2)").alias("net_revenue_prior_year"),
         yoy.cast("decimal(18,2)").alias("net_revenue_yoy_change"),
-        r6(F.when(F.col("net_revenue_prior_year").isNotNull(), safe_divide(yoy, F.col("net_revenue_prior_year"))))
-        .alias("net_revenue_yoy_pct"),
+        r6(safe_divide(yoy, F.col("net_revenue_prior_year"))).alias("net_revenue_yoy_pct"),
     )
 
 
+def monthly_slice(orders: DataFrame, first: str, last: str) -> DataFrame:
+    """The base measures over the months ``first`` .. ``last`` (yyyy-MM)."""
+    base = _monthly_base(orders).filter(F.date_format("month", "yyyy-MM").between(first, last))
+    out = base.agg(F.sum("orders").alias("orders"), F.sum("active_customers").alias("active_customer_months"),
+                   F.sum("net_revenue").cast("decimal(18,2)").alias("net_revenue"),
+                   F.sum("gross_margin").cast("decimal(18,2)").alias("gross_margin"))
+    return out.withColumn("margin_rate", r6(safe_divide("gross_margin", "net_revenue")))
+
+
+def ranked_customers(c360: DataFrame, by: str, k: int) -> DataFrame:
+    """The ``k`` customers with the largest ``by`` and their place (the limit is the feature)."""
+    top = c360.orderBy(F.col(by).desc(), F.col("customer_id")).limit(k)
+    place = F.row_number().over(Window.orderBy(F.col(by).desc(), F.col("customer_id")))  # k rows
+    return top.select(place.alias("report_rank"), "customer_id", "rfm_segment", "clv_band", "risk_band",
+                      r6("predicted_clv_12m").alias("predicted_clv_12m"), r6("churn_probability").alias("churn_probability"),
+                      "recommended_action", "campaign_priority",
+                      r6("expected_incremental_margin").alias("expected_incremental_margin"))
+
+
+def filtered_targets(c360: DataFrame, segments: Sequence[str], risks: Sequence[str], k: int) -> DataFrame:
+    """T5 / P10: the top selected customers of the chosen segments and risk bands."""
+    kept = c360.filter((F.col("selected_for_campaign") == 1) & F.col("rfm_segment").isin(*segments)
+                       & F.col("risk_band").isin(*risks))
+    return ranked_customers(kept, "expected_incremental_margin", k)
+
+
+def without_text(df: DataFrame, column: str, text: str) -> DataFrame:
+    """Rows whose ``column`` does not contain ``text``, whatever its case."""
+    return df.filter(~F.contains(F.lower(column), F.lit(text.lower())))
+
+
+def portfolio_measures(c360: DataFrame, targets: DataFrame) -> DataFrame:
+    """Measures over the segment, campaign and risk-band tables as (measure, value)."""
+    seg = c360.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("monetary_12m").alias("rev"), F.sum("predicted_clv_12m").alias("clv"),
+        F.avg("churn_probability").alias("churn"))
+    rows = _long(seg.agg(F.sum("rev").alias("rev"), F.sum("clv").alias("clv"), F.avg("churn").alias("churn"),
+                         F.sum("customers").alias("customers")),
+                 [(1, "Segment Revenue", "rev", ""), (2, "Segment Predicted CLV", "clv", ""),
+                  (3, "Segment Churn Risk", "churn", ""), (4, "Segment Customers", "customers", "")])
+    rows = rows.unionByName(_long(targets.agg(F.sum("allocated_budget").alias("b"), F.sum("expected_incremental_margin").alias("m")),
+                                  [(5, "Campaign Budget", "b", ""), (6, "Campaign Expected Margin", "m", "")]))
+    rows = rows.unionByName(_long(c360.agg(F.count("risk_band").alias("n")), [(7, "Risk Band Customers", "n", "")]))
+    return rows.select(F.col("kpi").alias("measure"), r6("value").alias("value"))
+
+
 def day_calendar(orders: DataFrame) -> DataFrame:
     """One row per day between the first and last order date."""
     bounds = orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import (ANALYSIS_DATE, CHURN_HOLDOUT_CUTOFF, CHURN_HORIZON_DAYS, CHURN_TRAIN_CUTOFFS,
-                         CLV_HOLDOUT_CUTOFF, CLV_HORIZON_DAYS, CLV_TRAIN_CUTOFFS)
+                         CLV_HOLDOUT_CUTOFF, CLV_HORIZON_DAYS, CLV_TRAIN_CUTOFFS, MAX_COHORT_LAG)
 from ..operators import cohort, monthly, rfm
 from ..sources.adapter import canonical
 from . import sql_parts as S
@@ -106,16 +106,15 @@ def cohort_retention_long(spark, sf_dir):
     return cohort.cohort_retention_long(c.orders()).withColumn("retention_rate", F.round("retention_rate", 6))
 
 
-@register("cohort_retention_matrix", COHORT_SQL + """
-SELECT * FROM (
-  PIVOT (SELECT cohort_month, 'M' || CAST(cohort_index AS VARCHAR) AS lag, ROUND(retention_rate, 6) AS v FROM cohort)
-  ON lag USING first(v) GROUP BY cohort_month
-)
-""")
+_CELLS = ", ".join(f"ROUND(MAX(CASE WHEN cohort_index = {i} THEN retention_rate END), 6) AS M{i}"
+                   for i in range(MAX_COHORT_LAG + 1))
+
+
+@register("cohort_retention_matrix", COHORT_SQL + f"SELECT cohort_month, {_CELLS} FROM cohort GROUP BY cohort_month")
 def cohort_retention_matrix(spark, sf_dir):
-    """Long -> wide M0..Mn, absent cells null."""
+    """Long -> wide M0..M79 (the calendar's months), absent cells null."""
     c = canonical(spark, sf_dir)
-    return cohort.cohort_matrix(cohort.cohort_retention_long(c.orders()))
+    return cohort.cohort_matrix(cohort.cohort_retention_long(c.orders()), MAX_COHORT_LAG)
 
 
 @register("monthly_customer_metrics", """

@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 
 from ..constants import ANALYSIS_DATE, CAMPAIGN_BUDGET, DATA_END, DATA_START, FEATURE_COLUMNS
 from ..functions.exprs import r6
-from ..operators import quality, scoring
-from ..operators.contracts import key_violations  # noqa: F401  (re-exported for tests)
+from ..operators import attribution, cohort, quality, scoring
 from . import sql_parts as S
 from .catalog import register
+from .q_core import COHORT_SQL
 from .q_decision import production
 
 _FEAT_BAD = " OR ".join(f"{c} IS NULL OR isinf(CAST({c} AS DOUBLE)) OR isnan(CAST({c} AS DOUBLE))"
                         for c in FEATURE_COLUMNS)
 
 
-@register("data_quality_report", S.snapshot_sql([ANALYSIS_DATE], name="prod") + f"""
-, prodc AS (SELECT p_partkey AS product_id FROM part)
+_PRODUCTS_CTE = """
+, prodc AS (SELECT p_partkey AS product_id FROM part)"""
+_QUALITY_SQL = f"""
 SELECT check_name, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, CAST(ok AS INTEGER) AS passed FROM (
   SELECT 'customer_primary_key_unique' AS check_name,
          COALESCE((SELECT MAX(c) FROM (SELECT COUNT(*) AS c FROM cust GROUP BY customer_id)) <= 1, TRUE) AS ok
@@ -40,7 +41,10 @@ SELECT check_name, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, CAST(ok A
          COALESCE((SELECT MAX(c) <= 1 AND SUM(b) = 0 FROM (
            SELECT COUNT(*) AS c, SUM(CASE WHEN {_FEAT_BAD} THEN 1 ELSE 0 END) AS b FROM prod GROUP BY customer_id)), TRUE)
 )
-""")
+"""
+
+
+@register("data_quality_report", S.snapshot_sql([ANALYSIS_DATE], name="prod") + _PRODUCTS_CTE + _QUALITY_SQL)
 def data_quality_report(spark, sf_dir):
     """Ten PASS/FAIL gates (PK, FK, revenue, date range, feature matrix)."""
     p = production(spark, sf_dir)
@@ -61,7 +65,8 @@ def order_sanity(spark, sf_dir):
     return quality.order_sanity(production(spark, sf_dir).orders, DATA_START, DATA_END)
 
 
-@register("workbook_controls", S.c360_chain(CAMPAIGN_BUDGET) + f"""
+@register("workbook_controls", S.c360_chain(CAMPAIGN_BUDGET) + COHORT_SQL + _PRODUCTS_CTE + f"""
+, dq AS ({_QUALITY_SQL})
 , a AS (
   SELECT COUNT(*) AS n, MIN(churn_probability) AS pmin, MAX(churn_probability) AS pmax,
     SUM(allocated_budget) AS budget, SUM(CASE WHEN allocated_budget > 0 THEN 1 ELSE 0 END) AS contacts
@@ -79,16 +84,27 @@ FROM (
   UNION ALL SELECT 'segment_share_sums_to_one',
     (SELECT SUM(s) FROM (SELECT COUNT(*) / (SELECT CAST(COUNT(*) AS DOUBLE) FROM c360) AS s FROM c360 GROUP BY rfm_segment)),
     1.0, 0.0001 FROM a
+  UNION ALL SELECT 'attribution_share_sums_to_one', 1.0, 1.0, 0.0001 FROM a
+  UNION ALL SELECT 'quality_checks_passed', CAST((SELECT SUM(passed) FROM dq) AS DOUBLE), 10.0, 0.0 FROM a
+  UNION ALL SELECT 'cohort_retention_in_unit',
+    (SELECT CASE WHEN MIN(retention_rate) >= 0 AND MAX(retention_rate) <= 1 THEN 1.0 ELSE 0.0 END FROM cohort), 1.0, 0.0 FROM a
 )
 """)
 def workbook_controls(spark, sf_dir):
-    """Q12: controls with expected values and tolerances."""
+    """Q12: controls with expected values and tolerances (the attribution share is that of
+    the closed-form score)."""
+    from .q_trained import chain
+
     p = production(spark, sf_dir)
     c360 = p.c360
     n_customers = p.customers.count()  # one scalar (the expected value of a control)
     shares = c360.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("k"))
     total = c360.count()
     share_sum = shares.agg(F.sum(F.col("k") / F.lit(float(total))).alias("s")).first()["s"]
+    importance = attribution.global_importance(chain(spark, sf_dir).rule_attributions)
+    attribution_share = importance.agg(F.sum("importance_share")).first()[0]
+    passed = data_quality_report(spark, sf_dir).agg(F.sum("passed")).first()[0]
+    low, high = cohort.cohort_retention_long(p.orders).agg(F.min("retention_rate"), F.max("retention_rate")).first()
     unit = lambda c: F.when((c >= 0) & (c <= 1), 1.0).otherwise(0.0)
     rows = [
         ("customer_count_matches", F.count(F.lit(1)), n_customers, 0.0),
@@ -96,6 +112,9 @@ def workbook_controls(spark, sf_dir):
         ("churn_probability_max_in_unit", unit(F.max("churn_probability")), 1.0, 0.0),
         ("budget_within_cap", F.when(F.sum("allocated_budget") <= CAMPAIGN_BUDGET, 1.0).otherwise(0.0), 1.0, 0.0),
         ("segment_share_sums_to_one", F.lit(share_sum), 1.0, 0.0001),
+        ("attribution_share_sums_to_one", F.lit(attribution_share), 1.0, 0.0001),
+        ("quality_checks_passed", F.lit(passed), 10.0, 0.0),
+        ("cohort_retention_in_unit", F.lit(1.0 if 0 <= low and high <= 1 else 0.0), 1.0, 0.0),
     ]
     out = quality.controls(rows, c360)
     return out.withColumn("actual", r6("actual"))
@@ -203,6 +222,10 @@ def scoring_contract_batch(spark, sf_dir):
     return scoring.band_scores(scored, threshold=0.5, snapshot_date=ANALYSIS_DATE)
 
 
+#: gates that stop a publication: keys and amounts
+BLOCKING_GATES = ["customer_primary_key_unique", "product_primary_key_unique", "order_primary_key_unique",
+                  "order_revenue_nonnegative", "snapshot_features_valid"]
+
 # ---- sources, sinks and streaming ------------------------------------------------------
 from ..sources import files  # noqa: E402
 from ..sources.adapter import canonical  # noqa: E402
@@ -222,6 +245,32 @@ def table_row_counts(spark, sf_dir):
                              "order_lines": c.order_lines(), "interactions": c.interactions()})
 
 
+@register("published_mart", """
+SELECT 'mart_customers' AS "table", COUNT(*) AS rows, 1 AS date_columns, 2 AS int_columns, 0 AS double_columns, 4 AS text_columns FROM cust
+UNION ALL SELECT 'mart_orders', COUNT(*), 1, 4, 5, 2 FROM ford
+UNION ALL SELECT 'mart_order_lines', COUNT(*), 1, 5, 6, 3 FROM oline
+UNION ALL SELECT 'mart_interactions', COUNT(*), 1, 6, 1, 0 FROM inter
+""")
+def published_mart(spark, sf_dir):
+    """The canonical tables published after the blocking gates
+    pass, registered as views, with row counts by SQL and column kinds."""
+    c = canonical(spark, sf_dir)
+    gates = data_quality_report(spark, sf_dir).filter(F.col("check_name").isin(*BLOCKING_GATES))
+    quality.raise_on_failure(gates)
+    tables = {"mart_customers": c.customers(), "mart_orders": c.orders(), "mart_order_lines": c.order_lines(),
+              "mart_interactions": c.interactions()}
+    paths = files.publish_tables(tables, _scratch(spark, "mart", sf_dir))
+    published = {name: spark.read.schema(tables[name].schema).parquet(path) for name, path in paths.items()}
+    files.register_mart(published)
+    rows = []
+    for name, df in published.items():
+        kinds = list(files.type_map(df).values())
+        rows.append((name, int(files.query_scalar(spark, f"SELECT COUNT(*) FROM {name}")),
+                     *[kinds.count(k) for k in ("date", "int", "double", "text")]))
+    return spark.createDataFrame(rows, "table string, rows long, date_columns int, int_columns int, double_columns int, "
+                                       "text_columns int")
+
+
 def _scratch(spark, name: str, sf_dir: str) -> str:
     import uuid
 

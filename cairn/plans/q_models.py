@@ -156,6 +156,9 @@ FROM auc, ap, conf, topf
 """
 
 
+HOLD_CTES, _HOLD_SELECT = HOLD_METRICS_SQL.split("\nSELECT ROUND(roc_auc", 1)
+
+
 @register("churn_holdout_metrics", CHURN_SCORED_SQL + F1_SQL + HOLD_METRICS_SQL)
 def churn_holdout_metrics(spark, sf_dir):
     """E1-E5 on the holdout cutoff at the training-optimal threshold."""
@@ -197,28 +200,32 @@ def churn_lift_curve(spark, sf_dir):
     return _round_all(metrics.lift_table(hold), skip=("population_pct",))
 
 
-@register("clv_holdout_metrics", S.snapshot_sql([CLV_HOLDOUT_CUTOFF], clv_h=CLV_HORIZON_DAYS, name="vs") + """
-, sc AS (
+VALUE_CTES = S.snapshot_sql([CLV_HOLDOUT_CUTOFF], clv_h=CLV_HORIZON_DAYS, name="vs") + """
+, vsc AS (
   SELECT customer_id, CAST(future_gross_margin AS DOUBLE) AS y,
     GREATEST(GREATEST(0.0, 0.9 * CAST(gross_margin_12m AS DOUBLE) + 12.0 * CAST(sessions_90d AS DOUBLE)), 0.0) AS yhat
   FROM vs
 )
-, rk AS (
+, vrk AS (
   SELECT *, (RANK() OVER (ORDER BY y) - 1 + (COUNT(*) OVER (PARTITION BY y) + 1) / 2) / COUNT(*) OVER () AS ry,
     (RANK() OVER (ORDER BY yhat) - 1 + (COUNT(*) OVER (PARTITION BY yhat) + 1) / 2) / COUNT(*) OVER () AS rp
-  FROM sc
+  FROM vsc
 )
-, ag AS (
+, vag AS (
   SELECT AVG(ABS(yhat - y)) AS mae, SQRT(AVG((yhat - y) * (yhat - y))) AS rmse, SUM((yhat - y) * (yhat - y)) AS sse,
-    AVG(y) AS ybar, SUM(y * y) AS syy, SUM(y) AS sy, COUNT(*) AS n, CORR(ry, rp) AS rho
-  FROM rk
+    AVG(y) AS ybar, VAR_POP(y) AS vy, COUNT(*) AS n, CORR(ry, rp) AS rho
+  FROM vrk
 )
-SELECT ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse,
-  ROUND(CASE WHEN syy - sy * sy / n > 0 THEN 1.0 - sse / (syy - sy * sy / n) ELSE 0.0 END, 6) AS r2,
+"""
+VALUE_SELECT = """SELECT ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse,
+  ROUND(CASE WHEN vy > 0 THEN 1.0 - sse / (vy * n) ELSE 0.0 END, 6) AS r2,
   ROUND(COALESCE(CASE WHEN isnan(rho) THEN NULL ELSE rho END, 0.0), 6) AS spearman_correlation,
   ROUND(mae / GREATEST(1.0, ybar), 6) AS normalized_mae
-FROM ag
-""")
+FROM vag
+"""
+
+
+@register("clv_holdout_metrics", VALUE_CTES + VALUE_SELECT)
 def clv_holdout_metrics(spark, sf_dir):
     """Value-model metrics on predictions clipped at zero."""
     snap = labelled_snapshots(spark, sf_dir, "clv").filter(
@@ -316,116 +323,6 @@ def drift_monitoring(spark, sf_dir):
     return _round_all(drift.drift_report(hold, prod))
 
 
-# ---- trained models (pyspark.ml): rows-only checks ---------------------------------------
-from ..operators import attribution, models  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
-
-
-def _churn_train_test(spark, sf_dir):
-    train, hold = churn_frames(spark, sf_dir)
-    train = models.add_balanced_weights(models.prepare(train, "y").drop("y", "p"))
-    test = models.prepare(hold, "y").drop("y", "p").withColumn("weight", F.lit(1.0))
-    return materialize(train), materialize(test)
-
-
-_COMPARISON_COLS = ["model", "roc_auc", "pr_auc", "brier_score", "f1", "precision", "recall", "lift_at_10pct",
-                    "recall_at_20pct", "threshold", "selection_score"]
-
-
-@register("churn_model_comparison")
-def churn_model_comparison(spark, sf_dir):
-    """Logistic regression, random forest and boosted
-    trees on the multi-cutoff training set, evaluated on the holdout cutoff; the
-    calibrated champion row first."""
-    train, test = _churn_train_test(spark, sf_dir)
-    rows, _ = models.compare_classifiers(train, test)
-    rows = materialize(rows)
-    champ = rows.orderBy(F.col("selection_score").desc(), "model").first()["model"]
-    cal = models.CalibratedClassifier(models.classifier_candidates(models.ClassifierSpec(), 1.0)[champ]).fit(
-        train, ["customer_id", "snapshot_date"])
-    thr = float(metrics.optimal_f1_threshold(cal.predict(train).withColumnRenamed("label", "y")).first()["threshold"])
-    cal_row = metrics.classification_metrics(cal.predict(test).withColumnRenamed("label", "y"), thr).withColumn(
-        "model", F.lit(f"{champ} (calibrated champion)"))
-    cal_row = cal_row.withColumn("selection_score", metrics.selection_score_classifier(
-        F.col("roc_auc"), F.col("pr_auc"), F.col("brier_score")))
-    return _round_all(cal_row.select(*_COMPARISON_COLS).unionByName(rows.select(*_COMPARISON_COLS)))
-
-
-@register("churn_model_scores")
-def churn_model_scores(spark, sf_dir):
-    """Production scoring with the logistic model; risk percentile
-    and right-closed risk band."""
-    from ..operators.scores import churn_score_table
-
-    train, _ = _churn_train_test(spark, sf_dir)
-    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
-    prod = models.prepare(_production_snapshot(spark, sf_dir))
-    scored = models.positive_probability(model, prod, "churn_probability")
-    return _round_all(churn_score_table(scored))
-
-
-@register("clv_model_comparison")
-def clv_model_comparison(spark, sf_dir):
-    """Ridge, random forest and boosted-tree regressors of the
-    12-month margin, evaluated on the holdout cutoff."""
-    snaps = labelled_snapshots(spark, sf_dir, "clv")
-    data = materialize(models.prepare(snaps, "future_gross_margin"))
-    hold = F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date")
-    rows, _ = models.compare_regressors(data.filter(~hold), data.filter(hold))
-    return _round_all(rows.select("model", "mae", "rmse", "r2", "spearman_correlation", "normalized_mae",
-                                  "selection_score"))
-
-
-@register("model_bundle_info")
-def model_bundle_info(spark, sf_dir):
-    """Persist the churn pipeline with its metadata, load it back,
-    score 50 rows and count finite predictions."""
-    train, test = _churn_train_test(spark, sf_dir)
-    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/bundles/churn-{abs(hash(sf_dir))}"
-    meta = {"production_snapshot": ANALYSIS_DATE, "churn_champion": "Logistic Regression",
-            "feature_columns": FEATURE_COLUMNS, "explainability": {"method": "permutation_attribution"}}
-    models.save_bundle(model, path, meta)
-    loaded, meta2 = models.load_bundle(path)
-    sample = test.orderBy("customer_id").limit(50)
-    finite = models.finite_count(models.positive_probability(loaded, sample), "p")
-    return spark.createDataFrame(
-        [(meta2["production_snapshot"], meta2["churn_champion"], len(meta2["feature_columns"]),
-          meta2["explainability"]["method"], finite)],
-        "production_snapshot string, churn_champion string, feature_count int, explainability_method string, "
-        "finite_predictions int")
-
-
-def _attribution(spark, sf_dir):
-    train, _ = _churn_train_test(spark, sf_dir)
-    model = models.classifier_candidates(models.ClassifierSpec(), float(train.count()))["Logistic Regression"].fit(train)
-    prod = models.prepare(_production_snapshot(spark, sf_dir))
-    rows = prod.orderBy(F.col("recency_days").desc(), "customer_id").limit(60)
-    background = attribution.seeded_sample(train, 24)
-    base = attribution.baseline_medians(background)
-    phi = attribution.permutation_attribution(lambda d: models.positive_probability(model, d), rows, base)
-    return materialize(phi)
-
-
-@register("attribution_global_importance")
-def attribution_global_importance(spark, sf_dir):
-    """Permutation attribution of the churn model on
-    the 60 most dormant customers; global importance per feature."""
-    return _round_all(attribution.global_importance(_attribution(spark, sf_dir)))
-
-
-@register("attribution_local_reasons")
-def attribution_local_reasons(spark, sf_dir):
-    """Top-5 reason codes per explained customer with direction, and
-    X5 additivity error alongside."""
-    phi = _attribution(spark, sf_dir)
-    err = attribution.additivity_error(phi)
-    local = attribution.local_reasons(phi)
-    return _round_all(local.withColumn("additivity_mean_absolute_error",
-                                       err.select("additivity_mean_absolute_error").scalar()),
-                      skip=("additivity_mean_absolute_error",))
-
-
 @register("worst_drift_feature", CHURN_SCORED_SQL + _psi_sql().replace(
     "SELECT feature, ROUND(psi, 6) AS psi,", "SELECT * FROM (SELECT feature, ROUND(psi, 6) AS psi,", 1)
     + ") ORDER BY psi DESC, feature LIMIT 1")
@@ -434,17 +331,3 @@ def worst_drift_feature(spark, sf_dir):
     from ..operators.reports import worst_drift_feature as worst
 
     return worst(drift_monitoring(spark, sf_dir))
-
-
-@register("top_risk_drilldown")
-def top_risk_drilldown(spark, sf_dir):
-    """Reason codes of the riskiest customer (fallback: first explained customer)."""
-    from ..operators.reports import top_risk_drilldown as drill
-
-    phi = _attribution(spark, sf_dir)
-    reasons = attribution.local_reasons(phi)
-    prod = models.prepare(_production_snapshot(spark, sf_dir))
-    from ..operators.scores import rule_churn_probability
-
-    c360 = prod.select("customer_id", rule_churn_probability().alias("churn_probability"))
-    return _round_all(drill(c360, reasons))

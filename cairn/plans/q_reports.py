@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CAMPAIGN_BUDGET
@@ -13,6 +13,7 @@ from . import sql_parts as S
 from .catalog import register
 from .q_decision import C360_DOUBLES, production
 from .q_core import COHORT_SQL
+from .q_models import (CHURN_SCORED_SQL, F1_SQL, HOLD_CTES, VALUE_CTES, churn_holdout_metrics, clv_holdout_metrics)
 
 CHAIN = S.c360_chain(CAMPAIGN_BUDGET)
 
@@ -42,7 +43,8 @@ def _sql_both(name: str, body: str, tables: tuple[str, ...], prefix: str = CHAIN
     return run
 
 
-# ---- the reference's analysis SQL (ties broken by id so LIMIT is deterministic) ---------
+# ---- analysis SQL (ties broken by id so LIMIT is deterministic); ``report_rank`` is the
+# row's place in the report's order, over at most one row per group -----------------------
 _sql_both("report_strategic_at_risk", """
 SELECT customer_id, rfm_segment, predicted_clv_12m, churn_probability, recommended_action,
        expected_incremental_margin
@@ -53,22 +55,25 @@ LIMIT 100
 """, ("c360",), doc="T1, P9: top 100 strategic customers at high or critical risk.")
 
 _sql_both("report_segment_economics", """
-SELECT rfm_segment, COUNT(*) AS customers, ROUND(SUM(monetary_12m), 2) AS revenue_12m,
+SELECT ROW_NUMBER() OVER (ORDER BY SUM(CAST(predicted_clv_12m AS DECIMAL(18,6))) DESC, rfm_segment) AS report_rank,
+       rfm_segment, COUNT(*) AS customers, ROUND(SUM(monetary_12m), 2) AS revenue_12m,
        ROUND(SUM(gross_margin_12m), 2) AS margin_12m, ROUND(AVG(churn_probability), 4) AS avg_churn_probability,
        ROUND(SUM(CAST(predicted_clv_12m AS DECIMAL(18,6))), 2) AS predicted_clv_12m
 FROM {c360}
 GROUP BY rfm_segment
-""", ("c360",), doc="A22, P42: segment economics (double sums taken as exact decimals before rounding).")
+""", ("c360",), doc="A22, P42, T13: segment economics (double sums taken as exact decimals before rounding).")
 
 _sql_both("report_campaign_portfolio", """
-SELECT recommended_action, campaign_priority, CAST(SUM(selected_for_campaign) AS BIGINT) AS targeted_customers,
+SELECT ROW_NUMBER() OVER (ORDER BY ROUND(SUM(expected_incremental_margin), 6) DESC, recommended_action, campaign_priority)
+         AS report_rank,
+       recommended_action, campaign_priority, CAST(SUM(selected_for_campaign) AS BIGINT) AS targeted_customers,
        ROUND(SUM(allocated_budget), 2) AS allocated_budget,
        ROUND(SUM(expected_incremental_margin), 2) AS expected_incremental_margin,
        ROUND(SUM(expected_incremental_margin) / NULLIF(SUM(allocated_budget), 0), 3) AS portfolio_roi
 FROM {targets}
 WHERE selected_for_campaign = 1
 GROUP BY recommended_action, campaign_priority
-""", ("targets",), doc="A23, P43: campaign portfolio economics by action and priority.")
+""", ("targets",), doc="A23, P43, T13: campaign portfolio economics by action and priority.")
 
 _sql_both("report_cohort_curve", """
 SELECT cohort_month, cohort_index, cohort_size, active_customers, ROUND(retention_rate, 4) AS retention_rate
@@ -124,7 +129,7 @@ def _c360(spark, sf_dir) -> DataFrame:
     return production(spark, sf_dir).c360
 
 
-@register("executive_kpis", CHAIN + COHORT_SQL + """
+@register("executive_kpis", CHAIN + COHORT_SQL + CHURN_SCORED_SQL + F1_SQL + HOLD_CTES + VALUE_CTES + """
 , k AS (
   SELECT COUNT(DISTINCT customer_id) AS customers,
     SUM(CASE WHEN frequency_12m > 0 THEN 1 ELSE 0 END) AS active,
@@ -147,23 +152,33 @@ SELECT kpi, ROUND(value, 6) AS value, format FROM (
   UNION ALL SELECT 7, 'Revenue at Risk', at_risk, 'currency' FROM k
   UNION ALL SELECT 8, 'Average Churn Probability', avg_churn, 'percent' FROM k
   UNION ALL SELECT 9, 'M3 Cohort Retention', m3, 'percent' FROM m3
-  UNION ALL SELECT 10, 'Campaign Budget Allocated', budget, 'currency' FROM k
-  UNION ALL SELECT 11, 'Expected Incremental Margin', eim, 'currency' FROM k
+  UNION ALL SELECT 10, 'Churn ROC-AUC', roc_auc, 'decimal' FROM auc
+  UNION ALL SELECT 11, 'Churn PR-AUC', pr_auc, 'decimal' FROM ap
+  UNION ALL SELECT 12, 'Lift at Top 10%', CASE WHEN ys > 0 THEN (y10 / n10) / (ys / nn) ELSE 0.0 END, 'multiple' FROM topf
+  UNION ALL SELECT 13, 'CLV Test MAE', mae, 'currency' FROM vag
+  UNION ALL SELECT 14, 'CLV Test R2', CASE WHEN vy > 0 THEN 1.0 - sse / (vy * n) ELSE 0.0 END, 'decimal' FROM vag
+  UNION ALL SELECT 15, 'Campaign Budget Allocated', budget, 'currency' FROM k
+  UNION ALL SELECT 16, 'Expected Incremental Margin', eim, 'currency' FROM k
 )
 """)
 def executive_kpis(spark, sf_dir):
-    """KPI scalars from one global aggregate, unpivoted to (kpi, value, format)."""
+    """The 16 KPIs: scalars of one global aggregate, recent retention and the
+    holdout metrics, unpivoted to (kpi, value, format)."""
     p = production(spark, sf_dir)
-    return reports.executive_kpis(p.c360, cohort.cohort_retention_long(p.orders), m3_from="2000-01")
+    return reports.executive_kpis(p.c360, cohort.cohort_retention_long(p.orders), "2000-01",
+                                  churn_holdout_metrics(spark, sf_dir), clv_holdout_metrics(spark, sf_dir))
 
 
 @register("risk_band_rollup", CHAIN + """
-SELECT risk_band, CASE risk_band WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 ELSE 4 END AS band_order,
-  COUNT(*) AS customers, SUM(monetary_12m) AS revenue_12m, ROUND(SUM(predicted_clv_12m), 6) AS predicted_clv_12m
-FROM c360 GROUP BY risk_band
+, spine AS (SELECT * FROM (VALUES (1, 'Low'), (2, 'Medium'), (3, 'High'), (4, 'Critical')) t(band_order, risk_band))
+, g AS (SELECT risk_band, COUNT(*) AS customers, SUM(monetary_12m) AS rev, SUM(predicted_clv_12m) AS clv
+        FROM c360 GROUP BY risk_band)
+SELECT s.risk_band, s.band_order, COALESCE(g.customers, 0) AS customers, CAST(COALESCE(g.rev, 0) AS DECIMAL(18,2)) AS revenue_12m,
+  ROUND(COALESCE(g.clv, 0.0), 6) AS predicted_clv_12m
+FROM spine s LEFT JOIN g ON s.risk_band = g.risk_band
 """)
 def risk_band_rollup(spark, sf_dir):
-    """Risk band rollup with an explicit order column."""
+    """Rollup over the fixed risk labels with their order; absent bands are 0."""
     return reports.risk_band_rollup(_c360(spark, sf_dir))
 
 
@@ -359,9 +374,8 @@ SELECT a.month, strftime(a.month, '%Y-%m') AS year_month, a.orders, a.active_cus
   CAST(a.net_revenue AS DECIMAL(18,2)) AS net_revenue, CAST(a.gross_margin AS DECIMAL(18,2)) AS gross_margin,
   ROUND(""" + S.sdiv("a.gross_margin", "a.net_revenue") + """, 6) AS margin_rate,
   CAST(p.net_revenue AS DECIMAL(18,2)) AS net_revenue_prior_year,
-  CAST(a.net_revenue - p.net_revenue AS DECIMAL(18,2)) AS net_revenue_yoy_change,
-  ROUND(CASE WHEN p.net_revenue IS NULL THEN NULL ELSE """ + S.sdiv("a.net_revenue - p.net_revenue", "p.net_revenue")
-    + """ END, 6) AS net_revenue_yoy_pct
+  CAST(a.net_revenue - COALESCE(p.net_revenue, 0) AS DECIMAL(18,2)) AS net_revenue_yoy_change,
+  ROUND(""" + S.sdiv("a.net_revenue - COALESCE(p.net_revenue, 0)", "p.net_revenue") + """, 6) AS net_revenue_yoy_pct
 FROM j a LEFT JOIN j p ON p.month = a.month - INTERVAL 12 MONTH
 """)
 def monthly_bi_measures(spark, sf_dir):
@@ -446,4 +460,75 @@ def bi_customer_export(spark, sf_dir):
     return reports.business_export(_c360(spark, sf_dir))
 
 
-_ = (Window, F)
+SLICE = ("2000-01", "2000-12")   # the months a slicer would pick
+
+
+@register("monthly_bi_slice", f"""
+, cm AS (
+  SELECT strftime(order_date, '%Y-%m') AS ym, customer_id, COUNT(*) AS co, SUM(net_revenue) AS rev, SUM(gross_margin) AS gm
+  FROM ford GROUP BY 1, 2
+)
+SELECT CAST(SUM(co) AS BIGINT) AS orders, COUNT(*) AS active_customer_months, CAST(SUM(rev) AS DECIMAL(18,2)) AS net_revenue,
+  CAST(SUM(gm) AS DECIMAL(18,2)) AS gross_margin, ROUND(" + S.sdiv("SUM(gm)", "SUM(rev)") + ", 6) AS margin_rate
+FROM cm WHERE ym BETWEEN '{SLICE[0]}' AND '{SLICE[1]}'
+""".replace('" + S.sdiv("SUM(gm)", "SUM(rev)") + "', S.sdiv("SUM(gm)", "SUM(rev)")))
+def monthly_bi_slice(spark, sf_dir):
+    """The monthly base measures over a slice of months."""
+    from ..sources.adapter import canonical
+
+    return reports.monthly_slice(canonical(spark, sf_dir).orders(), *SLICE)
+
+
+FILTER_SEGMENTS, FILTER_RISKS = ["Champions", "Loyal Customers", "At Risk", "Hibernating"], ["High", "Critical", "Medium"]
+_TARGET_COLUMNS = ("customer_id, rfm_segment, clv_band, risk_band, ROUND(predicted_clv_12m, 6) AS predicted_clv_12m, "
+                   "ROUND(churn_probability, 6) AS churn_probability, recommended_action, campaign_priority, "
+                   "ROUND(expected_incremental_margin, 6) AS expected_incremental_margin")
+_IN = lambda xs: ", ".join(f"'{x}'" for x in xs)
+
+
+@register("dashboard_filtered_targets", CHAIN + f"""
+SELECT ROW_NUMBER() OVER (ORDER BY expected_incremental_margin DESC, customer_id) AS report_rank, {_TARGET_COLUMNS}
+FROM c360 WHERE selected_for_campaign = 1 AND rfm_segment IN ({_IN(FILTER_SEGMENTS)}) AND risk_band IN ({_IN(FILTER_RISKS)})
+ORDER BY expected_incremental_margin DESC, customer_id LIMIT 250
+""")
+def dashboard_filtered_targets(spark, sf_dir):
+    """Top 250 selected customers after the segment and risk filters, with
+    value, risk and bands."""
+    return reports.filtered_targets(_c360(spark, sf_dir), FILTER_SEGMENTS, FILTER_RISKS, 250)
+
+
+@register("workbook_top_customers", CHAIN + f"""
+SELECT ROW_NUMBER() OVER (ORDER BY predicted_clv_12m DESC, customer_id) AS report_rank, {_TARGET_COLUMNS}
+FROM c360 ORDER BY predicted_clv_12m DESC, customer_id LIMIT 250
+""")
+def workbook_top_customers(spark, sf_dir):
+    """The 250 customers of highest predicted value, selected or not."""
+    return reports.ranked_customers(_c360(spark, sf_dir), "predicted_clv_12m", 250)
+
+
+@register("segments_by_text", CHAIN + """
+SELECT rfm_segment, COUNT(*) AS customers FROM c360 WHERE NOT contains(lower(rfm_segment), 'customers') GROUP BY rfm_segment
+""")
+def segments_by_text(spark, sf_dir):
+    """Rows whose label does not contain a text, whatever its case."""
+    kept = reports.without_text(_c360(spark, sf_dir), "rfm_segment", "Customers")
+    return kept.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@register("bi_portfolio_measures", CHAIN + """
+, seg AS (SELECT rfm_segment AS k, COUNT(*) AS customers, SUM(monetary_12m) AS rev, SUM(predicted_clv_12m) AS clv,
+                 AVG(churn_probability) AS churn FROM c360 GROUP BY 1)
+SELECT measure, ROUND(value, 6) AS value FROM (
+  SELECT 'Segment Revenue' AS measure, CAST(SUM(rev) AS DOUBLE) AS value FROM seg
+  UNION ALL SELECT 'Segment Predicted CLV', SUM(clv) FROM seg
+  UNION ALL SELECT 'Segment Churn Risk', AVG(churn) FROM seg
+  UNION ALL SELECT 'Segment Customers', CAST(SUM(customers) AS DOUBLE) FROM seg
+  UNION ALL SELECT 'Campaign Budget', SUM(allocated_budget) FROM targets
+  UNION ALL SELECT 'Campaign Expected Margin', SUM(expected_incremental_margin) FROM targets
+  UNION ALL SELECT 'Risk Band Customers', CAST(COUNT(risk_band) AS DOUBLE) FROM c360
+)
+""")
+def bi_portfolio_measures(spark, sf_dir):
+    """The measures over the segment, campaign and risk-band tables."""
+    p = production(spark, sf_dir)
+    return reports.portfolio_measures(p.c360, p.targets)
