@@ -15,7 +15,8 @@ def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Header, ISO dates (yyyy-MM-dd), overwrite.  Partitioned output; pass
     ``partitions`` only to bound the file count, never to force one task."""
     out = df.repartition(partitions) if partitions else df
-    (out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+    (out.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("dateFormat", "yyyy-MM-dd")
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path))
 
 

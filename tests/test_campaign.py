@@ -40,53 +40,51 @@ def chosen(targets):
     return {r.customer_id for r in targets.filter("selected_for_campaign = 1").collect()}
 
 
-def prefix(targets, budget):
-    """The choice by a plain loop over the decided rows."""
-    everyone = recommended(targets)
+def in_order(targets):
+    """(id, cost) of the selected rows of an unbounded budget, in decision order."""
+    rows = [r for r in targets if r.selected_for_campaign]
+    return [(r.customer_id, r.contact_cost) for r in sorted(rows, key=lambda r: (-r.priority_score, -r.expected_roi, r.customer_id))]
+
+
+def prefix(ordered, budget):
+    """The choice by a plain loop."""
     spent, out = 0.0, set()
-    for r in everyone:
-        spent += r["cost"]
+    for i, cost in ordered:
+        spent += cost
         if spent <= budget:
-            out.add(r["id"])
+            out.add(i)
     return out
 
 
-def recommended(frames):
-    """Eligible rows in decision order, from a run with a budget for all of them."""
-    rows = recommend_campaigns(*frames, budget=1e12).filter("selected_for_campaign = 1").collect()
-    rows = [{"id": r.customer_id, "cost": r.contact_cost, "key": (-r.priority_score, -r.expected_roi, r.customer_id)} for r in rows]
-    return sorted(rows, key=lambda r: r["key"])
-
-
-@pytest.mark.parametrize("twins", [1, 6])
-def test_budget_sweep_equals_a_plain_loop(spark, twins):
-    frames = population(spark, twins=twins)
-    total = sum(r["cost"] for r in recommended(frames))
-    assert total > 0
-    for budget in (0.0, total * 0.13, total * 0.5, total - 0.01, total):
-        targets = recommend_campaigns(*frames, budget=budget)
-        assert chosen(targets) == prefix(frames, budget)
-        assert targets.agg(F.sum("allocated_budget")).first()[0] <= budget
-        assert targets.count() == 60
+@pytest.fixture(scope="module")
+def decided(spark):
+    """Customers in groups of four equal ones, and their decision without a budget."""
+    frames = population(spark, twins=4)
+    return frames, recommend_campaigns(*frames, budget=1e12).collect()
 
 
-def test_input_order_and_partitions_do_not_matter(spark):
-    frames = population(spark, twins=4)
-    budget = sum(r["cost"] for r in recommended(frames)) * 0.4
+@pytest.mark.parametrize("share", [0.0, 0.37, 0.999])
+def test_budgets_equal_a_plain_loop(decided, share):
+    frames, rows = decided
+    ordered = in_order(rows)
+    budget = sum(c for _, c in ordered) * share
+    # shuffled inputs: order and partitions must not matter
     shuffled = [f.orderBy(F.xxhash64("customer_id", F.lit(k))).repartition(k + 2) for k, f in enumerate(frames)]
-    assert chosen(recommend_campaigns(*frames, budget=budget)) == chosen(recommend_campaigns(*shuffled, budget=budget))
+    got = recommend_campaigns(*shuffled, budget=budget).collect()
+    assert {r.customer_id for r in got if r.selected_for_campaign} == prefix(ordered, budget)
+    assert len(got) == 60 and sum(r.allocated_budget for r in got) <= budget
 
 
 @pytest.mark.parametrize("kind,key", [("string", lambda i: f"C{i:06d}"), ("long", lambda i: 10_000_000_000 + 7 * i)])
-def test_text_and_large_ids(spark, kind, key):
-    plain, other = population(spark, twins=5), population(spark, key=key, kind=kind, twins=5)
-    budget = sum(r["cost"] for r in recommended(plain)) * 0.6
-    want = {key(i) for i in chosen(recommend_campaigns(*plain, budget=budget))}
-    assert chosen(recommend_campaigns(*other, budget=budget)) == want
+def test_text_and_large_ids(spark, decided, kind, key):
+    ordered = in_order(decided[1])
+    budget = sum(c for _, c in ordered) * 0.6
+    other = population(spark, key=key, kind=kind, twins=4)
+    assert chosen(recommend_campaigns(*other, budget=budget)) == {key(i) for i in prefix(ordered, budget)}
 
 
-def test_decision_values(spark):
-    for r in recommend_campaigns(*population(spark, n=200, seed=3), budget=1e12).collect():
+def test_decision_values(decided):
+    for r in decided[1]:
         assert r.contact_cost == CONTACT_COST.get(r.recommended_action, 0.0)
         assert 0 <= r.expected_response_probability <= 0.55
         assert (r.selected_for_campaign == 1) <= (r.marketing_consent == 1 and r.recommended_action in BASE_RESPONSE)
@@ -96,11 +94,11 @@ def test_decision_values(spark):
             assert (r.allocated_budget, r.expected_roi, r.expected_incremental_margin) == (0, 0, 0)
 
 
-def test_summary_adds_up(spark):
-    frames = population(spark, n=120, seed=5)
-    targets = recommend_campaigns(*frames, budget=sum(r["cost"] for r in recommended(frames)) / 2)
-    rows = targets.collect()
-    for s in campaign_summary(targets).collect():
+def test_summary_adds_up(spark, decided):
+    frames, everyone = decided
+    rows = recommend_campaigns(*frames, budget=sum(c for _, c in in_order(everyone)) / 2).collect()
+    frame = spark.createDataFrame(rows, schema=recommend_campaigns(*frames, budget=0.0).schema)
+    for s in campaign_summary(frame).collect():
         own = [r for r in rows if r.recommended_action == s.recommended_action]
         sel = [r for r in own if r.selected_for_campaign]
         assert (s.eligible_customers, s.selected_customers) == (len(own), len(sel))
@@ -151,9 +149,10 @@ def test_sampling_keys(spark):
     frame = spark.createDataFrame([(i,) for i in ids], "i long")
     a, b = ([r.u for r in frame.select(uniform_from_key(F.col("i"), F.lit(s), 7).alias("u")).collect()] for s in (1, 2))
     assert all(0 < u < 1 for u in a + b) and len(set(a + b)) == 2 * len(ids)
-    frames = population(spark, n=80, key=lambda i: 5_000_000_000 + i)
-    targets = recommend_campaigns(*frames, budget=1e12)
-    dates = frames[0].select("customer_id", F.lit("2000-01-01").cast("date").alias("acquisition_date"))
+    targets = spark.createDataFrame(
+        [(5_000_000_000 + i, 1, ("Win-Back", "Nurture")[i % 2], 0.1 + i / 100) for i in range(40)],
+        "customer_id long, marketing_consent int, recommended_action string, priority_score double")
+    dates = targets.select("customer_id", F.lit("2000-01-01").cast("date").alias("acquisition_date"))
     drawn = weighted_contact_sample(targets, dates, "2001-01-01", cap=4).collect()
     per = {}
     for r in drawn:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from cairn.functions import ranking
 from cairn.functions.ranking import avg_rank_pct, ordered_running, qcut_rank_bin, value_prefix
 
 
@@ -92,3 +93,32 @@ def test_ordered_running_hot_first_key_with_distinct_second_keys(spark):
     ref["run"] = ref["w"].cumsum()
     m = got.toPandas().merge(ref[["id", "rn", "run"]], on="id")
     assert (m["_rn"] == m["rn"]).all() and (m["_run_w"] == m["run"]).all()
+
+
+def test_nulls_have_no_rank_and_come_last_when_descending(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0), (4, None)], "id long, v double")
+    got = {r["id"]: r["p"] for r in ranking.avg_rank_pct(df, "v", "p").collect()}
+    assert got == {1: pytest.approx(1 / 3), 2: pytest.approx(2 / 3), 3: pytest.approx(1.0), 4: None}
+    for asc, want in ((False, {3: 1, 2: 2, 1: 3, 4: 4}), (True, {4: 1, 1: 2, 2: 3, 3: 4})):
+        rn = ranking.ordered_running(df, [("v", asc)], "id")
+        assert {r["id"]: r["_rn"] for r in rn.collect()} == want
+
+
+def test_hot_values_and_many_buckets(spark):
+    rng = np.random.default_rng(3)
+    values = np.where(rng.random(4000) < 0.4, 0.0, rng.integers(0, 50, 4000)).astype(float)
+    pdf = pd.DataFrame({"id": [f"c{i:05d}" for i in range(4000)], "v": values})
+    df = spark.createDataFrame(pdf).repartition(6)
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")  # the bucket count does not follow it
+    try:
+        assert ranking._buckets(df, None) == ranking.MAX_BUCKETS
+        ranking.value_prefix(df, "v", edges=list(map(float, range(200))))._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    got = ranking.avg_rank_pct(df, "v", "p").toPandas().set_index("id")["p"]
+    want = pdf.set_index("id")["v"].rank(method="average", pct=True)
+    assert np.allclose(got.sort_index(), want.sort_index())
+    rn = ranking.ordered_running(df, [("v", False)], "id").toPandas().set_index("id")["_rn"]
+    order = pdf.sort_values(["v", "id"], ascending=[False, True])["id"].tolist()
+    assert [i for i in rn.sort_values().index] == order
