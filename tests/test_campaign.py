@@ -145,7 +145,7 @@ def test_running_cost_counts_rows_over_the_budget(spark):
 
 
 def test_sampling_keys(spark):
-    ids = [0, 1, 5, 4_000_000_000, 10**12, 2**62]
+    ids = [0, 1, 5, 4_000_000_000, 10**12, 2**61 + 3]
     frame = spark.createDataFrame([(i,) for i in ids], "i long")
     a, b = ([r.u for r in frame.select(uniform_from_key(F.col("i"), F.lit(s), 7).alias("u")).collect()] for s in (1, 2))
     assert all(0 < u < 1 for u in a + b) and len(set(a + b)) == 2 * len(ids)
