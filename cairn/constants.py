@@ -47,6 +47,17 @@ BASE_RESPONSE = {
     "Suppress": 0.0,
 }
 CAMPAIGN_BUDGET = 400_000.0
+# action rules
+HIGH_VALUE_PERCENTILE, WIN_BACK_CHURN, STRONG_CHURN = 0.80, 0.55, 0.68
+CROSS_SELL_MAX_CATEGORIES, CROSS_SELL_MIN_ORDERS, DORMANT_DAYS = 2, 2, 365
+# response = base + engagement + value - churn (+ churn again for Win-Back), held to a range
+RESPONSE_ENGAGEMENT, RESPONSE_VALUE, RESPONSE_CHURN, RESPONSE_WIN_BACK = 0.08, 0.06, 0.05, 0.08
+RESPONSE_RANGE = (0.0, 0.55)
+# margin = response * order value * margin rate * (lift + lift per value percentile) - cost
+MARGIN_RATE_DEFAULT, MARGIN_RATE_RANGE, ORDER_VALUE_RANGE = 0.38, (0.18, 0.62), (450.0, 6500.0)
+MARGIN_LIFT, MARGIN_LIFT_VALUE = 1.18, 0.22
+# priority = weighted value, risk and ROI percentiles and engagement
+PRIORITY_VALUE, PRIORITY_RISK, PRIORITY_ROI, PRIORITY_ENGAGEMENT = 0.36, 0.24, 0.25, 0.15
 
 # --- fixed values: tiers, channels, horizons --------------------------------------
 TIER_SCORE = {"Bronze": 1, "Silver": 2, "Gold": 3, "Platinum": 4}
@@ -90,7 +101,7 @@ CLASSIFIER_SELECTION_WEIGHTS = (0.45, 0.35, 0.20)  # roc_auc, pr_auc, 1 - brier
 REGRESSOR_SELECTION_WEIGHTS = (0.45, 0.35, 0.20)   # 1 - nMAE, spearman, r2
 THRESHOLD_GRID = (0.15, 0.85, 71)
 
-# --- rebuild's own calendar on the driver tables (adapter, not reference values) ----
+# --- rebuild's own calendar on the driver tables (adapter) ----
 ANALYSIS_DATE = "2001-07-31"
 DATA_START = "1995-01-01"
 DATA_END = "2001-08-01"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
 
-SEED = 20260727  # fixed value: the reference's permutation seed
+SEED = 20260727  # fixed value: the permutation seed
 
 
 def permutations(n_features: int, count: int, seed: int = SEED) -> list[list[int]]:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..constants import (BASE_RESPONSE, CAMPAIGN_BUDGET, CONTACT_COST, FEATURE_COLUMNS, PRIORITY_BAND_EDGES,
                          PRIORITY_BAND_TOP)
 from ..functions.exprs import clip, lookup, right_closed_band
@@ -19,13 +20,14 @@ def assign_action() -> Column:
     seg = F.col("rfm_segment")
     return (
         F.when(~(F.coalesce(F.col("marketing_consent"), F.lit(0)) != 0), "Suppress")
-        .when((clv >= 0.80) & (churn >= 0.55), "Win-Back")
-        .when((clv >= 0.80) & (churn < 0.55), "VIP Experience")
+        .when((clv >= K.HIGH_VALUE_PERCENTILE) & (churn >= K.WIN_BACK_CHURN), "Win-Back")
+        .when((clv >= K.HIGH_VALUE_PERCENTILE) & (churn < K.WIN_BACK_CHURN), "VIP Experience")
         .when(seg.isin("Champions", "Loyal Customers"), "Retain & Reward")
         .when(seg.isin("New Customers", "Potential Loyalists", "Promising"), "Onboarding")
-        .when((F.col("category_diversity_12m") <= 2) & (F.col("frequency_12m") >= 2), "Cross-Sell")
-        .when(churn >= 0.68, "Win-Back")
-        .when((F.col("frequency_12m") == 0) & (F.col("recency_days") > 365), "Suppress")
+        .when((F.col("category_diversity_12m") <= K.CROSS_SELL_MAX_CATEGORIES)
+              & (F.col("frequency_12m") >= K.CROSS_SELL_MIN_ORDERS), "Cross-Sell")
+        .when(churn >= K.STRONG_CHURN, "Win-Back")
+        .when((F.col("frequency_12m") == 0) & (F.col("recency_days") > K.DORMANT_DAYS), "Suppress")
         .otherwise("Nurture")
     )
 
@@ -62,18 +64,19 @@ def recommend_campaigns(
     clv_pct = F.coalesce(F.col("clv_percentile"), F.lit(0.0))
     churn = F.coalesce(F.col("churn_probability"), F.lit(0.0))
     response = lookup("recommended_action", BASE_RESPONSE, 0.0).cast("double")
-    response = response + F.lit(0.08) * eng
-    response = response + F.lit(0.06) * clv_pct
-    response = response - F.lit(0.05) * churn
-    response = F.when(F.col("recommended_action") == "Win-Back", response + F.lit(0.08) * churn).otherwise(response)
+    response = response + F.lit(K.RESPONSE_ENGAGEMENT) * eng
+    response = response + F.lit(K.RESPONSE_VALUE) * clv_pct
+    response = response - F.lit(K.RESPONSE_CHURN) * churn
+    response = F.when(F.col("recommended_action") == "Win-Back", response + F.lit(K.RESPONSE_WIN_BACK) * churn).otherwise(response)
     frame = frame.withColumn("engagement_norm", eng).withColumn(
-        "expected_response_probability", clip(response, 0.0, 0.55)
+        "expected_response_probability", clip(response, *K.RESPONSE_RANGE)
     )
     rate = F.try_divide(F.col("gross_margin_12m").cast("double"),
                         F.when(F.col("monetary_12m") != 0, F.col("monetary_12m").cast("double")))
-    margin_rate = clip(F.coalesce(rate, F.lit(0.38)), 0.18, 0.62)
-    order_value = clip(F.col("avg_order_value_12m").cast("double"), 450.0, 6500.0)
-    gross = F.col("expected_response_probability") * order_value * margin_rate * (F.lit(1.18) + F.lit(0.22) * clv_pct)
+    margin_rate = clip(F.coalesce(rate, F.lit(K.MARGIN_RATE_DEFAULT)), *K.MARGIN_RATE_RANGE)
+    order_value = clip(F.col("avg_order_value_12m").cast("double"), *K.ORDER_VALUE_RANGE)
+    gross = F.col("expected_response_probability") * order_value * margin_rate * (
+        F.lit(K.MARGIN_LIFT) + F.lit(K.MARGIN_LIFT_VALUE) * clv_pct)
     frame = frame.withColumn("expected_incremental_margin", gross - F.col("contact_cost"))
     frame = frame.withColumn(
         "expected_roi",
@@ -81,10 +84,10 @@ def recommend_campaigns(
     )
     frame = avg_rank_pct(frame, "expected_roi", "_roi_pct")
     priority = (
-        F.lit(0.36) * clv_pct
-        + F.lit(0.24) * F.coalesce(F.col("risk_percentile"), F.lit(0.0))
-        + F.lit(0.25) * F.coalesce(F.col("_roi_pct"), F.lit(0.0))
-        + F.lit(0.15) * F.col("engagement_norm")
+        F.lit(K.PRIORITY_VALUE) * clv_pct
+        + F.lit(K.PRIORITY_RISK) * F.coalesce(F.col("risk_percentile"), F.lit(0.0))
+        + F.lit(K.PRIORITY_ROI) * F.coalesce(F.col("_roi_pct"), F.lit(0.0))
+        + F.lit(K.PRIORITY_ENGAGEMENT) * F.col("engagement_norm")
     )
     frame = frame.withColumn("priority_score", priority)
     frame = frame.withColumn("campaign_priority",
@@ -149,7 +152,7 @@ def summarize_segments(c360: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     per = c360.groupBy("rfm_segment").agg(
-        F.count_distinct("customer_id").alias("customers"),
+        F.count(F.lit(1)).alias("customers"),  # one row per customer
         F.sum("monetary_12m").alias("revenue_12m"),
         F.sum("gross_margin_12m").alias("gross_margin_12m"),
         F.sum("predicted_clv_12m").alias("predicted_clv_12m"),

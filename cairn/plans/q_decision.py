@@ -102,7 +102,7 @@ _PRODUCTION: dict[tuple[str, str, float], Production] = {}
 
 
 def production(spark, sf_dir, budget: float = CAMPAIGN_BUDGET) -> Production:
-    """Session-wide processed tables (like the reference's processed tables and SQL
+    """Session-wide processed tables (the tables that feed the SQL
     mart): each stage is materialized once and shared by every report."""
     key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"), float(budget))
     if key not in _PRODUCTION:
