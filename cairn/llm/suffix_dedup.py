@@ -3,7 +3,7 @@
 A byte is removed if it lies in a string of ``length`` bytes that also starts in a
 document with a smaller doc_id.  Strings are judged on the input; overlaps count.
 
-1. Texts are written in chunks of about 1 MB (compressed), the unit of all later steps.
+1. Texts are written in chunks of about half a MB (compressed), the unit of all later steps.
    A copy of a whole text loses everything and takes no further part.
 2. The string at each place has an anchor: of the ``gram``-byte grams inside it, the one
    whose hash is smallest, the leftmost on a tie.  Equal strings have equal anchors, and
@@ -43,12 +43,12 @@ from .common import materialize
 from .induced_sort import suffix_order
 
 LENGTH, GRAM = 50, 24
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 CHUNK_STEP = 1 << 32
 BUCKET_HASHES = 500_000
-SHARD_BYTES = 3 << 20
-#: an anchor met in more chunks than this is crowded
-CROWDED = 48
+SHARD_BYTES = 8 << 20
+#: an anchor met in more chunks than this (some 10 GB of text that share it) is crowded
+CROWDED = 20_000
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -161,7 +161,10 @@ def _flag_anchors(chunks: DataFrame, length: int, gram: int, buckets: int, crowd
                 own, several = _unique_hashes(c, first, hashes)
                 cuts = _bucket_cuts(own, buckets)
                 used = np.flatnonzero(np.diff(cuts))
-                bodies = [struct.pack("<Q", cuts[b + 1] - cuts[b]) + own[cuts[b]: cuts[b + 1]].tobytes()
+                # the low 40 bits: with the bucket they are 47 and more, and a chance match only
+                # makes a place a candidate
+                low = own.view(np.uint8).reshape(-1, 8)[:, :5]
+                bodies = [struct.pack("<Q", cuts[b + 1] - cuts[b]) + low[cuts[b]: cuts[b + 1]].tobytes()
                           + np.packbits(several[cuts[b]: cuts[b + 1]]).tobytes() for b in used]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([row["chunk"]] * len(used), pa.int64()), pa.array(bodies, pa.binary())],
@@ -173,8 +176,10 @@ def _flag_anchors(chunks: DataFrame, length: int, gram: int, buckets: int, crowd
             view = memoryview(body.as_buffer())
             (n,) = struct.unpack_from("<Q", view)
             sizes.append(n)
-            hashes.append(np.frombuffer(view, np.uint64, n, 8))
-            several.append(np.unpackbits(np.frombuffer(view, np.uint8, offset=8 + 8 * n), count=n))
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :5] = np.frombuffer(view, np.uint8, 5 * n, 8).reshape(n, 5)
+            hashes.append(wide.view("<u8").ravel())
+            several.append(np.unpackbits(np.frombuffer(view, np.uint8, offset=8 + 5 * n), count=n))
         h, multi = np.concatenate(hashes), np.concatenate(several).astype(np.int64)
         _, group, met = np.unique(h, return_inverse=True, return_counts=True)
         shared = (met > 1) | (np.bincount(group, multi, len(met)) > 0)
@@ -210,8 +215,9 @@ _HEAD = "<qQQ"  # chunk, segments, bytes
 
 
 def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: int) -> DataFrame:
-    """shard, body: the places under shared anchors, with their bytes.  A segment is (text,
-    place, places, doc_id); crowded ones hold one place and have the sign bit set."""
+    """shard, body: the places under shared anchors, with their bytes.  A segment is (place,
+    text, places, part of the anchor's hash, doc_id); crowded ones hold one place and are
+    marked by a negative count."""
 
     def run(batches):
         for batch in batches:
@@ -228,6 +234,7 @@ def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: i
                 ids = np.array([0 if x is None else x for x in row["ids"]], np.int64)
                 plain = flag == 1
                 place, places, shard = first[plain], count[plain], tb.mix(hashes[plain]) % np.uint64(shards)
+                anchor = hashes[plain] & np.uint64(0xFFFFFFFF)
                 crowd = np.flatnonzero(flag == 2)
                 if len(crowd):
                     n = count[crowd]
@@ -238,8 +245,9 @@ def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: i
                     each, code = each[order[head]], code[order[head]]
                     place, places = np.append(place, each), np.append(places, np.full(len(each), -1))
                     shard = np.append(shard, tb.mix(code) % np.uint64(shards))
+                    anchor = np.append(anchor, np.zeros(len(each), np.uint64))
                 order = np.argsort(shard, kind="stable")
-                place, places, shard = place[order], places[order], shard[order].astype(np.int64)
+                place, places, anchor, shard = place[order], places[order], anchor[order], shard[order].astype(np.int64)
                 size = np.abs(places) + length - 1
                 end = np.cumsum(size)
                 text = c.data[np.arange(end[-1] if len(end) else 0) + np.repeat(place - (end - size), size)]
@@ -250,6 +258,7 @@ def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: i
                     lo, hi = end[a] - size[a], end[b - 1]
                     raw = b"".join([struct.pack(_HEAD, row["chunk"], b - a, hi - lo), (place[a:b] - c.at[doc[a:b]]).astype("<u4").tobytes(),
                                     doc[a:b].astype("<u4").tobytes(), places[a:b].astype("<i4").tobytes(),
+                                    anchor[a:b].astype("<u4").tobytes(),
                                     ids[doc[a:b]].astype("<i8").tobytes(), text[lo:hi].tobytes()])
                     bodies.append(_squeeze(raw))
                 yield pa.RecordBatch.from_arrays([pa.array(shard[head] if len(shard) else [], pa.int32()), pa.array(bodies, pa.binary())],
@@ -291,17 +300,17 @@ def smallest_ids(parts: list[bytes], ids: np.ndarray, length: int) -> tuple[np.n
 def _decide(table: pa.Table, length: int) -> pa.Table:
     """Verdicts of one shard: chunk, body (text, place, places, crowded's smallest doc_id or
     -1) for runs of places whose string starts in a smaller document."""
-    heads, cols, texts = [], [[], [], [], []], []
+    heads, cols, texts = [], [[], [], [], [], []], []
     for body in table.column("body"):
         view = _unsqueeze(body.as_buffer())
         chunk, n, size = struct.unpack_from(_HEAD, view)
         at = struct.calcsize(_HEAD)
-        for col, kind in zip(cols, ("<u4", "<u4", "<i4", "<i8")):
+        for col, kind in zip(cols, ("<u4", "<u4", "<i4", "<u4", "<i8")):
             col.append(np.frombuffer(view, kind, n, at).astype(np.int64))
             at += n * np.dtype(kind).itemsize
         heads.append((chunk, n))
         texts.append(view[at: at + size])
-    place, doc, places, ids = (np.concatenate(c) for c in cols)
+    place, doc, places, anchor, ids = (np.concatenate(c) for c in cols)
     size = np.abs(places) + length - 1
     seen: dict[bytes, int] = {}
     which, k = np.empty(len(size), np.int64), 0
@@ -312,11 +321,24 @@ def _decide(table: pa.Table, length: int) -> pa.Table:
             at, k = at + s, k + 1
     own = np.full(len(seen), np.iinfo(np.int64).max)
     np.minimum.at(own, which, ids)
-    best, before = smallest_ids(list(seen), own, length)
     count = np.abs(places)
-    flat = np.arange(count.sum()) + np.repeat(before[which] - (np.cumsum(count) - count), count)
-    least = best[flat]
     segment = np.repeat(np.arange(len(count)), count)
+    least = own[which][segment]
+    # an anchor with one content only, and a crowded string, are settled by that content;
+    # where contents differ, their places are sorted
+    kind = np.zeros(len(seen), np.uint64)
+    kind[which] = np.where(places < 0, 1 << 32, anchor).astype(np.uint64)
+    _, group, contents = np.unique(kind, return_inverse=True, return_counts=True)
+    mixed = (contents[group] > 1) & (kind < 1 << 32)
+    if mixed.any():
+        chosen = np.flatnonzero(mixed)
+        parts = list(seen)
+        best, before = smallest_ids([parts[i] for i in chosen], own[chosen], length)
+        at = np.zeros(len(seen), np.int64)
+        at[chosen] = before
+        flat = np.arange(count.sum()) + np.repeat(at[which] - (np.cumsum(count) - count), count)
+        sort = mixed[which][segment]
+        least[sort] = best[flat[sort]]
     crowd = places[segment] < 0
     hit = crowd | (least < ids[segment])
     # runs of hit places in a segment

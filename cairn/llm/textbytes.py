@@ -42,7 +42,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the multiplier and of its inverse modulo 2**64."""
     if len(_powers["up"]) < n:
         for key, factor in (("up", _MULT), ("down", pow(_MULT, -1, 1 << 64))):
-            row = np.full(max(n, CHUNK_BYTES + 4096), factor, np.uint64)
+            row = np.full(max(n + n // 4, 1 << 16), factor, np.uint64)
             row[0] = 1
             _powers[key] = np.cumprod(row, dtype=np.uint64)
     return _powers["up"][:n], _powers["down"][:n]
