@@ -9,9 +9,10 @@ document with a smaller doc_id.  Strings are judged on the input; overlaps count
    whose hash is smallest, the leftmost on a tie.  Equal strings have equal anchors, and
    about one place in fourteen is an anchor.  Each chunk sends its anchors' hashes to
    buckets, which answer with one flag each: met in one document only, shared, or crowded
-   (met in many chunks).  Places of unshared anchors cannot repeat.
+   (its runs of places would fill half a shard).  Places of unshared anchors cannot repeat.
 3. Runs of places under a shared anchor are sent, with their bytes, to the shard of the
-   anchor; a crowded anchor would fill its shard, so there each string goes to the shard
+   anchor, equal runs of a chunk once, under the smallest doc_id (the others repeat it, and
+   need no answer); a crowded anchor would fill its shard, so there each string goes to the shard
    of its own hash, once per chunk.  A shard's segments are joined into one text whose
    suffixes are sorted by induction (``induced_sort``); places whose first ``length``
    bytes are equal are neighbours then, and the smallest doc_id of each such run decides.
@@ -47,8 +48,6 @@ CHUNK_BYTES = 1 << 19
 CHUNK_STEP = 1 << 32
 BUCKET_HASHES = 500_000
 SHARD_BYTES = 8 << 20
-#: an anchor met in more chunks than this (some 10 GB of text that share it) is crowded
-CROWDED = 20_000
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -99,16 +98,39 @@ class Chunk:
         self.data = np.frombuffer(_unsqueeze(body), np.uint8)
         self.at = np.cumsum(self.lens) - self.lens
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
+        self._total = None
 
     def window_codes(self, k: int) -> np.ndarray:
         """Code of the k bytes from each place on."""
         n = len(self.data)
         if n < k:
             return np.zeros(0, np.uint64)
-        up, down = tb.powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(tb._BYTE_CODE[self.data] * up[:-1], out=total[1:], dtype=np.uint64)
-        return tb.mix((total[k:] - total[:-k]) * down[: n - k + 1])
+        total = self.totals()
+        return tb.mix((total[k:] - total[:-k]) * tb.powers(n + 1)[1][: n - k + 1])
+
+    def totals(self) -> np.ndarray:
+        if self._total is None:
+            up, _ = tb.powers(len(self.data) + 1)
+            self._total = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(tb._BYTE_CODE[self.data] * up[:-1], out=self._total[1:], dtype=np.uint64)
+        return self._total
+
+    def repeats(self, first, size, hashes, ids) -> np.ndarray:
+        """Which of the segments (first place, bytes, anchor hash, doc_id) equal one of the same
+        anchor with a smaller doc_id."""
+        again = np.zeros(len(first), bool)
+        if len(first) < 2:
+            return again
+        total = self.totals()
+        code = tb.mix((total[first + size] - total[first]) * tb.powers(len(self.data) + 1)[1][first])
+        order = np.lexsort((ids, code, size, hashes))
+        same = np.concatenate([[False], (hashes[order][1:] == hashes[order][:-1]) & (size[order][1:] == size[order][:-1])
+                               & (code[order][1:] == code[order][:-1])])
+        least = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+        for i, a in zip(order[same].tolist(), least[same].tolist()):
+            n = size[i]
+            again[i] = ids[a] < ids[i] and np.array_equal(self.data[first[a]: first[a] + n], self.data[first[i]: first[i] + n])
+        return again
 
     def runs(self, skip: np.ndarray):
         """(first place, places, anchor hash) of the runs of places that share an anchor,
@@ -135,13 +157,14 @@ class Chunk:
 
 
 def _unique_hashes(chunk: Chunk, first, hashes):
-    """Sorted distinct anchor hashes and whether each occurs in several texts of the chunk."""
+    """Sorted distinct anchor hashes, whether each occurs in several texts of the chunk, and
+    its runs."""
     order = np.argsort(hashes, kind="stable")
     h, doc = hashes[order], chunk.doc[first[order]]
     head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
     if not len(head):
-        return h, np.zeros(0, bool)
-    return h[head], np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head)
+        return h, np.zeros(0, bool), np.zeros(0, np.int64)
+    return h[head], np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head), np.diff(np.append(head, len(h)))
 
 
 def _bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -151,27 +174,31 @@ def _bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _flag_anchors(chunks: DataFrame, length: int, gram: int, buckets: int, crowded: int) -> DataFrame:
     """chunk, bucket, flags (0 alone, 1 shared, 2 crowded, for the chunk's sorted distinct
-    anchor hashes that fall into the bucket)."""
+    anchor hashes that fall into the bucket).  Crowded: more than ``crowded`` runs in all."""
+
+    def many(runs):  # place and number, where there is more than one run
+        at = np.flatnonzero(runs > 1)
+        return np.stack([at, runs[at]]).astype("<u4").tobytes()
 
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 c = Chunk(row["ids"], row["lens"], row["body"], length, gram)
                 first, _, hashes = c.runs(np.zeros(len(c.lens), bool))
-                own, several = _unique_hashes(c, first, hashes)
+                own, several, runs = _unique_hashes(c, first, hashes)
                 cuts = _bucket_cuts(own, buckets)
                 used = np.flatnonzero(np.diff(cuts))
                 # the low 40 bits: with the bucket they are 47 and more, and a chance match only
                 # makes a place a candidate
                 low = own.view(np.uint8).reshape(-1, 8)[:, :5]
                 bodies = [struct.pack("<Q", cuts[b + 1] - cuts[b]) + low[cuts[b]: cuts[b + 1]].tobytes()
-                          + np.packbits(several[cuts[b]: cuts[b + 1]]).tobytes() for b in used]
+                          + np.packbits(several[cuts[b]: cuts[b + 1]]).tobytes() + many(runs[cuts[b]: cuts[b + 1]]) for b in used]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([row["chunk"]] * len(used), pa.int64()), pa.array(bodies, pa.binary())],
                     ["bucket", "chunk", "body"])
 
     def answer(table: pa.Table) -> pa.Table:
-        hashes, several, sizes = [], [], []
+        hashes, several, sizes, runs = [], [], [], []
         for body in table.column("body"):
             view = memoryview(body.as_buffer())
             (n,) = struct.unpack_from("<Q", view)
@@ -179,11 +206,15 @@ def _flag_anchors(chunks: DataFrame, length: int, gram: int, buckets: int, crowd
             wide = np.zeros((n, 8), np.uint8)
             wide[:, :5] = np.frombuffer(view, np.uint8, 5 * n, 8).reshape(n, 5)
             hashes.append(wide.view("<u8").ravel())
-            several.append(np.unpackbits(np.frombuffer(view, np.uint8, offset=8 + 5 * n), count=n))
+            several.append(np.unpackbits(np.frombuffer(view, np.uint8, -(-n // 8), 8 + 5 * n), count=n))
+            at, number = np.frombuffer(view, np.uint8, offset=8 + 5 * n + -(-n // 8)).copy().view("<u4").reshape(2, -1)
+            runs.append(np.ones(n, np.int64))
+            runs[-1][at] = number
         h, multi = np.concatenate(hashes), np.concatenate(several).astype(np.int64)
         _, group, met = np.unique(h, return_inverse=True, return_counts=True)
         shared = (met > 1) | (np.bincount(group, multi, len(met)) > 0)
-        flags = (shared.astype(np.uint8) + (met > crowded))[group]
+        load = np.bincount(group, np.concatenate(runs), len(met))
+        flags = (shared.astype(np.uint8) + (shared & (load > crowded)))[group]
         parts = np.split(flags, np.cumsum(sizes)[:-1])
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                          "flags": pa.array([_squeeze(p) if p.any() else None for p in parts], pa.binary())})
@@ -225,14 +256,16 @@ def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: i
                 c = Chunk(row["ids"], row["lens"], row["body"], length, gram)
                 every = np.zeros(len(c.lens), bool)
                 first, count, hashes = c.runs(every)
-                own, _ = _unique_hashes(c, first, hashes)
+                own, _, _ = _unique_hashes(c, first, hashes)
                 cuts, flags = _bucket_cuts(own, buckets), np.zeros(len(own), np.uint8)
                 for x in row["flags"]:
                     flags[cuts[x["bucket"]]: cuts[x["bucket"] + 1]] = np.frombuffer(_unsqueeze(x["flags"]), np.uint8)
                 skip = _skipped(row, len(c.lens))
                 flag = flags[np.searchsorted(own, hashes)] * ~skip[c.doc[first]]
                 ids = np.array([0 if x is None else x for x in row["ids"]], np.int64)
-                plain = flag == 1
+                plain = np.flatnonzero(flag == 1)
+                again = c.repeats(first[plain], count[plain] + length - 1, hashes[plain], ids[c.doc[first[plain]]])
+                known, plain = plain[again], plain[~again]
                 place, places, shard = first[plain], count[plain], tb.mix(hashes[plain]) % np.uint64(shards)
                 anchor = hashes[plain] & np.uint64(0xFFFFFFFF)
                 crowd = np.flatnonzero(flag == 2)
@@ -261,7 +294,13 @@ def _segments(chunks: DataFrame, length: int, gram: int, buckets: int, shards: i
                                     anchor[a:b].astype("<u4").tobytes(),
                                     ids[doc[a:b]].astype("<i8").tobytes(), text[lo:hi].tobytes()])
                     bodies.append(_squeeze(raw))
-                yield pa.RecordBatch.from_arrays([pa.array(shard[head] if len(shard) else [], pa.int32()), pa.array(bodies, pa.binary())],
+                to = shard[head].tolist() if len(shard) else []
+                if len(known):  # verdicts already, passed on as a body without segments
+                    own = c.doc[first[known]]
+                    verdict = np.stack([own, first[known] - c.at[own], count[known], np.zeros_like(own), np.zeros_like(own)])
+                    bodies.append(_squeeze(struct.pack(_HEAD, row["chunk"], 0, 0) + verdict.astype("<i8").tobytes()))
+                    to.append(int(tb.mix(np.array([row["chunk"]], np.uint64))[0] % np.uint64(shards)))
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(bodies, pa.binary())],
                                                  ["shard", "body"])
 
     return chunks.mapInArrow(run, "shard int, body binary")
@@ -300,11 +339,14 @@ def smallest_ids(parts: list[bytes], ids: np.ndarray, length: int) -> tuple[np.n
 def _decide(table: pa.Table, length: int) -> pa.Table:
     """Verdicts of one shard: chunk, body (text, place, places, crowded's smallest doc_id or
     -1) for runs of places whose string starts in a smaller document."""
-    heads, cols, texts = [], [[], [], [], [], []], []
+    heads, cols, texts, ready = [], [[np.zeros(0, np.int64)] for _ in range(5)], [], []
     for body in table.column("body"):
         view = _unsqueeze(body.as_buffer())
         chunk, n, size = struct.unpack_from(_HEAD, view)
         at = struct.calcsize(_HEAD)
+        if not n:
+            ready.append((chunk, _squeeze(view[at:])))
+            continue
         for col, kind in zip(cols, ("<u4", "<u4", "<i4", "<u4", "<i8")):
             col.append(np.frombuffer(view, kind, n, at).astype(np.int64))
             at += n * np.dtype(kind).itemsize
@@ -351,7 +393,7 @@ def _decide(table: pa.Table, length: int) -> pa.Table:
     out = np.stack([doc[seg], place[seg] + at - (np.cumsum(count) - count)[seg], n_run, np.where(crowd[at], 1, 0), least[at]])
     cut = np.searchsorted(from_chunk, np.arange(len(heads) + 1))
     rows = [(heads[i][0], _squeeze(out[:, cut[i]: cut[i + 1]].astype("<i8").tobytes()))
-            for i in range(len(heads)) if cut[i] < cut[i + 1]]
+            for i in range(len(heads)) if cut[i] < cut[i + 1]] + ready
     return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "body": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -385,8 +427,11 @@ def _cut(chunk: Chunk, row, length: int) -> np.ndarray:
 
 
 def judged_chunks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES,
-                  crowded: int = CROWDED, bucket_hashes: int = BUCKET_HASHES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Chunks with copies and verdicts, ready to be cut."""
+                  crowded: int | None = None, bucket_hashes: int = BUCKET_HASHES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Chunks with copies and verdicts, ready to be cut.  An anchor of more than ``crowded``
+    runs (by default, as many as fill half a shard) is split."""
+    if crowded is None:
+        crowded = shard_bytes // (2 * (length + (length - gram) // 2 + 24))
     chunks = write_chunks(docs, chunk_bytes)
     total = chunks.select(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
     anchors = total * 2 // (length - gram + 2)
