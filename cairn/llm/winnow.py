@@ -142,8 +142,8 @@ def document_grams(docs: DataFrame, lengths: list[int], wanted: dict | None) ->
 
 
 def _extend(hits: DataFrame) -> DataFrame:
-    """Run of equal words around each joined k-gram: row, item_id, lo, hi (document words)
-    of the runs that hold a window."""
+    """Run of equal words around each joined k-gram: row, item_context_id, lo, hi (document
+    words) of the runs that hold a window."""
 
     def run(batches):
         for batch in batches:
@@ -165,11 +165,10 @@ def _extend(hits: DataFrame) -> DataFrame:
                     highs.append(word + hi)
             take = pa.array(picked, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(take), batch.column("item_id").take(take), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())],
-                ["row", "item_id", "lo", "hi"])
+                [batch.column("row").take(take), batch.column("item_context_id").take(take), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())],
+                ["row", "item_context_id", "lo", "hi"])
 
-    kind = hits.schema["item_id"].dataType.simpleString()
-    return hits.mapInArrow(run, f"row long, item_id {kind}, lo long, hi long")
+    return hits.mapInArrow(run, "row long, item_context_id long, lo long, hi long")
 
 
 def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
@@ -189,9 +188,15 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         wanted = {n: np.sort(code[of == n].view(np.uint64)) for n in lengths}
     rows = materialize(document_grams(docs, lengths, wanted))
     found = rows.select("row", F.explode("grams").alias("g")).select("row", "g.*")
-    item = grams.select("length", "code", "item_id", F.col("before").alias("item_before"), F.col("context").alias("item_context"))
-    hits = found.join(item, ["length", "code"])
-    return rows.select("row", "doc_id", "n_words"), materialize(_extend(hits).distinct())
+    # a gram with its surroundings that many items share is joined and extended once; the
+    # items are attached to the runs that hold
+    of = ["length", "code", "before", "context"]
+    contexts = materialize(grams.select(*of).distinct().withColumn("item_context_id", F.monotonically_increasing_id()))
+    members = materialize(grams.join(contexts, of).select("item_context_id", "item_id").distinct())
+    item = contexts.select("length", "code", "item_context_id", F.col("before").alias("item_before"), F.col("context").alias("item_context"))
+    held = materialize(_extend(found.join(item, ["length", "code"])).distinct())
+    spans = held.join(members, "item_context_id").select("row", "item_id", "lo", "hi").distinct()
+    return rows.select("row", "doc_id", "n_words"), materialize(spans)
 
 
 def covered(spans: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 
 import pytest
 
+from cairn.llm import winnow
 from cairn.llm.winnow import decontaminate
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -67,3 +68,16 @@ def test_empty_tables(spark):
     assert decontaminate(d.limit(0), b).count() == 0
     got = decontaminate(d, b.limit(0)).collect()
     assert sorted(map(tuple, got), key=str) == brute(docs, [], 10)
+
+
+def test_a_context_of_many_items_is_joined_once(spark, monkeypatch):
+    rng = random.Random(3)
+    template = " ".join(f"t{i}" for i in range(30))
+    items = [(i, f"{template} " + " ".join(rng.choices(["a", "b", "c"], k=12))) for i in range(40)]
+    docs = [(i, f"x{i} y{i} {template} z{i}") for i in range(20)]
+    seen, extend = [], winnow._extend
+    monkeypatch.setattr(winnow, "_extend", lambda hits: seen.append(hits.count()) or extend(hits))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(tuple, decontaminate(d, b).collect()), key=str) == brute(docs, items, 10)
+    # seven kept grams a document and item (5600) before; now those near the template's end only
+    assert seen[0] < len(items) * len(docs) * 6
