@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package, table
-from . import warc_zip
+from . import line_dedup, warc_zip
 from .compact_windows import passage_repeats
 from .maxent_lm import lm_scores
 from .packing import packed_documents
@@ -94,3 +94,12 @@ def op9_packing(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     """Bytes of every document inside 50-byte strings that start in an earlier document."""
     return removed_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op13_line_dedup(spark, sf_dir):
+    """Lines of every document that an earlier document holds, dropped."""
+    return line_dedup.line_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+ORACLE["op13_line_dedup"] = line_dedup.ORACLE_SQL
