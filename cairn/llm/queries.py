@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import ship_package, table
-from . import line_dedup, warc_zip
+from . import hard_negatives, line_dedup, warc_zip
 from .compact_windows import passage_repeats
 from .maxent_lm import lm_scores
 from .packing import packed_documents
@@ -96,6 +97,16 @@ def op10_suffix_dedup(spark, sf_dir):
     return removed_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@register
+def op12_hard_negatives(spark, sf_dir):
+    """Negatives of other labels that score just below each anchor's positives."""
+    rows = hard_negatives.with_shifted_labels(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = hard_negatives.ORACLE_SQL
+
+
 @register
 def op13_line_dedup(spark, sf_dir):
     """Lines of every document that an earlier document holds, dropped."""
