@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship_package, table
-from . import hard_negatives, line_dedup, warc_zip
+from . import hard_negatives, lexical_search, line_dedup, warc_zip
 from .compact_windows import passage_repeats
 from .maxent_lm import lm_scores
 from .packing import packed_documents
@@ -97,6 +97,15 @@ def op10_suffix_dedup(spark, sf_dir):
     return removed_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@register
+def op11_ranked_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item by lexical score."""
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+ORACLE["op11_ranked_search"] = lexical_search.ORACLE_SQL
+
+
 @register
 def op12_hard_negatives(spark, sf_dir):
     """Negatives of other labels that score just below each anchor's positives."""
