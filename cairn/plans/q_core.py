@@ -38,7 +38,7 @@ FROM oline
 """)
 def adapter_order_lines(spark, sf_dir):
     """Line economics of every order line with its built line key."""
-    return canonical(spark, sf_dir).order_lines().drop("line_order", "channel")
+    return canonical(spark, sf_dir).order_lines().drop("channel")
 
 
 @register("adapter_interactions", """
