@@ -8,19 +8,20 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
 from ..sources.files import read_json_record, write_json_record
 from . import metrics
+from .boosting import BoostingSpec, HistogramBoosting
 from .snapshot import feature_vector_columns
 
 SEED = 20260727  # fixed value: the seed of the estimators
@@ -34,10 +35,8 @@ class ClassifierSpec:
     rf_trees: int = 260
     rf_depth: int = 14
     rf_min_leaf: int = 12
-    gbt_iter: int = 220
-    gbt_step: float = 0.055
-    gbt_depth: int = 5          # ~25 leaves
-    gbt_min_leaf: int = 24
+    boosting: BoostingSpec = field(default_factory=lambda: BoostingSpec(
+        "log_loss", learning_rate=0.055, max_iter=220, max_leaves=25, min_leaf=24, l2=0.75))
 
 
 @dataclass
@@ -47,10 +46,8 @@ class RegressorSpec:
     rf_depth: int = 14
     rf_min_leaf: int = 10
     rf_feature_fraction: str = "0.8"
-    gbt_iter: int = 230
-    gbt_step: float = 0.055
-    gbt_depth: int = 5
-    gbt_min_leaf: int = 24
+    boosting: BoostingSpec = field(default_factory=lambda: BoostingSpec(
+        "squared_error", learning_rate=0.055, max_iter=230, max_leaves=25, min_leaf=24, l2=1.0))
 
 
 def prepare(df: DataFrame, label: str | None = None) -> DataFrame:
@@ -99,12 +96,11 @@ def classifier_candidates(spec: ClassifierSpec, n_train: float) -> dict[str, Pip
     forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=spec.rf_trees,
                                     maxDepth=spec.rf_depth, minInstancesPerNode=spec.rf_min_leaf,
                                     featureSubsetStrategy="sqrt", seed=SEED, **_TREES)
-    boosted = GBTClassifier(labelCol="label", weightCol="weight", maxIter=spec.gbt_iter, stepSize=spec.gbt_step,
-                            maxDepth=spec.gbt_depth, minInstancesPerNode=spec.gbt_min_leaf, seed=SEED, **_TREES)
+    boosted = HistogramBoosting(spec.boosting)
     return {
         "Logistic Regression": Pipeline(stages=[_assembler(), scaler, logistic]),
         "Random Forest": Pipeline(stages=[_assembler(), forest]),
-        "Gradient Boosted Trees": Pipeline(stages=[_assembler(), boosted]),
+        "Histogram Gradient Boosting": Pipeline(stages=[_assembler(), boosted]),
     }
 
 
@@ -115,12 +111,11 @@ def regressor_candidates(spec: RegressorSpec, n_train: float) -> dict[str, Pipel
     forest = RandomForestRegressor(labelCol="label", numTrees=spec.rf_trees, maxDepth=spec.rf_depth,
                                    minInstancesPerNode=spec.rf_min_leaf,
                                    featureSubsetStrategy=spec.rf_feature_fraction, seed=SEED, **_TREES)
-    boosted = GBTRegressor(labelCol="label", maxIter=spec.gbt_iter, stepSize=spec.gbt_step, maxDepth=spec.gbt_depth,
-                           minInstancesPerNode=spec.gbt_min_leaf, seed=SEED, **_TREES)
+    boosted = HistogramBoosting(spec.boosting)
     return {
         "Ridge Regression": Pipeline(stages=[_assembler(), scaler, ridge]),
         "Random Forest Regressor": Pipeline(stages=[_assembler(), forest]),
-        "Gradient Boosted Trees Regressor": Pipeline(stages=[_assembler(), boosted]),
+        "Histogram Gradient Boosting Regressor": Pipeline(stages=[_assembler(), boosted]),
     }
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,24 @@ def materialize(df, partition_by: tuple[str, ...] = ()):
     writer.parquet(path)
     # the declared schema keeps partition column types; the select keeps column order
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application, so that
+    functions in tasks import it whatever folder the executors run in."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cairn-src-"), "cairn_src.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from cairn.constants import FEATURE_COLUMNS
 from cairn.operators import attribution, models
+from cairn.operators.boosting import BoostingSpec
 from cairn.operators.contracts import ContractError, check_label_windows
 
-SMALL = models.ClassifierSpec(rf_trees=6, rf_depth=4, gbt_iter=4, gbt_depth=3)
-SMALL_VALUE = models.RegressorSpec(rf_trees=6, rf_depth=4, gbt_iter=4, gbt_depth=3)
+SMALL = models.ClassifierSpec(rf_trees=6, rf_depth=4, boosting=BoostingSpec("log_loss", 0.3, max_iter=4, max_leaves=8))
+SMALL_VALUE = models.RegressorSpec(rf_trees=6, rf_depth=4, boosting=BoostingSpec("squared_error", 0.3, max_iter=4, max_leaves=8))
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +41,7 @@ def test_candidates_learn_and_champion_is_best(data):
     train, test = models.add_balanced_weights(data[0]), data[1]
     rows, fitted = models.compare_classifiers(train, test, SMALL)
     rows = {r.model: r for r in rows.collect()}
-    assert set(rows) == set(fitted) == {"Logistic Regression", "Random Forest", "Gradient Boosted Trees"}
+    assert set(rows) == set(fitted) == {"Logistic Regression", "Random Forest", "Histogram Gradient Boosting"}
     assert all(r.roc_auc > 0.75 and 0.15 <= r.threshold <= 0.85 for r in rows.values())
     value_train, value_test = (d.withColumn("label", F.col("value")) for d in data)
     rows, _ = models.compare_regressors(value_train, value_test, SMALL_VALUE)
