@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
 from ..functions.exprs import is_finite
+from ..functions.ranking import ordered_running
+from ..sources.files import type_map
+from .compare import differs
 from .contracts import require
 
 
@@ -106,23 +109,38 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: S
     """Full outer join on the business key; per column, rows compared,
     rows missing on either side, values outside tolerance and the first differing key.
 
-    within tolerance: |a - b| <= max(rel_tol * max(|a|, |b|), abs_tol); both null -> equal.
+    Numbers are equal within max(rel_tol * max(|a|, |b|), abs_tol), other values exactly;
+    both null -> equal.  Rows that share a key are paired in the order of the compared
+    columns.  With several key columns the first differing key is their text, joined by "|".
     """
-    keys = list(keys)
+    keys, kinds = list(keys), type_map(left)
     check_same_columns(left, right)
-    l = left.select(*keys, *[F.col(c).cast("double").alias(f"_l_{c}") for c in columns], F.lit(1).alias("_inl"))
-    r = right.select(*keys, *[F.col(c).cast("double").alias(f"_r_{c}") for c in columns], F.lit(1).alias("_inr"))
-    j = l.join(r, keys, "full_outer")
-    both = F.col("_inl").isNotNull() & F.col("_inr").isNotNull()
+    number = [kinds[c] in ("double", "int") for c in columns]
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        values = [(F.col(c).cast("double") if n else F.col(c).cast("string")).alias(f"_v{i}") for i, (c, n) in enumerate(zip(columns, number))]
+        rows = df.select(*keys, *values, F.xxhash64(*keys, F.lit(1)).alias("_k1"), F.xxhash64(F.lit(2), *keys).alias("_k2"))
+        rows = rows.withColumn("_id", F.xxhash64(*[f"_v{i}" for i in range(len(columns))]))
+        ordered = [(f"_v{i}", True) for i, n in enumerate(number) if n] or [("_id", True)]
+        placed = ordered_running(rows, ordered, "_id", partition_by=["_k1", "_k2"])
+        return placed.select(*[F.col(k).alias(f"{mark}k_{k}") for k in keys], *[F.col(f"_v{i}").alias(f"{mark}{i}") for i in range(len(columns))],
+                             F.col("_rn").alias(f"{mark}rn"), F.lit(1).alias(f"{mark}in"))
+
+    l, r = side(left, "_l"), side(right, "_r")
+    same = F.col("_lrn") == F.col("_rrn")
+    for k in keys:
+        same = same & F.col(f"_lk_{k}").eqNullSafe(F.col(f"_rk_{k}"))
+    j = l.join(r, same, "full_outer")
+    both = F.col("_lin").isNotNull() & F.col("_rin").isNotNull()
+    held = [F.coalesce(f"_lk_{k}", f"_rk_{k}") for k in keys]
+    key = held[0] if len(keys) == 1 else F.concat_ws("|", *[F.coalesce(h.cast("string"), F.lit("")) for h in held])
     # one pass: every column's figures are aggregates of the same join
     aggs = []
-    for i, c in enumerate(columns):
-        a, b = F.col(f"_l_{c}"), F.col(f"_r_{c}")
-        tol = F.greatest(F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_tol))
-        same = (a.isNull() & b.isNull()) | (a.isNotNull() & b.isNotNull() & (F.abs(a - b) <= tol))
-        aggs += [F.count_if(both & ~same).alias(f"_m_{i}"), F.min(F.when(both & ~same, F.col(keys[0]))).alias(f"_k_{i}")]
-    total = j.agg(F.count_if(both).alias("rows_compared"), F.count_if(F.col("_inr").isNull()).alias("missing_right"),
-                  F.count_if(F.col("_inl").isNull()).alias("missing_left"), *aggs)
+    for i, n in enumerate(number):
+        wrong = both & differs(F.col(f"_l{i}"), F.col(f"_r{i}"), n, rel_tol, abs_tol)
+        aggs += [F.count_if(wrong).alias(f"_m_{i}"), F.min(F.when(wrong, key)).alias(f"_k_{i}")]
+    total = j.agg(F.count_if(both).alias("rows_compared"), F.count_if(F.col("_rin").isNull()).alias("missing_right"),
+                  F.count_if(F.col("_lin").isNull()).alias("missing_left"), *aggs)
     return total.select("rows_compared", "missing_right", "missing_left", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_m_{i}").alias("mismatches"), F.col(f"_k_{i}").alias("first_mismatch_key"))
         for i, c in enumerate(columns)])).alias("_x")).select(

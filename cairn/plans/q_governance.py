@@ -245,32 +245,6 @@ def table_row_counts(spark, sf_dir):
                              "order_lines": c.order_lines(), "interactions": c.interactions()})
 
 
-@register("published_mart", """
-SELECT 'mart_customers' AS "table", COUNT(*) AS rows, 1 AS date_columns, 2 AS int_columns, 0 AS double_columns, 4 AS text_columns FROM cust
-UNION ALL SELECT 'mart_orders', COUNT(*), 1, 4, 5, 2 FROM ford
-UNION ALL SELECT 'mart_order_lines', COUNT(*), 1, 5, 6, 3 FROM oline
-UNION ALL SELECT 'mart_interactions', COUNT(*), 1, 6, 1, 0 FROM inter
-""")
-def published_mart(spark, sf_dir):
-    """The canonical tables published after the blocking gates
-    pass, registered as views, with row counts by SQL and column kinds."""
-    c = canonical(spark, sf_dir)
-    gates = data_quality_report(spark, sf_dir).filter(F.col("check_name").isin(*BLOCKING_GATES))
-    quality.raise_on_failure(gates)
-    tables = {"mart_customers": c.customers(), "mart_orders": c.orders(), "mart_order_lines": c.order_lines(),
-              "mart_interactions": c.interactions()}
-    paths = files.publish_tables(tables, _scratch(spark, "mart", sf_dir))
-    published = {name: spark.read.schema(tables[name].schema).parquet(path) for name, path in paths.items()}
-    files.register_mart(published)
-    rows = []
-    for name, df in published.items():
-        kinds = list(files.type_map(df).values())
-        rows.append((name, int(files.query_scalar(spark, f"SELECT COUNT(*) FROM {name}")),
-                     *[kinds.count(k) for k in ("date", "int", "double", "text")]))
-    return spark.createDataFrame(rows, "table string, rows long, date_columns int, int_columns int, double_columns int, "
-                                       "text_columns int")
-
-
 def _scratch(spark, name: str, sf_dir: str) -> str:
     import uuid
 
