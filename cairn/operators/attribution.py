@@ -1,5 +1,12 @@
-"""Permutation attribution of a churn model, as one Spark job.
+"""Attribution of a churn model's scores to features, as Spark jobs.
 
+``antithetic_attribution`` explains every row by one walk: features switch from the
+background to the row's value in an order of the row's own, and back off in the same order,
+which is the reverse order of switching on.  A state's value is the mean score over all
+background rows, and a feature gets half of what it changes on either way.  All states of
+all rows are scored in one pass.
+
+``permutation_attribution`` starts from one median row instead and averages many orders.
 For every explained row and permutation, features switch from the baseline (the
 column-wise median of a background sample) to the row's value one at a time; the
 score change at each step is credited to the switched feature and averaged over
@@ -18,7 +25,9 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
 
-SEED = 20260727  # fixed value: the permutation seed
+SEED = 5
+#: contributions are ranked and given a direction at this precision: sums in another order differ below it
+DIGITS = 12
 
 
 def permutations(n_features: int, count: int, seed: int = SEED) -> list[list[int]]:
@@ -31,9 +40,48 @@ def baseline_medians(background: DataFrame, features: Sequence[str] = FEATURE_CO
     return background.agg(*[F.percentile(F.col(f).cast("double"), 0.5).alias(f) for f in features])
 
 
-def seeded_sample(df: DataFrame, n: int, id_col: str = "customer_id", seed: int = SEED) -> DataFrame:
-    """Repeatable sample of ``n`` rows (hash order of (id, seed)); the limit is the feature."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+def seeded_sample(df: DataFrame, n: int, id_cols: Sequence[str] = ("customer_id",), seed: int = SEED) -> DataFrame:
+    """Repeatable sample of ``n`` rows, those whose ids hash lowest; the limit is the feature."""
+    key = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
+    return df.orderBy(key, *id_cols).limit(n)
+
+
+def most_dormant(df: DataFrame, n: int, id_col: str = "customer_id") -> DataFrame:
+    """The explained cohort, longest without an order first; the limit is the feature."""
+    return df.orderBy(F.col("recency_days").desc(), F.col(id_col)).limit(n)
+
+
+def antithetic_attribution(score: Callable[[DataFrame], DataFrame], rows: DataFrame, background: DataFrame,
+                           id_col: str = "customer_id", features: Sequence[str] = FEATURE_COLUMNS, seed: int = SEED) -> DataFrame:
+    """(id, feature, feature_value, shap_value, base_value, churn_probability).
+
+    ``score(df)`` must return ``df`` plus a double column ``p``.  ``rows`` and
+    ``background`` are of bounded size (parameters of the caller): 2 x features states
+    times the background rows are scored for each row.
+    """
+    feats = list(features)
+    m = len(feats)
+    held = background.agg(F.collect_list(F.struct(*[F.col(f).cast("double").alias(f) for f in feats])).alias("b"))
+    x = rows.select(id_col, *[F.col(f).cast("double").alias(f) for f in feats])
+    drawn = F.array_sort(F.array(*[F.struct(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(f"{i}|{seed}"))).alias("h"), F.lit(i).alias("i"))
+                                   for i in range(m)]))
+    x = x.withColumn("_order", F.transform(drawn, lambda d: d["i"]))
+    x = x.withColumn("_pos", F.array(*[F.array_position("_order", F.lit(i)).cast("int") - 1 for i in range(m)]))
+    x = x.withColumn("_back", held.scalar())
+    # state s: the first s features of the order are on; from m on, the first s - m are off again
+    steps = x.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(2 * m - 1)))).withColumn("_b", F.explode("_back"))
+    on = lambda i: F.when(F.col("_s") <= m, F.col("_pos")[i] < F.col("_s")).otherwise(F.col("_pos")[i] >= F.col("_s") - m)
+    mixed = steps.select(id_col, "_s", *[F.when(on(i), F.col(f)).otherwise(F.col("_b")[f]).alias(f) for i, f in enumerate(feats)])
+    states = score(mixed).groupBy(id_col, "_s").agg(F.avg("p").alias("_v"))
+    walks = states.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_v"))), lambda v: v["_v"]).alias("_v"))
+    v, q = F.col("_v"), F.col("_q")
+    last = F.when(q == m - 1, v[0]).otherwise(F.get(v, q + m + 1))
+    out = x.select(id_col, *feats, "_pos").join(walks, id_col).select(
+        id_col, "_v", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("feature_value"), F.col("_pos")[i].alias("q"))
+                                          for i, f in enumerate(feats)])).alias("_f")).withColumn("_q", F.col("_f.q"))
+    return out.select(id_col, "_f.feature", "_f.feature_value",
+                      ((F.get(v, q + 1) - F.get(v, q) + F.get(v, q + m) - last) / 2).alias("shap_value"),
+                      v[0].alias("base_value"), v[m].alias("churn_probability"))
 
 
 def permutation_attribution(score: Callable[[DataFrame], DataFrame], rows: DataFrame, baseline: DataFrame,
@@ -97,9 +145,9 @@ def global_importance(phi: DataFrame) -> DataFrame:
 
 def local_reasons(phi: DataFrame, k: int = 5, id_col: str = "customer_id") -> DataFrame:
     """Top-k features by |phi| per row with rank and direction."""
-    w = Window.partitionBy(id_col).orderBy(F.abs("shap_value").desc(), F.col("feature"))
+    w = Window.partitionBy(id_col).orderBy(F.round(F.abs("shap_value"), DIGITS).desc(), F.col("feature"))
     return phi.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).withColumn(
-        "direction", F.when(F.col("shap_value") > 0, "Increases risk").otherwise("Decreases risk"))
+        "direction", F.when(F.round("shap_value", DIGITS) > 0, "Increases risk").otherwise("Decreases risk"))
 
 
 def additivity_error(phi: DataFrame, id_col: str = "customer_id") -> DataFrame:

@@ -190,7 +190,7 @@ def uniform_from_key(key: Column, stream: Column, seed: int) -> Column:
 
 
 def weighted_contact_sample(targets: DataFrame, acquisition: DataFrame, analysis_date: str, cap: int = 1500,
-                            seed: int = 20260727, weight: str = "priority_score") -> DataFrame:
+                            seed: int = 31, weight: str = "priority_score") -> DataFrame:
     """Per campaign (action), a weighted sample without replacement of consented
     customers acquired by ``analysis_date``: key = ln(u) / w (the order of u^(1/w)),
     the ``min(cap, group size)`` largest keys are drawn (ties by id).  The per-group top-n

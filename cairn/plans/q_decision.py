@@ -236,7 +236,7 @@ def segment_summary(spark, sf_dir):
 )
 , mixed AS (
   SELECT *, (((customer_id % 2147483648) * 2654435761) % 4294967296
-             + (((customer_id >> 31) % 2147483648) * 2246822519) % 4294967296 + 20260727) % 2147483648 AS x
+             + (((customer_id >> 31) % 2147483648) * 2246822519) % 4294967296 + 31) % 2147483648 AS x
   FROM base
 )
 , keyed AS (

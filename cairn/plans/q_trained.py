@@ -122,22 +122,24 @@ class TrainedChain:
         p = production(self.spark, self.sf_dir)
         return decision.build_customer_360(p.snapshot, p.rfm, self.value_scores, self.churn_scores, self.targets)
 
-    def _explain(self, score, probabilities: DataFrame) -> DataFrame:
-        """Attributions of the riskiest customers by the score that is explained."""
-        train, _ = self.churn_data
-        riskiest = probabilities.orderBy(F.col("churn_probability").desc(), "customer_id").limit(EXPLAINED)
-        rows = self.production_features.join(riskiest.select("customer_id"), "customer_id", "left_semi")
-        base = attribution.baseline_medians(attribution.seeded_sample(train, BACKGROUND))
-        return materialize(attribution.permutation_attribution(score, rows, base))
+    @cached_property
+    def background(self) -> DataFrame:
+        return attribution.seeded_sample(self.churn_data[0], BACKGROUND, ("customer_id", "snapshot_date"))
+
+    @cached_property
+    def dormant(self) -> DataFrame:
+        return attribution.most_dormant(self.production_features, EXPLAINED)
 
     @cached_property
     def attributions(self) -> DataFrame:
-        return self._explain(self.churn_model.predict, self.churn_scores)
+        """The calibrated champion on the most dormant customers."""
+        return materialize(attribution.antithetic_attribution(self.churn_model.predict, self.dormant, self.background))
 
     @cached_property
     def rule_attributions(self) -> DataFrame:
-        risk = self.production_features.select("customer_id", rule_churn_probability().alias("churn_probability"))
-        return self._explain(lambda d: d.withColumn("p", rule_churn_probability()), risk)
+        """The closed-form score against the median row of the background."""
+        return materialize(attribution.permutation_attribution(
+            lambda d: d.withColumn("p", rule_churn_probability()), self.dormant, attribution.baseline_medians(self.background)))
 
 
 _CHAINS: dict[tuple[str, str], TrainedChain] = {}
@@ -270,7 +272,7 @@ def model_bundle_info(spark, sf_dir):
 @register("attribution_global_importance")
 def attribution_global_importance(spark, sf_dir):
     """Attribution of the calibrated champion on the 60
-    riskiest customers; global importance per feature."""
+    most dormant customers; global importance per feature."""
     return _round_all(attribution.global_importance(chain(spark, sf_dir).attributions))
 
 

@@ -77,7 +77,7 @@ def test_calibration_uses_the_rows_of_each_fold(spark, data, tmp_path):
 def test_attributions_add_up_for_a_trained_model(data):
     train, test = models.add_balanced_weights(data[0]), data[1]
     model = models.fit_pipeline(models.classifier_candidates(SMALL, 450.0)["Random Forest"], models.assembled(train))
-    base = attribution.baseline_medians(attribution.seeded_sample(train, 24))
+    base = attribution.baseline_medians(attribution.seeded_sample(train, 24, ["customer_id", "snapshot_date"]))
     rows = test.orderBy("customer_id").limit(4)
     phi = attribution.permutation_attribution(lambda d: models.positive_probability(model, d), rows, base, n_permutations=6)
     err = attribution.additivity_error(phi).first()
