@@ -1,17 +1,22 @@
 """Point-in-time customer features for many cutoff dates in one pass.
 
-For ``k`` cutoffs the facts are read once: every measure becomes ``k`` conditional
-aggregates in one hash aggregate per fact (no fact row is replicated per cutoff).
-The wide per-customer rows are joined, on ``customer_id`` only, to the
-customer x cutoff spine (the output grain), and the k-th struct is picked from an
-array.  All three join inputs are partitioned by ``customer_id``.
+A fact counts for a run of consecutive cutoffs: an order on day d for the 12-month measures
+of the cutoffs from d on and before d + 365, for the lifetime measures of all from d on, for
+the labels of horizon h of those from d - h on and before d.  So every fact becomes at most
+four differences (added at the first cutoff of a run, taken off at the first one after it),
+whatever the number of cutoffs; the differences are summed per (customer, cutoff) in one
+hash aggregate of all facts, and running sums over a customer's cutoffs give the measures.
+Which categories a customer bought in each window is a bit per cutoff, or-ed per category.
+Everything before the running sums (one row per customer and cutoff, the output grain) is
+aggregated on the map side and stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS, ONLINE_CHANNELS, TIER_SCORE
@@ -21,51 +26,87 @@ from .contracts import check_horizon
 MONEY = "decimal(18,2)"
 
 
-def _order_measures(c: Column, churn_h: int | None, clv_h: int | None) -> list[tuple[str, Column, str]]:
-    """(name, level-1 aggregate over (customer, category), level-2 fold) per cutoff."""
+#: cutoffs of one pass: category bits are held in one long
+MAX_CUTOFFS = 60
+_WINDOW_DAYS, _SESSION_DAYS = 365, 90
+
+
+def _first_at(dates: Sequence[Column], day: Column) -> Column:
+    """Index of the first cutoff on or after ``day`` (their number, if there is none)."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(day <= dates[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+
+    return build(0, len(dates))
+
+
+def _run(first: Column, after: Column, flags: str) -> list[Column]:
+    """The two differences of a run of cutoffs; ``flags`` names the measures it counts for."""
+    return [F.struct(first.alias("k"), F.lit(flags).alias("of"), F.lit(1).alias("sign")),
+            F.struct(after.alias("k"), F.lit(flags).alias("of"), F.lit(-1).alias("sign"))]
+
+
+def _order_differences(orders: DataFrame, dates: Sequence[Column], churn_h: int | None, clv_h: int | None) -> DataFrame:
+    """customer_id, k and a difference of every order measure."""
     d = F.col("order_date")
-    hist = d <= c
-    w12 = hist & (d >= F.date_sub(c, 364))
+    start = _first_at(dates, d)
+    runs = [*_run(start, _first_at(dates, F.date_add(d, _WINDOW_DAYS)), "year"),
+            F.struct(start.alias("k"), F.lit("life").alias("of"), F.lit(1).alias("sign"))]
+    for name, h in (("churn", churn_h), ("value", clv_h)):
+        if h is not None:
+            runs += _run(_first_at(dates, F.date_sub(d, h)), start, name)
+    rows = orders.where(d.isNotNull()).select(
+        "customer_id", "order_date", "net_revenue", "gross_margin", "gross_revenue", "discount_amount", "returned_flag",
+        F.col("channel").isin(*ONLINE_CHANNELS).alias("_online"), F.explode(F.array(*runs)).alias("_r"))
+    rows = rows.where(F.col("_r.k") < len(dates))
+    of, sign = F.col("_r.of"), F.col("_r.sign")
+
+    def add(flag: str, value: Column) -> Column:
+        return F.when(of == flag, value * sign)
+
+    money = lambda c: F.col(c).cast(MONEY)
     out = [
-        ("last_order_date", F.max(F.when(hist, d)), "max"),
-        ("lifetime_orders", F.count_if(hist), "sum"),
-        ("lifetime_revenue", F.sum(F.when(hist, F.col("net_revenue"))), "sum"),
-        ("lifetime_margin", F.sum(F.when(hist, F.col("gross_margin"))), "sum"),
-        ("frequency_12m", F.count_if(w12), "sum"),
-        ("monetary_12m", F.sum(F.when(w12, F.col("net_revenue"))), "sum"),
-        ("gross_margin_12m", F.sum(F.when(w12, F.col("gross_margin"))), "sum"),
-        ("gross_revenue_12m", F.sum(F.when(w12, F.col("gross_revenue"))), "sum"),
-        ("discount_amount_12m", F.sum(F.when(w12, F.col("discount_amount"))), "sum"),
-        ("returned_orders_12m", F.sum(F.when(w12, F.col("returned_flag"))), "sum"),
-        # one flag per (customer, category): summed at level 2 = distinct categories
-        ("category_diversity_12m", F.max(F.when(w12 & F.col("primary_category").isNotNull(), F.lit(1)).otherwise(F.lit(0))), "sum"),
-        ("online_orders_12m", F.count_if(w12 & F.col("channel").isin(*ONLINE_CHANNELS)), "sum"),
+        F.when(of == "life", d).alias("last_order_date"), add("life", F.lit(1)).alias("lifetime_orders"),
+        add("life", money("net_revenue")).alias("lifetime_revenue"), add("life", money("gross_margin")).alias("lifetime_margin"),
+        add("year", F.lit(1)).alias("frequency_12m"), add("year", money("net_revenue")).alias("monetary_12m"),
+        add("year", money("gross_margin")).alias("gross_margin_12m"), add("year", money("gross_revenue")).alias("gross_revenue_12m"),
+        add("year", money("discount_amount")).alias("discount_amount_12m"), add("year", F.col("returned_flag")).alias("returned_orders_12m"),
+        add("year", F.when(F.col("_online"), 1).otherwise(0)).alias("online_orders_12m"),
     ]
     if churn_h is not None:
-        fut = (d > c) & (d <= F.date_add(c, churn_h))
-        out.append(("future_orders_churn", F.count_if(fut), "sum"))
+        out.append(add("churn", F.lit(1)).alias("future_orders_churn"))
     if clv_h is not None:
-        fut = (d > c) & (d <= F.date_add(c, clv_h))
-        out += [
-            ("future_gross_margin", F.sum(F.when(fut, F.col("gross_margin"))), "sum"),
-            ("future_revenue", F.sum(F.when(fut, F.col("net_revenue"))), "sum"),
-            ("future_orders", F.count_if(fut), "sum"),
-        ]
-    return out
+        out += [add("value", money("gross_margin")).alias("future_gross_margin"), add("value", money("net_revenue")).alias("future_revenue"),
+                add("value", F.lit(1)).alias("future_orders")]
+    return rows.select("customer_id", F.col("_r.k").alias("k"), *out)
 
 
-def _interaction_measures(c: Column) -> list[tuple[str, Column]]:
+def _interaction_differences(interactions: DataFrame, dates: Sequence[Column]) -> DataFrame:
     m = F.col("month")
-    hist = m <= c
-    w12 = hist & (m >= F.date_sub(c, 364))
-    w90 = hist & (m >= F.date_sub(c, 89))
-    return [
-        ("email_sent_12m", F.sum(F.when(w12, F.col("email_sent")))),
-        ("email_opens_12m", F.sum(F.when(w12, F.col("email_opens")))),
-        ("support_tickets_12m", F.sum(F.when(w12, F.col("support_tickets")))),
-        ("sessions_90d", F.sum(F.when(w90, F.col("sessions")))),
-        ("last_session_month", F.max(F.when(hist & (F.col("sessions") > 0), m))),
-    ]
+    start = _first_at(dates, m)
+    runs = [*_run(start, _first_at(dates, F.date_add(m, _WINDOW_DAYS)), "year"),
+            *_run(start, _first_at(dates, F.date_add(m, _SESSION_DAYS)), "sessions")]
+    rows = interactions.where(m.isNotNull()).select("customer_id", "month", "email_sent", "email_opens", "support_tickets", "sessions",
+                                                    F.explode(F.array(*runs)).alias("_r")).where(F.col("_r.k") < len(dates))
+    of, sign = F.col("_r.of"), F.col("_r.sign")
+    year = lambda c: F.when(of == "year", F.col(c) * sign)
+    return rows.select(
+        "customer_id", F.col("_r.k").alias("k"), year("email_sent").alias("email_sent_12m"), year("email_opens").alias("email_opens_12m"),
+        year("support_tickets").alias("support_tickets_12m"), F.when(of == "sessions", F.col("sessions") * sign).alias("sessions_90d"),
+        F.when((of == "sessions") & (sign == 1) & (F.col("sessions") > 0), m).alias("last_session_month"))
+
+
+def _category_counts(orders: DataFrame, dates: Sequence[Column]) -> DataFrame:
+    """customer_id and the number of categories bought in the window of each cutoff (array)."""
+    d, one = F.col("order_date"), F.lit(1).cast("long")
+    start, after = _first_at(dates, d), _first_at(dates, F.date_add(d, _WINDOW_DAYS))
+    bits = F.call_function("shiftleft", one, after) - F.call_function("shiftleft", one, start)  # cutoffs start .. after - 1
+    held = (orders.where(F.col("primary_category").isNotNull() & d.isNotNull())
+            .groupBy("customer_id", "primary_category").agg(F.bit_or(bits).alias("_bits")))
+    per = held.groupBy("customer_id").agg(*[F.sum(F.shiftright("_bits", k).bitwiseAND(1)).alias(f"_n{k}") for k in range(len(dates))])
+    return per.select(F.col("customer_id"), F.array(*[F.col(f"_n{k}") for k in range(len(dates))]).alias("_categories"))
 
 
 def build_snapshots(
@@ -85,78 +126,49 @@ def build_snapshots(
         check_horizon(churn_horizon)
     if clv_horizon is not None:
         check_horizon(clv_horizon)
-    cutoffs = list(cutoffs)
+    cutoffs = sorted(set(map(str, cutoffs)))
+    if len(cutoffs) > MAX_CUTOFFS:
+        parts = [build_snapshots(customers, orders, interactions, cutoffs[i: i + MAX_CUTOFFS], churn_horizon, clv_horizon)
+                 for i in range(0, len(cutoffs), MAX_CUTOFFS)]
+        return reduce(DataFrame.unionByName, parts)
     dates = [F.lit(c).cast("date") for c in cutoffs]
 
-    # ---- orders: level 1 (customer, category), level 2 customer ------------------
-    level1, level2 = [], []
-    for i, c in enumerate(dates):
-        for name, agg, fold in _order_measures(c, churn_horizon, clv_horizon):
-            col = f"{name}__{i}"
-            level1.append(agg.alias(col))
-            level2.append((F.max(col) if fold == "max" else F.sum(col)).alias(col))
-    names = [n for n, _, _ in _order_measures(dates[0], churn_horizon, clv_horizon)]
-    per_cat = orders.groupBy("customer_id", "primary_category").agg(*level1)
-    per_customer = per_cat.groupBy("customer_id").agg(*level2)
-    order_arr = per_customer.select(
-        "customer_id",
-        F.array(*[F.struct(*[F.col(f"{n}__{i}").alias(n) for n in names]) for i in range(len(cutoffs))]).alias("_o"),
-    )
-
-    # ---- interactions ------------------------------------------------------------
-    iaggs = []
-    for i, c in enumerate(dates):
-        iaggs += [agg.alias(f"{name}__{i}") for name, agg in _interaction_measures(c)]
-    inames = [n for n, _ in _interaction_measures(dates[0])]
-    inter = interactions.groupBy("customer_id").agg(*iaggs).select(
-        "customer_id",
-        F.array(*[F.struct(*[F.col(f"{n}__{i}").alias(n) for n in inames]) for i in range(len(cutoffs))]).alias("_i"),
-    )
-
-    # ---- spine: customer x cutoff (the output grain) --------------------------------
-    spine = customers.select(
-        "customer_id", "acquisition_date", "region", "age_band", "loyalty_tier", "preferred_channel",
-        "marketing_consent",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("k"), d.alias("snapshot_date")) for i, d in enumerate(dates)])).alias("_c"),
-    ).select("*", "_c.k", "_c.snapshot_date").drop("_c")
-    spine = spine.filter(F.col("acquisition_date") <= F.col("snapshot_date"))
-
-    joined = spine.join(order_arr, "customer_id", "left").join(inter, "customer_id", "left")
-    o = F.col("_o")[F.col("k")]
-    it = F.col("_i")[F.col("k")]
+    # ---- differences of all facts, one row per (customer, cutoff) at least -----------
+    spine = customers.select("customer_id", F.explode(F.sequence(F.lit(0), F.lit(len(dates) - 1))).alias("k"))
+    facts = _order_differences(orders, dates, churn_horizon, clv_horizon)
+    inter = _interaction_differences(interactions, dates)
+    latest = ("last_order_date", "last_session_month")
+    measures = [c for c in facts.columns + inter.columns if c not in ("customer_id", "k")]
+    stream = spine.unionByName(facts, allowMissingColumns=True).unionByName(inter, allowMissingColumns=True)
+    summed = stream.groupBy("customer_id", "k").agg(*[(F.max(c) if c in latest else F.sum(c)).alias(c) for c in measures])
+    upto = Window.partitionBy("customer_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    running = summed.select("customer_id", "k", *[(F.max(c) if c in latest else F.sum(c)).over(upto).alias(c) for c in measures])
+
+    # ---- customers x cutoffs (the output grain) ----------------------------------------
+    attributes = customers.select("customer_id", "acquisition_date", "region", "age_band", "loyalty_tier", "preferred_channel", "marketing_consent")
+    joined = (running.join(attributes, "customer_id").join(_category_counts(orders, dates), "customer_id", "left")
+              .withColumn("snapshot_date", F.element_at(F.array(*dates), F.col("k") + 1))
+              .where(F.col("acquisition_date") <= F.col("snapshot_date")))
     cut = F.col("snapshot_date")
 
-    def cnt(x: Column) -> Column:
-        return F.coalesce(x, F.lit(0)).cast("long")
+    def cnt(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
 
-    def amt(x: Column) -> Column:
-        return F.coalesce(x, F.lit(0)).cast(MONEY)
+    def amt(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0)).cast(MONEY).alias(c)
 
     snap = joined.select(
         "customer_id", "acquisition_date", "region", "age_band", "loyalty_tier", "preferred_channel",
         "marketing_consent", "snapshot_date",
         F.greatest(F.datediff(cut, F.col("acquisition_date")), F.lit(0)).alias("tenure_days"),
-        o["last_order_date"].alias("last_order_date"),
-        cnt(o["lifetime_orders"]).alias("lifetime_orders"),
-        amt(o["lifetime_revenue"]).alias("lifetime_revenue"),
-        amt(o["lifetime_margin"]).alias("lifetime_margin"),
-        cnt(o["frequency_12m"]).alias("frequency_12m"),
-        amt(o["monetary_12m"]).alias("monetary_12m"),
-        amt(o["gross_margin_12m"]).alias("gross_margin_12m"),
-        amt(o["gross_revenue_12m"]).alias("gross_revenue_12m"),
-        amt(o["discount_amount_12m"]).alias("discount_amount_12m"),
-        cnt(o["returned_orders_12m"]).alias("returned_orders_12m"),
-        cnt(o["category_diversity_12m"]).alias("category_diversity_12m"),
-        cnt(o["online_orders_12m"]).alias("online_orders_12m"),
-        cnt(it["email_sent_12m"]).alias("email_sent_12m"),
-        cnt(it["email_opens_12m"]).alias("email_opens_12m"),
-        cnt(it["support_tickets_12m"]).alias("support_tickets_12m"),
-        cnt(it["sessions_90d"]).alias("sessions_90d"),
-        it["last_session_month"].alias("last_session_month"),
-        *([o["future_orders_churn"].alias("_fut_churn")] if churn_horizon is not None else []),
-        *([amt(o["future_gross_margin"]).alias("future_gross_margin"),
-           amt(o["future_revenue"]).alias("future_revenue"),
-           cnt(o["future_orders"]).alias("future_orders")] if clv_horizon is not None else []),
+        "last_order_date", cnt("lifetime_orders"), amt("lifetime_revenue"), amt("lifetime_margin"),
+        cnt("frequency_12m"), amt("monetary_12m"), amt("gross_margin_12m"), amt("gross_revenue_12m"),
+        amt("discount_amount_12m"), cnt("returned_orders_12m"),
+        F.coalesce(F.get("_categories", F.col("k")), F.lit(0)).cast("long").alias("category_diversity_12m"),
+        cnt("online_orders_12m"), cnt("email_sent_12m"), cnt("email_opens_12m"), cnt("support_tickets_12m"),
+        cnt("sessions_90d"), "last_session_month",
+        *([F.col("future_orders_churn").alias("_fut_churn")] if churn_horizon is not None else []),
+        *([amt("future_gross_margin"), amt("future_revenue"), cnt("future_orders")] if clv_horizon is not None else []),
     )
     tenure_floor = F.greatest(F.col("tenure_days"), F.lit(1))
     snap = snap.withColumns({

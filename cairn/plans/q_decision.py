@@ -35,7 +35,7 @@ def session_snapshots(spark, sf_dir) -> DataFrame:
         c = canonical(spark, sf_dir)
         snaps = snapshot.build_snapshots(c.customers(), c.orders(), c.interactions(), ALL_CUTOFFS,
                                          churn_horizon=CHURN_HORIZON_DAYS, clv_horizon=CLV_HORIZON_DAYS)
-        _SNAPSHOTS[key] = materialize(snaps, partition_by=("snapshot_date",))
+        _SNAPSHOTS[key] = materialize(snaps, partition_by=("snapshot_date",), bucket_by="customer_id")
     return _SNAPSHOTS[key]
 
 
@@ -74,11 +74,11 @@ class Production:
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return materialize(rfm.calculate_rfm(self.customers, self.orders, ANALYSIS_DATE, validate=True))
+        return materialize(rfm.calculate_rfm(self.customers, self.orders, ANALYSIS_DATE, validate=True), bucket_by="customer_id")
 
     @cached_property
     def _scores(self) -> tuple[DataFrame, DataFrame]:
-        return scores.rule_scores(self.snapshot)  # projections of one materialized table
+        return tuple(materialize(t, bucket_by="customer_id") for t in scores.rule_scores(self.snapshot))
 
     @property
     def clv(self) -> DataFrame:
@@ -91,7 +91,7 @@ class Production:
     @cached_property
     def targets(self) -> DataFrame:
         return materialize(decision.recommend_campaigns(self.snapshot, self.rfm, self.clv, self.churn,
-                                                        budget=self.budget, validate=False))
+                                                        budget=self.budget, validate=False), bucket_by="customer_id")
 
     @cached_property
     def c360(self) -> DataFrame:

@@ -69,7 +69,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return 200
 
 
-def materialize(df, partition_by: tuple[str, ...] = ()):
+def materialize(df, partition_by: tuple[str, ...] = (), bucket_by: str | None = None):
     """Cut the lineage: write ``df`` as a parquet table in the shared checkpoint folder
     and read it back.
 
@@ -80,13 +80,24 @@ def materialize(df, partition_by: tuple[str, ...] = ()):
     does not lose it.  Parquet rather than an RDD checkpoint: it is columnar and
     compressed, and every later scan of it gets column pruning and filter pushdown.
     ``partition_by`` writes one folder per value of those (few-valued) columns, so a
-    filter on them prunes whole folders.
+    filter on them prunes whole folders.  ``bucket_by`` hashes the rows by a column into as
+    many buckets as there are shuffle partitions and sorts them, so that joins and
+    aggregations of such tables on it need no exchange.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        name = f"cairn_{uuid.uuid4().hex}"
+        n = shuffle_partitions(spark)
+        # one task a bucket, so a bucket is one file (of a folder)
+        writer = df.repartition(n, bucket_by).write.mode("overwrite").format("parquet").option("path", path)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(name)
+        return spark.table(name).select(*df.columns)
     writer.parquet(path)
     # the declared schema keeps partition column types; the select keeps column order
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
