@@ -2,16 +2,23 @@
 
 Inputs are scored frames with a binary label ``y`` (0/1), a score ``p`` and an id.
 Orders are total: ties in the score are broken by the id.
+
+A scored frame is sorted once, into one row per distinct score (``ScoreRuns``: rows and
+positives of the score and of all higher ones).  Every metric of a classifier is an
+aggregate of these runs.  Only where a cut falls inside a run of equal scores are the rows
+of that score looked at, in the order of their ids.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import THRESHOLD_GRID
-from ..functions.ranking import avg_rank_pcts, materialize, ordered_running, qcut_rank_bin, value_prefix
+from ..constants import CLASSIFIER_SELECTION_WEIGHTS, REGRESSOR_SELECTION_WEIGHTS, THRESHOLD_GRID
+from ..functions.ranking import avg_rank_pcts, materialize, ordered_running, value_prefix
 
 # --- fixed values: grids in numpy's linspace arithmetic ------------------------------
 THRESHOLDS = [float(x) for x in np.linspace(*THRESHOLD_GRID)]
@@ -30,16 +37,72 @@ def _ge_count(p: Column, grid: list[float]) -> Column:
     return build(0, len(grid))
 
 
-def f1_threshold_table(scored: DataFrame, y: str = "y", p: str = "p", grid: list[float] = THRESHOLDS) -> DataFrame:
+class ScoreRuns:
+    """One row per distinct score of a frame, highest first: p, rows, positives, above (rows
+    with a higher score) and above_y (their positives); n and positives of the whole frame.
+    Rows without a score have no place and are left out."""
+
+    def __init__(self, scored: DataFrame, y: str = "y", p: str = "p", id_col: str = "customer_id"):
+        self.id_col = id_col
+        self.rows = scored.select(id_col, F.col(y).cast("long").alias("y"), F.col(p).cast("double").alias("p"))
+        runs = value_prefix(self.rows, "p", sums=["y"], ascending=False)
+        self.runs = materialize(runs.select("p", F.col("_cnt").alias("rows"), F.col("_s_y").alias("y"), F.col("_before").alias("above"),
+                                            F.col("_sb_y").alias("above_y")))
+        total = self.runs.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
+        self.n, self.positives = int(total[0]), int(total[1])
+
+    def positives_among(self, cuts: list[int], ascending: bool = False) -> list[int]:
+        """Positives among the first ``k`` rows, for every ``k`` of ``cuts``, in the order of
+        falling (or rising) scores and rising ids.  The cuts are few: a parameter's worth."""
+        before = F.lit(self.n) - F.col("above") - F.col("rows") if ascending else F.col("above")
+        before_y = F.lit(self.positives) - F.col("above_y") - F.col("y") if ascending else F.col("above_y")
+        inside = sorted({k for k in cuts if 0 < k < self.n})
+        known = {k: 0 if k <= 0 else self.positives for k in cuts}
+        if inside:
+            held = self.runs.withColumn("k", F.explode(F.filter(F.array(*[F.lit(k) for k in inside]), lambda k: (k > before) & (k <= before + F.col("rows")))))
+            open_ = []
+            for r in held.select("k", "p", "rows", "y", before.alias("b"), before_y.alias("by")).collect():  # one row per cut
+                known[r.k] = r.by + r.y
+                if r.k < r.b + r.rows and 0 < r.y < r.rows:
+                    open_.append((r.k, r.p, r.k - r.b, r.by))
+                elif r.k < r.b + r.rows:
+                    known[r.k] = r.by + (r.k - r.b if r.y else 0)
+            if open_:
+                same = self.rows.where(F.col("p").isin(*{p for _, p, _, _ in open_}))
+                placed = ordered_running(same, [(self.id_col, True)], self.id_col, sums=["y"], partition_by=["p"])
+                wanted = {(p, at): (k, by) for k, p, at, by in open_}
+                cut = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(at).alias("at")) for p, at in wanted])
+                for r in placed.where(F.exists(cut, lambda c: (c["p"] == F.col("p")) & (c["at"] == F.col("_rn")))).select("p", "_rn", "_run_y").collect():
+                    k, by = wanted[r.p, r._rn]
+                    known[k] = by + r._run_y
+        return [known[k] for k in cuts]
+
+    def spread(self, ends: list[int]) -> DataFrame:
+        """(bin, rows, score_sum): rows of rising score dealt to bins that end at ``ends``."""
+        low = F.lit(self.n) - F.col("above") - F.col("rows")
+        starts = [0, *ends[:-1]]
+        parts = F.array(*[F.struct(F.lit(i).alias("bin"), (F.least(low + F.col("rows"), F.lit(e)) - F.greatest(low, F.lit(s))).alias("n"))
+                          for i, (s, e) in enumerate(zip(starts, ends))])
+        dealt = self.runs.select("p", F.explode(F.filter(parts, lambda x: x["n"] > 0)).alias("_x"))
+        return dealt.groupBy(F.col("_x.bin").alias("bin")).agg(F.sum("_x.n").alias("rows"), F.sum(F.col("p") * F.col("_x.n")).alias("score_sum"))
+
+
+def _runs(scored: DataFrame | ScoreRuns, y: str = "y", p: str = "p", id_col: str = "customer_id") -> ScoreRuns:
+    return scored if isinstance(scored, ScoreRuns) else ScoreRuns(scored, y, p, id_col)
+
+
+def f1_threshold_table(scored: DataFrame | ScoreRuns, y: str = "y", p: str = "p", grid: list[float] = THRESHOLDS) -> DataFrame:
     """F1, precision and recall at every grid threshold (prediction = p >= t).
 
-    Rows are folded into len(grid)+1 cells by a pure function of p (map-side
+    Rows (or runs) are folded into len(grid)+1 cells by a pure function of p (map-side
     combined); suffix sums over the cells give the confusion counts per threshold.
     """
-    spark = scored.sparkSession
-    counts = scored.groupBy(_ge_count(F.col(p), grid).alias("_cell")).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum(F.col(y)).alias("_tp")
-    )
+    if isinstance(scored, ScoreRuns):
+        rows = scored.runs.select(F.col("p"), "rows", F.col("y").alias("_y"))
+    else:
+        rows = scored.select(F.col(p).alias("p"), F.lit(1).alias("rows"), F.col(y).alias("_y"))
+    spark = rows.sparkSession
+    counts = rows.groupBy(_ge_count(F.col("p"), grid).alias("_cell")).agg(F.sum("rows").alias("_c"), F.sum("_y").alias("_tp"))
     # dense cell spine 0..len(grid): at most len(grid) + 1 rows
     cells = spark.range(len(grid) + 1).select(F.col("id").cast("int").alias("_cell"))
     cells = cells.join(F.broadcast(counts), "_cell", "left").fillna(0, subset=["_c", "_tp"])
@@ -67,117 +130,62 @@ def f1_threshold_table(scored: DataFrame, y: str = "y", p: str = "p", grid: list
     )
 
 
-def optimal_f1_threshold(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+def optimal_f1_threshold(scored: DataFrame | ScoreRuns, y: str = "y", p: str = "p") -> DataFrame:
     """One row: best-F1 grid threshold, first grid point wins ties."""
     table = f1_threshold_table(scored, y, p)
     return table.agg(F.max_by("threshold", F.struct(F.col("f1"), -F.col("j"))).alias("threshold"),
                      F.max("f1").alias("f1"))
 
 
-def classification_metrics(scored: DataFrame, threshold: float, y: str = "y", p: str = "p",
+def classification_metrics(scored: DataFrame | ScoreRuns, threshold: float, y: str = "y", p: str = "p",
                            id_col: str = "customer_id") -> DataFrame:
     """One row: roc_auc, pr_auc, brier_score, f1, precision, recall, lift_at_10pct,
     recall_at_20pct, threshold (E1-E5)."""
-    base = materialize(scored.select(id_col, F.col(y).cast("long").alias("y"), F.col(p).cast("double").alias("p")))
-    # Mann-Whitney on average ranks
-    ranks = value_prefix(base, "p", sums=["y"])
-    auc_parts = ranks.select(
-        (F.col("_s_y") * (F.col("_before") + (F.col("_cnt") + 1) / 2.0)).alias("_rank_pos"),
-        F.col("_st_y").alias("P"),
-        (F.col("_n") - F.col("_st_y")).alias("N"),
-    ).agg(F.sum("_rank_pos").alias("rs"), F.first("P").alias("P"), F.first("N").alias("N"))
-    auc = auc_parts.select(
-        F.when((F.col("P") > 0) & (F.col("N") > 0),
-               (F.col("rs") - F.col("P") * (F.col("P") + 1) / 2.0) / (F.col("P") * F.col("N"))).alias("roc_auc")
-    )
-    # Step-wise average precision over distinct thresholds, descending
-    desc = value_prefix(base, "p", sums=["y"], ascending=False)
-    ap = desc.select(
-        F.when(F.col("_st_y") > 0,
-               (F.col("_s_y") / F.col("_st_y")) * ((F.col("_sb_y") + F.col("_s_y")) / (F.col("_before") + F.col("_cnt"))))
-        .alias("_term")
-    ).agg(F.coalesce(F.sum("_term"), F.lit(0.0)).alias("pr_auc"))
-    # E3, E4
-    pred = F.col("p") >= F.lit(threshold)
-    conf = base.agg(
-        F.avg((F.col("p") - F.col("y")) ** 2).alias("brier_score"),
-        F.count_if(pred & (F.col("y") == 1)).alias("_tp"),
-        F.count_if(pred).alias("_pp"),
-        F.sum("y").alias("_pos"),
-    ).select(
-        "brier_score",
-        F.when(F.col("_pp") + F.col("_pos") > 0, 2.0 * F.col("_tp") / (F.col("_pp") + F.col("_pos"))).otherwise(0.0)
-        .alias("f1"),
+    s = _runs(scored, y, p, id_col)
+    n, pos, neg = s.n, s.positives, s.n - s.positives
+    q, m, t = F.col("p"), F.col("rows"), F.col("y")
+    pred = q >= F.lit(threshold)
+    below = F.lit(n) - F.col("above") - m
+    top = [max(1, int(n * 0.10)), max(1, int(n * 0.20))]
+    top10, top20 = s.positives_among(top)
+    size10 = min(top[0], n)
+    # Mann-Whitney on average ranks; E2: steps over distinct scores, descending
+    auc = (F.sum(t * (below + (m + 1) / 2.0)) - F.lit(pos * (pos + 1) / 2.0)) / F.lit(float(pos * neg)) if pos and neg else F.lit(None).cast("double")
+    ap = F.sum((t / F.lit(pos)) * ((F.col("above_y") + t) / (F.col("above") + m))) if pos else F.lit(0.0)
+    tp, pp = F.coalesce(F.sum(F.when(pred, t)), F.lit(0)), F.coalesce(F.sum(F.when(pred, m)), F.lit(0))
+    return s.runs.agg(
+        auc.alias("roc_auc"), ap.alias("pr_auc"),
+        (F.sum(m * q * q - 2 * q * t + t) / F.lit(float(max(n, 1)))).alias("brier_score"), tp.alias("_tp"), pp.alias("_pp")).select(
+        "roc_auc", "pr_auc", "brier_score",
+        F.when(F.col("_pp") + pos > 0, 2.0 * F.col("_tp") / (F.col("_pp") + pos)).otherwise(0.0).alias("f1"),
         F.when(F.col("_pp") > 0, F.col("_tp") / F.col("_pp")).otherwise(0.0).alias("precision"),
-        F.when(F.col("_pos") > 0, F.col("_tp") / F.col("_pos")).otherwise(0.0).alias("recall"),
-    )
-    # E5: top fractions in the total order (p desc, id asc)
-    ordered = ordered_running(base, [("p", False)], id_col, sums=["y"])
-    k10 = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(0.10)))
-    k20 = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(0.20)))
-    top = ordered.agg(
-        F.sum(F.when(F.col("_rn") <= k10, F.col("y"))).alias("_y10"),
-        F.count_if(F.col("_rn") <= k10).alias("_n10"),
-        F.sum(F.when(F.col("_rn") <= k20, F.col("y"))).alias("_y20"),
-        F.sum("y").alias("_ys"),
-        F.count(F.lit(1)).alias("_n"),
-    ).select(
-        F.when(F.col("_ys") > 0, (F.col("_y10") / F.col("_n10")) / (F.col("_ys") / F.col("_n"))).otherwise(0.0)
-        .alias("lift_at_10pct"),
-        (F.col("_y20") / F.greatest(F.lit(1), F.col("_ys"))).alias("recall_at_20pct"),
-    )
-    return one_row([auc, ap, conf, top]).withColumn("threshold", F.lit(threshold))
-
-
-def one_row(parts: list[DataFrame]) -> DataFrame:
-    """Side-by-side union of one-row frames (no cross join): unpivot each to
-    (metric, value), union, pivot back over the known metric names."""
-    names: list[str] = []
-    longs = []
-    for df in parts:
-        names += df.columns
-        longs.append(df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns
-        ])).alias("kv")).select("kv.metric", "kv.value"))
-    union = longs[0]
-    for other in longs[1:]:
-        union = union.unionByName(other)
-    return union.groupBy().pivot("metric", names).agg(F.first("value")).select(*names)
-
-
-def calibration_table(scored: DataFrame, bins: int = 10, y: str = "y", p: str = "p",
-                      id_col: str = "customer_id") -> DataFrame:
-    """Equal-frequency bins on the first-rank of p (qcut semantics, not ntile)."""
-    base = scored.select(id_col, F.col(y).alias("y"), F.col(p).cast("double").alias("p"))
-    ordered = ordered_running(base, [("p", True)], id_col)
-    ordered = ordered.withColumn("decile", qcut_rank_bin(F.col("_rn"), F.col("_n"), bins))
-    return ordered.groupBy("decile").agg(
-        F.count(F.lit(1)).alias("customers"),
-        F.avg("p").alias("mean_predicted_probability"),
-        F.avg("y").alias("observed_churn_rate"),
-    )
+        (F.col("_tp") / F.lit(pos) if pos else F.lit(0.0)).alias("recall"),
+        F.lit((top10 / size10) / (pos / n) if pos else 0.0).alias("lift_at_10pct"),
+        F.lit(top20 / max(1, pos)).alias("recall_at_20pct"), F.lit(threshold).alias("threshold"))
 
 
-def lift_table(scored: DataFrame, y: str = "y", p: str = "p", id_col: str = "customer_id") -> DataFrame:
+def calibration_table(scored: DataFrame | ScoreRuns, bins: int = 10, y: str = "y", p: str = "p",
+                      id_col: str = "customer_id") -> DataFrame:
+    """Equal-frequency bins on the first-rank of p (qcut semantics, not ntile)."""
+    s = _runs(scored, y, p, id_col)
+    if not s.n:
+        return s.runs.select(F.lit(0).alias("decile"), F.col("rows").alias("customers"), F.col("p").alias("mean_predicted_probability"), F.col("p").alias("observed_churn_rate"))
+    # bin d holds first-ranks up to 1 + floor((d + 1) * (n - 1) / bins)
+    ends = [1 + (d + 1) * (s.n - 1) // bins for d in range(bins)]
+    upto = s.positives_among(ends, ascending=True)
+    each = F.array(*[F.lit(b - a) for a, b in zip([0, *upto[:-1]], upto)])
+    return s.spread(ends).select(
+        F.col("bin").alias("decile"), F.col("rows").alias("customers"),
+        (F.col("score_sum") / F.col("rows")).alias("mean_predicted_probability"),
+        (F.element_at(each, F.col("bin") + 1) / F.col("rows")).alias("observed_churn_rate"))
+
+
+def lift_table(scored: DataFrame | ScoreRuns, y: str = "y", p: str = "p", id_col: str = "customer_id") -> DataFrame:
     """Cumulative gain and lift at 10 population checkpoints (order p desc, id asc)."""
-    base = scored.select(id_col, F.col(y).cast("long").alias("y"), F.col(p).cast("double").alias("p"))
-    ordered = ordered_running(base, [("p", False)], id_col, sums=["y"])
-    # a row is the target of checkpoint c when it is row min(n, max(1, ceil(c * n)))
-    hits = F.array(*[
-        F.when(F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil(F.lit(c) * F.col("_n")))) == F.col("_rn"),
-               F.lit(c))
-        for c in LIFT_CHECKPOINTS
-    ])
-    picked = ordered.select("_rn", "_n", "_run_y", F.explode(F.filter(hits, lambda x: x.isNotNull()))
-                            .alias("population_pct"))
-    # at most 10 rows; the running sum at row n (checkpoint 1.0) is the total
-    everything = Window.partitionBy()
-    gain = F.col("_run_y") / F.greatest(F.lit(1), F.max("_run_y").over(everything))
-    return picked.select(
-        "population_pct",
-        gain.alias("cumulative_gain"),
-        (gain / (F.col("_rn") / F.col("_n"))).alias("cumulative_lift"),
-    )
+    s = _runs(scored, y, p, id_col)
+    cuts = [min(s.n, max(1, math.ceil(c * s.n))) for c in LIFT_CHECKPOINTS] if s.n else []
+    rows = [(c, got / max(1, s.positives), k / s.n) for c, k, got in zip(LIFT_CHECKPOINTS, cuts, s.positives_among(cuts) if cuts else [])]
+    return s.runs.sparkSession.createDataFrame([(c, g, g / share) for c, g, share in rows], "population_pct double, cumulative_gain double, cumulative_lift double")
 
 
 def regression_metrics(scored: DataFrame, y: str = "y", yhat: str = "yhat", id_col: str = "customer_id") -> DataFrame:
@@ -206,11 +214,10 @@ def regression_metrics(scored: DataFrame, y: str = "y", yhat: str = "yhat", id_c
 
 
 def selection_score_classifier(roc_auc: Column, pr_auc: Column, brier: Column) -> Column:
-    return F.lit(0.45) * roc_auc + F.lit(0.35) * pr_auc + F.lit(0.20) * (F.lit(1.0) - brier)
+    a, b, c = (F.lit(w) for w in CLASSIFIER_SELECTION_WEIGHTS)
+    return a * roc_auc + b * pr_auc + c * (F.lit(1.0) - brier)
 
 
 def selection_score_regressor(nmae: Column, spearman: Column, r2: Column) -> Column:
-    return (F.lit(0.45) * (F.lit(1.0) - F.least(nmae, F.lit(1.0)))
-            + F.lit(0.35) * F.greatest(spearman, F.lit(0.0))
-            + F.lit(0.20) * F.greatest(r2, F.lit(0.0)))
-
+    a, b, c = (F.lit(w) for w in REGRESSOR_SELECTION_WEIGHTS)
+    return a * (F.lit(1.0) - F.least(nmae, F.lit(1.0))) + b * F.greatest(spearman, F.lit(0.0)) + c * F.greatest(r2, F.lit(0.0))

@@ -43,6 +43,22 @@ def labelled_snapshots(spark, sf_dir, kind: str) -> DataFrame:
                         ("future_gross_margin", "future_revenue", "future_orders"))
 
 
+_KEPT: dict[tuple[str, str, str], object] = {}
+
+
+def kept(spark, sf_dir, name: str, build):
+    """What ``build`` makes, once per session: it feeds several queries."""
+    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"), name)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def hold_runs(spark, sf_dir) -> metrics.ScoreRuns:
+    """The holdout rows sorted by score, once for all metrics."""
+    return kept(spark, sf_dir, "hold_runs", lambda: metrics.ScoreRuns(churn_frames(spark, sf_dir)[1]))
+
+
 def _build_churn_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     snaps = labelled_snapshots(spark, sf_dir, "churn")
     scored = materialize(snaps.select(
@@ -162,8 +178,9 @@ HOLD_CTES, _HOLD_SELECT = HOLD_METRICS_SQL.split("\nSELECT ROUND(roc_auc", 1)
 @register("churn_holdout_metrics", CHURN_SCORED_SQL + F1_SQL + HOLD_METRICS_SQL)
 def churn_holdout_metrics(spark, sf_dir):
     """E1-E5 on the holdout cutoff at the training-optimal threshold."""
-    train, hold = churn_frames(spark, sf_dir)
-    return _round_all(metrics.classification_metrics(hold, _threshold(train)), skip=("threshold",))
+    threshold = kept(spark, sf_dir, "threshold", lambda: _threshold(churn_frames(spark, sf_dir)[0]))
+    return kept(spark, sf_dir, "churn_holdout_metrics", lambda: materialize(_round_all(
+        metrics.classification_metrics(hold_runs(spark, sf_dir), threshold), skip=("threshold",))))
 
 
 @register("churn_calibration", CHURN_SCORED_SQL + """
@@ -176,8 +193,7 @@ FROM d GROUP BY decile
 """)
 def churn_calibration(spark, sf_dir):
     """Decile calibration table on the holdout."""
-    _, hold = churn_frames(spark, sf_dir)
-    return _round_all(metrics.calibration_table(hold))
+    return _round_all(metrics.calibration_table(hold_runs(spark, sf_dir)))
 
 
 LIFT_VALUES = "(VALUES " + ", ".join(f"({c!r})" for c in metrics.LIFT_CHECKPOINTS) + ") v(population_pct)"
@@ -196,8 +212,7 @@ FROM {LIFT_VALUES} JOIN r ON r.rn = LEAST(r.n, GREATEST(1, CEIL(v.population_pct
 """)
 def churn_lift_curve(spark, sf_dir):
     """Cumulative gain and lift at ten population checkpoints."""
-    _, hold = churn_frames(spark, sf_dir)
-    return _round_all(metrics.lift_table(hold), skip=("population_pct",))
+    return _round_all(metrics.lift_table(hold_runs(spark, sf_dir)), skip=("population_pct",))
 
 
 VALUE_CTES = S.snapshot_sql([CLV_HOLDOUT_CUTOFF], clv_h=CLV_HORIZON_DAYS, name="vs") + """
@@ -228,11 +243,14 @@ FROM vag
 @register("clv_holdout_metrics", VALUE_CTES + VALUE_SELECT)
 def clv_holdout_metrics(spark, sf_dir):
     """Value-model metrics on predictions clipped at zero."""
-    snap = labelled_snapshots(spark, sf_dir, "clv").filter(
-        F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date"))
-    scored = snap.select("customer_id", F.col("future_gross_margin").cast("double").alias("y"),
-                         scores.rule_value_prediction().alias("yhat"))
-    return _round_all(metrics.regression_metrics(scored))
+    def build():
+        snap = labelled_snapshots(spark, sf_dir, "clv").filter(
+            F.col("snapshot_date") == F.lit(CLV_HOLDOUT_CUTOFF).cast("date"))
+        scored = snap.select("customer_id", F.col("future_gross_margin").cast("double").alias("y"),
+                             scores.rule_value_prediction().alias("yhat"))
+        return materialize(_round_all(metrics.regression_metrics(scored)))
+
+    return kept(spark, sf_dir, "clv_holdout_metrics", build)
 
 
 @register("fairness_audit", CHURN_SCORED_SQL + F1_SQL + """
