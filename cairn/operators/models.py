@@ -1,5 +1,5 @@
 """Churn and value models on ``pyspark.ml``: candidates, class weights, sigmoid
-calibration on hash folds, comparison and champion choice, batch scoring and model
+calibration on class-balanced folds, comparison and champion choice, batch scoring and model
 persistence.  Training and scoring are data-parallel; the driver only loops over
 the (three) candidate estimators and collects metric rows."""
 
@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS
+from ..functions.ranking import ordered_running
+from ..session import materialize
 from ..sources.files import read_json_record, write_json_record
 from . import metrics
 from .boosting import BoostingSpec, HistogramBoosting
@@ -126,55 +128,97 @@ def positive_probability(model: PipelineModel, df: DataFrame, out: str = "p") ->
         "features", "scaled", "rawPrediction", "probability", "prediction")
 
 
+def stratified_folds(train: DataFrame, id_cols: Sequence[str], folds: int, label: str = "label", out: str = "_fold") -> DataFrame:
+    """``train`` with a fold per row: rows of a class are dealt to the folds in turn, in the
+    order of their ids, so every fold has its share of each class to within one row.  The
+    turn is a distributed rank within the class: no class is sorted in one task."""
+    first, last = id_cols[0], id_cols[-1]
+    placed = ordered_running(train, [(c, True) for c in dict.fromkeys([first, *id_cols[:-1]])], last, partition_by=[label])
+    return placed.withColumn(out, F.pmod(F.col("_rn") - 1, F.lit(folds)).cast("int")).select(*train.columns, out)
+
+
+def fit_sigmoid(held: DataFrame, margin: str = "_margin", label: str = "label", steps: int = 50, tol: float = 1e-10) -> tuple[float, float]:
+    """(a, b) of P(y = 1) = 1 / (1 + exp(a * margin + b)), the maximum of the likelihood with
+    smoothed targets: (n1 + 1) / (n1 + 2) for positives and 1 / (n0 + 2) for negatives, so
+    that a perfect separation keeps finite parameters.  Newton steps with halving; each
+    evaluation is one aggregate over the rows."""
+    f, y = F.col(margin), F.col(label)
+    n1, n0 = (int(x) for x in held.agg(F.count_if(y == 1), F.count_if(y != 1)).first())
+    target = F.when(y == 1, F.lit((n1 + 1) / (n1 + 2))).otherwise(F.lit(1 / (n0 + 2)))
+
+    def at(a: float, b: float):
+        z = f * F.lit(a) + F.lit(b)
+        p = 1 / (1 + F.exp(z))
+        # -t log p - (1 - t) log(1 - p), written so that no exponential overflows
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - (1 - target) * z
+        r, h = target - p, p * (1 - p)
+        row = held.agg(F.sum(loss), F.sum(r * f), F.sum(r), F.sum(h * f * f), F.sum(h * f), F.sum(h)).first()
+        return [float(x or 0.0) for x in row]
+
+    a, b = 0.0, math.log((n0 + 1) / (n1 + 1))
+    now = at(a, b)
+    for _ in range(steps):
+        loss, ga, gb, haa, hab, hbb = now
+        haa, hbb = haa + 1e-12, hbb + 1e-12
+        det = haa * hbb - hab * hab
+        if abs(ga) < tol * max(1, n0 + n1) and abs(gb) < tol * max(1, n0 + n1) or det <= 0:
+            break
+        da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
+        size = 1.0
+        while size > 1e-10:
+            new = at(a + size * da, b + size * db)
+            if new[0] <= loss + 1e-4 * size * (ga * da + gb * db):
+                break
+            size /= 2
+        else:
+            break
+        a, b, now = a + size * da, b + size * db, new
+    return a, b
+
+
 class CalibratedClassifier:
-    """Sigmoid calibration on ``folds`` hash folds.  For each fold, the base
-    pipeline is fitted on the other folds and a one-feature logistic regression maps
-    its held-out logit to the label; predictions average the fold models."""
+    """Sigmoid calibration on ``folds`` class-balanced folds.  For each fold, the base
+    pipeline is fitted on the other folds and a sigmoid maps its margin on the held-out rows
+    to the label; predictions average the fold models."""
 
     def __init__(self, base: Callable[[float], Pipeline], folds: int = 3):
         self.base = base  # makes the pipeline for a number of training rows
         self.folds = folds
-        self.members: list[tuple[PipelineModel, PipelineModel]] = []
+        self.members: list[tuple[PipelineModel, tuple[float, float]]] = []
 
     def fit(self, train: DataFrame, id_cols: Sequence[str]) -> CalibratedClassifier:
-        fold = F.pmod(F.xxhash64(*id_cols, F.lit(SEED)), F.lit(self.folds))
-        tagged = train.withColumn("_fold", fold)
+        keys = stratified_folds(train.select(*id_cols, "label"), id_cols, self.folds)
+        tagged = train.join(keys.drop("label"), list(id_cols)).persist()
 
-        def one(k: int) -> tuple[PipelineModel, PipelineModel]:
+        def one(k: int) -> tuple[PipelineModel, tuple[float, float]]:
             fit_part = tagged.filter(F.col("_fold") != k)
             held = tagged.filter(F.col("_fold") == k)
             model = fit_pipeline(self.base(float(fit_part.count())), fit_part)
-            logits = _logit_frame(model, held.drop("features"))
-            sigmoid = Pipeline(stages=[
-                VectorAssembler(inputCols=["_logit"], outputCol="features"),
-                LogisticRegression(labelCol="label", regParam=0.0, maxIter=100),
-            ]).fit(logits)
-            return model, sigmoid
+            margins = materialize(_margin_frame(model, held.drop("features")).select("_margin", "label"))
+            return model, fit_sigmoid(margins)
 
         # the folds are independent Spark jobs: submit them concurrently
         with ThreadPoolExecutor(max_workers=self.folds) as pool:
             self.members = list(pool.map(one, range(self.folds)))
+        tagged.unpersist()
         return self
 
     def predict(self, df: DataFrame, out: str = "p") -> DataFrame:
-        total = None
-        scored = df
-        for i, (model, sigmoid) in enumerate(self.members):
-            logits = _logit_frame(model, scored)
-            cal = sigmoid.transform(logits)
-            col = f"_p{i}"
-            scored = cal.withColumn(col, vector_to_array("probability")[1]).drop(
-                "features", "rawPrediction", "probability", "prediction", "_logit")
-            total = F.col(col) if total is None else total + F.col(col)
-        n = len(self.members)
-        return scored.withColumn(out, total / F.lit(float(n))).drop(*[f"_p{i}" for i in range(n)])
-
-
-def _logit_frame(model: PipelineModel, df: DataFrame) -> DataFrame:
+        scored, cols = df, []
+        for i, (model, (a, b)) in enumerate(self.members):
+            scored = _margin_frame(model, scored).withColumn(f"_p{i}", 1 / (1 + F.exp(F.col("_margin") * a + b))).drop("_margin")
+            cols.append(f"_p{i}")
+        return scored.withColumn(out, sum((F.col(c) for c in cols[1:]), F.col(cols[0])) / F.lit(float(len(cols)))).drop(*cols)
+
+
+def _margin_frame(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with what the sigmoid is fitted on: the decision value, or a forest's share of votes."""
     scored = model.transform(df)
-    p = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-12)), F.lit(1 - 1e-12))
-    return scored.withColumn("_logit", F.log(p / (F.lit(1.0) - p))).drop(
-        "features", "scaled", "rawPrediction", "probability", "prediction")
+    p = vector_to_array("probability")[1]
+    if not isinstance(model.stages[-1], RandomForestClassificationModel):
+        p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
+        p = F.log(p / (F.lit(1.0) - p))
+    return scored.withColumn("_margin", p).drop("features", "scaled", "rawPrediction", "probability", "prediction")
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame, spec: ClassifierSpec | None = None,
@@ -245,14 +289,14 @@ def load_bundle(path: str) -> tuple[list[PipelineModel], dict]:
     return [PipelineModel.load(f"{path}/model_{i}") for i in range(meta["members"])], meta
 
 
-def calibrated_bundle(model: CalibratedClassifier) -> list[PipelineModel]:
-    """The fold models and their sigmoids as one flat list, for ``save_bundle``."""
-    return [m for pair in model.members for m in pair]
+def calibrated_bundle(model: CalibratedClassifier) -> tuple[list[PipelineModel], dict]:
+    """The fold models, and their sigmoids as metadata, for ``save_bundle``."""
+    return [m for m, _ in model.members], {"sigmoids": [list(ab) for _, ab in model.members]}
 
 
-def calibrated_from(members: Sequence[PipelineModel]) -> CalibratedClassifier:
-    out = CalibratedClassifier(lambda n: None, folds=len(members) // 2)
-    out.members = list(zip(members[::2], members[1::2]))
+def calibrated_from(members: Sequence[PipelineModel], meta: dict) -> CalibratedClassifier:
+    out = CalibratedClassifier(lambda n: None, folds=len(members))
+    out.members = [(m, tuple(ab)) for m, ab in zip(members, meta["sigmoids"])]
     return out
 
 

@@ -1,6 +1,6 @@
 """The trained chain: train, choose, calibrate, score production, decide, explain.
 
-Candidates are compared on the holdout cutoff; the churn champion is calibrated on hash
+Candidates are compared on the holdout cutoff; the churn champion is calibrated on class-balanced
 folds and scores the production snapshot, the value champion scores it too, and both
 feed the same decision and 360 operators as the closed-form scores.  Model values differ
 between libraries, so the SQL side checks gates: row counts, probabilities in [0, 1],
@@ -252,13 +252,13 @@ def model_bundle_info(spark, sf_dir):
     c = chain(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/") + f"/bundles/{spark.sparkContext.applicationId}"
     shared = {"production_snapshot": ANALYSIS_DATE, "feature_columns": FEATURE_COLUMNS}
-    models.save_bundle(models.calibrated_bundle(c.churn_model), f"{root}/churn",
-                       {**shared, "champion": c.churn_champion, "threshold": c.churn_threshold})
+    members, sigmoids = models.calibrated_bundle(c.churn_model)
+    models.save_bundle(members, f"{root}/churn", {**shared, **sigmoids, "champion": c.churn_champion, "threshold": c.churn_threshold})
     models.save_bundle([c.value_model], f"{root}/value", {**shared, "champion": c.value_champion, "threshold": None})
     sample = head_columns(c.production_features.orderBy("customer_id"), ["customer_id", *FEATURE_COLUMNS], 50)
     churn, churn_meta = models.load_bundle(f"{root}/churn")
     value, value_meta = models.load_bundle(f"{root}/value")
-    loaded = models.calibrated_from(churn).predict(sample, "p").join(
+    loaded = models.calibrated_from(churn, churn_meta).predict(sample, "p").join(
         c.churn_scores.select("customer_id", "churn_probability"), "customer_id")
     same = loaded.agg(F.count_if(F.abs(F.col("p") - F.col("churn_probability")) < 1e-9)).first()[0]
     finite = models.finite_count(value[0].transform(sample), "prediction")
@@ -316,6 +316,19 @@ def rule_attribution_reasons(spark, sf_dir):
     return _round_all(first.join(per, "customer_id"))
 
 
+@register("calibration_folds", S.snapshot_sql(CHURN_TRAIN_CUTOFFS, churn_h=CHURN_HORIZON_DAYS, name="tr") + """
+, f AS (SELECT customer_id, churn_90d, (ROW_NUMBER() OVER (PARTITION BY churn_90d ORDER BY customer_id, snapshot_date) - 1) % 3 AS fold FROM tr)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(churn_90d AS DOUBLE) AS label, COUNT(*) AS training_rows, CAST(SUM(customer_id) AS BIGINT) AS customer_id_sum
+FROM f GROUP BY fold, churn_90d
+""")
+def calibration_folds(spark, sf_dir):
+    """Rows of each class in every calibration fold."""
+    train, _ = chain(spark, sf_dir).churn_data
+    folds = models.stratified_folds(train.select("customer_id", "snapshot_date", "label"), ["customer_id", "snapshot_date"], 3)
+    return folds.groupBy(F.col("_fold").alias("fold"), "label").agg(
+        F.count(F.lit(1)).alias("training_rows"), F.sum("customer_id").alias("customer_id_sum"))
+
+
 @register("class_weights", S.snapshot_sql(CHURN_TRAIN_CUTOFFS, churn_h=CHURN_HORIZON_DAYS, name="tr") + """
 SELECT CAST(churn_90d AS DOUBLE) AS label, COUNT(*) AS customers,
   ROUND((SELECT CAST(COUNT(*) AS DOUBLE) FROM tr) / (2.0 * COUNT(*)), 6) AS weight

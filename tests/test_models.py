@@ -67,10 +67,11 @@ def test_calibration_uses_the_rows_of_each_fold(spark, data, tmp_path):
     assert scored["p"].between(0, 1).all()
     assert abs(scored["p"].mean() - scored["label"].mean()) < 0.12
     # a bundle scores alike after it is loaded
-    models.save_bundle(models.calibrated_bundle(model), str(tmp_path / "b"), {"threshold": 0.4, "champion": "x"})
+    members, sigmoids = models.calibrated_bundle(model)
+    models.save_bundle(members, str(tmp_path / "b"), {**sigmoids, "threshold": 0.4, "champion": "x"})
     members, meta = models.load_bundle(str(tmp_path / "b"))
-    assert (meta["threshold"], meta["members"]) == (0.4, 6)
-    again = models.calibrated_from(members).predict(test).toPandas().set_index("customer_id")
+    assert (meta["threshold"], meta["members"]) == (0.4, 3)
+    again = models.calibrated_from(members, meta).predict(test).toPandas().set_index("customer_id")
     assert np.allclose(again["p"].sort_index(), scored["p"].sort_index(), atol=1e-12)
 
 
@@ -91,3 +92,29 @@ def test_label_windows_close_before_the_holdout():
     with pytest.raises(ContractError) as e:
         check_label_windows(["2000-03-31", "2000-07-01"], 90, "2000-09-28")
     assert e.value.violations == {"label_window_after_holdout": 1}
+
+
+def test_folds_hold_every_class_alike(spark):
+    rows = [(i, f"2000-0{1 + i % 3}-01", float(i % 7 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "customer_id long, snapshot_date string, label double").repartition(5)
+    got = {(r._fold, r.label): r["count"] for r in models.stratified_folds(df, ["customer_id", "snapshot_date"], 3).groupBy("_fold", "label").count().collect()}
+    assert sum(got.values()) == 200
+    for label in (0.0, 1.0):
+        assert max(got[k, label] for k in range(3)) - min(got[k, label] for k in range(3)) <= 1
+
+
+@pytest.mark.parametrize("case", ["noisy", "separated", "one_class"])
+def test_sigmoid_equals_a_numpy_fit(spark, case):
+    rng = np.random.default_rng(1)
+    f = rng.normal(size=400) * 2
+    y = {"noisy": (rng.random(400) < 1 / (1 + np.exp(-1.5 * f + 0.7))), "separated": f > 0.3, "one_class": f > -1e9}[case].astype(float)
+    a, b = models.fit_sigmoid(spark.createDataFrame([(float(x), float(z)) for x, z in zip(f, y)], "_margin double, label double"))
+    n1, n0 = y.sum(), (1 - y).sum()
+    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    ab = np.array([0.0, np.log((n0 + 1) / (n1 + 1))])
+    design = np.column_stack([f, np.ones(400)])
+    for _ in range(200):  # damped Newton on the whole arrays
+        p = 1 / (1 + np.exp(design @ ab))
+        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + 1e-12 * np.eye(2), design.T @ (t - p))
+        ab = ab - 0.5 * step
+    assert np.allclose([a, b], ab, atol=1e-5)
