@@ -418,11 +418,20 @@ class _Writer(MLWriter):
         fitted, spark = self.model.fitted, self.sparkSession
         DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={
             "spec": asdict(fitted.spec), "start": fitted.start, "features": len(fitted.edges)})
-        nodes = [(i, n, int(t.feature[n]), int(t.cut[n]), int(t.left[n]), int(t.right[n]), float(t.value[n]))
-                 for i, t in enumerate(fitted.trees) for n in range(len(t.feature))]
-        spark.createDataFrame(nodes, "tree int, node int, feature int, cut int, left int, right int, value double").coalesce(1).write.parquet(f"{path}/nodes")
-        edges = [(f, float(e)) for f, es in enumerate(fitted.edges) for e in es]
-        spark.createDataFrame(edges, "feature int, edge double").coalesce(1).write.parquet(f"{path}/edges")
+        save_trees(spark, path, fitted.trees, fitted.edges)
+
+
+def save_trees(spark: SparkSession, path: str, trees: list[Tree], edges: list[np.ndarray]) -> None:
+    nodes = [(i, n, int(t.feature[n]), int(t.cut[n]), int(t.left[n]), int(t.right[n]), float(t.value[n]))
+             for i, t in enumerate(trees) for n in range(len(t.feature))]
+    spark.createDataFrame(nodes, "tree int, node int, feature int, cut int, left int, right int, value double").coalesce(1).write.parquet(f"{path}/nodes")
+    spark.createDataFrame([(f, float(e)) for f, es in enumerate(edges) for e in es], "feature int, edge double").coalesce(1).write.parquet(f"{path}/edges")
+
+
+def load_trees(spark: SparkSession, path: str, features: int) -> tuple[list[Tree], list[np.ndarray]]:
+    nodes = spark.read.parquet(f"{path}/nodes").toPandas().sort_values(["tree", "node"])
+    trees = [Tree(*(g[c].to_numpy() for c in ("feature", "cut", "left", "right", "value"))) for _, g in nodes.groupby("tree")]
+    return trees, collected_edges(spark.read.parquet(f"{path}/edges"), features)
 
 
 class _Reader(MLReader):
@@ -433,9 +442,7 @@ class _Reader(MLReader):
     def load(self, path: str) -> HistogramBoostingModel:
         spark: SparkSession = self.sparkSession
         meta = DefaultParamsReader.loadMetadata(path, spark)
-        edges = collected_edges(spark.read.parquet(f"{path}/edges"), meta["features"])
-        nodes = spark.read.parquet(f"{path}/nodes").toPandas().sort_values(["tree", "node"])
-        trees = [Tree(*(g[c].to_numpy() for c in ("feature", "cut", "left", "right", "value"))) for _, g in nodes.groupby("tree")]
+        trees, edges = load_trees(spark, path, meta["features"])
         model = self.cls(BoostedTrees(BoostingSpec(**meta["spec"]), meta["start"], edges, trees))
         model._resetUid(meta["uid"])
         return model

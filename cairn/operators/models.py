@@ -24,6 +24,7 @@ from ..session import materialize
 from ..sources.files import read_json_record, write_json_record
 from . import metrics
 from .boosting import BoostingSpec, HistogramBoosting
+from .forest import ForestSpec, SampledForest, SampledForestModel
 from .snapshot import feature_vector_columns
 
 SEED = 11
@@ -37,6 +38,7 @@ class ClassifierSpec:
     rf_trees: int = 260
     rf_depth: int = 14
     rf_min_leaf: int = 12
+    sampled: bool = False       # per-tree balanced subsamples (operators.forest) in place of one weight a class
     boosting: BoostingSpec = field(default_factory=lambda: BoostingSpec(
         "log_loss", learning_rate=0.055, max_iter=220, max_leaves=25, min_leaf=24, l2=0.75))
 
@@ -47,7 +49,8 @@ class RegressorSpec:
     rf_trees: int = 240
     rf_depth: int = 14
     rf_min_leaf: int = 10
-    rf_feature_fraction: str = "0.8"
+    rf_feature_fraction: float = 0.8
+    sampled: bool = False
     boosting: BoostingSpec = field(default_factory=lambda: BoostingSpec(
         "squared_error", learning_rate=0.055, max_iter=230, max_leaves=25, min_leaf=24, l2=1.0))
 
@@ -74,6 +77,13 @@ def add_balanced_weights(train: DataFrame) -> DataFrame:
 _TREES = {"cacheNodeIds": True, "checkpointInterval": 20, "maxMemoryInMB": 1024}
 
 
+def forest_spec(spec: ClassifierSpec | RegressorSpec) -> ForestSpec:
+    """The forest of a spec, with every tree's classes weighed by its own sample."""
+    if isinstance(spec, ClassifierSpec):
+        return ForestSpec("classify", spec.rf_trees, spec.rf_depth, spec.rf_min_leaf, "sqrt", True, seed=SEED)
+    return ForestSpec("regress", spec.rf_trees, spec.rf_depth, spec.rf_min_leaf, spec.rf_feature_fraction, seed=SEED)
+
+
 def assembled(train: DataFrame) -> DataFrame:
     """``train`` with its feature vector, kept for the many passes of the candidates, in as
     many partitions as its rows need."""
@@ -95,9 +105,12 @@ def classifier_candidates(spec: ClassifierSpec, n_train: float) -> dict[str, Pip
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     logistic = LogisticRegression(featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=200,
                                   regParam=1.0 / (spec.logistic_c * max(n_train, 1.0)), elasticNetParam=0.0)
-    forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=spec.rf_trees,
-                                    maxDepth=spec.rf_depth, minInstancesPerNode=spec.rf_min_leaf,
-                                    featureSubsetStrategy="sqrt", seed=SEED, **_TREES)
+    if spec.sampled:
+        forest = SampledForest(forest_spec(spec))
+    else:
+        forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=spec.rf_trees,
+                                        maxDepth=spec.rf_depth, minInstancesPerNode=spec.rf_min_leaf,
+                                        featureSubsetStrategy="sqrt", seed=SEED, **_TREES)
     boosted = HistogramBoosting(spec.boosting)
     return {
         "Logistic Regression": Pipeline(stages=[_assembler(), scaler, logistic]),
@@ -110,9 +123,12 @@ def regressor_candidates(spec: RegressorSpec, n_train: float) -> dict[str, Pipel
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     ridge = LinearRegression(featuresCol="scaled", labelCol="label", regParam=spec.ridge_alpha / max(n_train, 1.0),
                              elasticNetParam=0.0, standardization=False)
-    forest = RandomForestRegressor(labelCol="label", numTrees=spec.rf_trees, maxDepth=spec.rf_depth,
-                                   minInstancesPerNode=spec.rf_min_leaf,
-                                   featureSubsetStrategy=spec.rf_feature_fraction, seed=SEED, **_TREES)
+    if spec.sampled:
+        forest = SampledForest(forest_spec(spec))
+    else:
+        forest = RandomForestRegressor(labelCol="label", numTrees=spec.rf_trees, maxDepth=spec.rf_depth,
+                                       minInstancesPerNode=spec.rf_min_leaf,
+                                       featureSubsetStrategy=str(spec.rf_feature_fraction), seed=SEED, **_TREES)
     boosted = HistogramBoosting(spec.boosting)
     return {
         "Ridge Regression": Pipeline(stages=[_assembler(), scaler, ridge]),
@@ -215,7 +231,7 @@ def _margin_frame(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with what the sigmoid is fitted on: the decision value, or a forest's share of votes."""
     scored = model.transform(df)
     p = vector_to_array("probability")[1]
-    if not isinstance(model.stages[-1], RandomForestClassificationModel):
+    if not isinstance(model.stages[-1], (SampledForestModel, RandomForestClassificationModel)):
         p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
         p = F.log(p / (F.lit(1.0) - p))
     return scored.withColumn("_margin", p).drop("features", "scaled", "rawPrediction", "probability", "prediction")

@@ -1,5 +1,5 @@
-"""The first step of histogram boosting, checked by SQL: bins, gradient sums and gains of the
-first tree's root over the churn training rows."""
+"""The first steps of the tree learners, checked by SQL over the churn training rows: bins,
+gradient sums and gains of the first boosted tree's root, and each forest tree's sample."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..constants import CHURN_HORIZON_DAYS, CHURN_TRAIN_CUTOFFS, FEATURE_COLUMNS
-from ..operators import boosting
-from ..operators.models import ClassifierSpec
+from ..operators import boosting, forest
+from ..operators.models import ClassifierSpec, forest_spec
 from ..session import materialize, ship_package
 from . import sql_parts as S
 from .catalog import register
@@ -60,3 +60,34 @@ def boosting_root_histogram(spark, sf_dir):
     # features x bins rows
     return _round_all(spark.createDataFrame(
         [(x[0], int(x[1]), *x[2:]) for x in found], "feature string, bin int, training_rows long, gradient double, hessian double, gain double"))
+
+
+_FOREST = forest_spec(ClassifierSpec())
+_P = forest.PRIME
+_COUNT = " + ".join(f"(CASE WHEN h >= {e} THEN 1 ELSE 0 END)" for e in forest.POISSON_EDGES.tolist())
+
+
+@register("forest_tree_weights", S.snapshot_sql(CHURN_TRAIN_CUTOFFS, churn_h=CHURN_HORIZON_DAYS, name="tr") + f"""
+, k AS (SELECT churn_90d AS y, ((customer_id % {_P}) * 1000003 + date_diff('day', DATE '1970-01-01', snapshot_date)) % {_P} AS key FROM tr)
+, t AS (SELECT UNNEST(RANGE(0, {_FOREST.trees})) AS tree)
+, h1 AS (SELECT tree, y, (key + (tree + 1) * 48271) % {_P} AS h FROM k, t)
+, h2 AS (SELECT tree, y, (h * h + 7919 * h) % {_P} AS h FROM h1)
+, h3 AS (SELECT tree, y, (h * h + 104729 * h + tree) % {_P} AS h FROM h2)
+, c AS (SELECT tree, y, {_COUNT} AS n FROM h3)
+, s AS (SELECT tree, SUM(n) AS drawn, SUM(n * y) AS positives FROM c GROUP BY tree)
+SELECT CAST(tree AS INTEGER) AS tree, CAST(drawn AS BIGINT) AS drawn_rows, CAST(positives AS BIGINT) AS positive_rows,
+  ROUND(drawn / (2.0 * (drawn - positives)), 6) AS weight_0, ROUND(drawn / (2.0 * positives), 6) AS weight_1 FROM s
+""")
+def forest_tree_weights(spark, sf_dir):
+    """M4, M6: rows that each tree of the forest draws, and the class weights of its own
+    sample."""
+    train, _ = chain(spark, sf_dir).churn_data
+    ship_package(spark)
+    rows = materialize(train.select(F.array(*[F.col(c) for c in FEATURE_COLUMNS]).alias("features"), "label",
+                                    forest.row_key(F.col("customer_id"), F.col("snapshot_date")).alias("row_key")))
+    edges = boosting.collected_edges(boosting.bin_edges(rows, _FOREST.max_bins), len(FEATURE_COLUMNS))
+    state = forest.sampled_blocks(rows, edges)
+    trees = _FOREST.trees
+    drawn = state.map(lambda b: forest.class_weights(b, trees)).treeReduce(lambda a, b: a + b)
+    found = [(t, int(n), int(p), *w) for t, ((n, p), w) in enumerate(zip(drawn.tolist(), forest.tree_weights(state, _FOREST)))]
+    return _round_all(spark.createDataFrame(found, "tree int, drawn_rows long, positive_rows long, weight_0 double, weight_1 double"))

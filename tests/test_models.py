@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -37,14 +39,15 @@ def test_balanced_weights(data):
     assert all(r.w == r.v == pytest.approx(450 / (2 * r.n)) for r in rows)
 
 
-def test_candidates_learn_and_champion_is_best(data):
+@pytest.mark.parametrize("sampled", [False, True])
+def test_candidates_learn_and_champion_is_best(data, sampled):
     train, test = models.add_balanced_weights(data[0]), data[1]
-    rows, fitted = models.compare_classifiers(train, test, SMALL)
+    rows, fitted = models.compare_classifiers(train, test, replace(SMALL, sampled=sampled))
     rows = {r.model: r for r in rows.collect()}
     assert set(rows) == set(fitted) == {"Logistic Regression", "Random Forest", "Histogram Gradient Boosting"}
     assert all(r.roc_auc > 0.75 and 0.15 <= r.threshold <= 0.85 for r in rows.values())
     value_train, value_test = (d.withColumn("label", F.col("value")) for d in data)
-    rows, _ = models.compare_regressors(value_train, value_test, SMALL_VALUE)
+    rows, _ = models.compare_regressors(value_train, value_test, replace(SMALL_VALUE, sampled=sampled))
     rows = {r.model: r for r in rows.collect()}
     assert rows["Ridge Regression"].r2 > 0.5 and len(rows) == 3  # predictions are clipped at zero
 
