@@ -9,6 +9,7 @@ the champion having the best selection score, the budget, and additivity.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -269,6 +270,43 @@ def model_bundle_info(spark, sf_dir):
                                        "threshold double, rows_scored_alike int")
 
 
+@register("bundle_roundtrip", S.snapshot_sql([ANALYSIS_DATE], name="prod") + f"""
+, s AS (SELECT customer_id FROM prod ORDER BY customer_id LIMIT 50)
+SELECT field, CAST(value AS VARCHAR) AS value FROM (
+  SELECT 'champion' AS field, 'Logistic Regression' AS value
+  UNION ALL SELECT 'production_snapshot', '{ANALYSIS_DATE}'
+  UNION ALL SELECT 'feature_columns', '{",".join(FEATURE_COLUMNS)}'
+  UNION ALL SELECT 'members', '1'
+  UNION ALL SELECT 'threshold', '0.5'
+  UNION ALL SELECT 'nested_snapshot_rows', CAST((SELECT COUNT(*) FROM prod) AS VARCHAR)
+  UNION ALL SELECT 'sample_rows', CAST((SELECT COUNT(*) FROM s) AS VARCHAR)
+  UNION ALL SELECT 'sample_id_sum', CAST((SELECT SUM(customer_id) FROM s) AS VARCHAR)
+  UNION ALL SELECT 'rows_scored_alike', CAST((SELECT COUNT(*) FROM s) AS VARCHAR)
+)
+""")
+def bundle_roundtrip(spark, sf_dir):
+    """A fitted model saved with its nested JSON record, both read back;
+    the record's fields, the sample of 50 rows, and rows scored alike by the loaded model."""
+    c = chain(spark, sf_dir)
+    train, _ = c.churn_data
+    data = models.assembled(train)
+    n = float(data.count())
+    model = models.fit_pipeline(models.classifier_candidates(models.ClassifierSpec(), n)["Logistic Regression"], data)
+    data.unpersist()
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/bundles/{spark.sparkContext.applicationId}/roundtrip-{uuid.uuid4().hex}"
+    models.save_bundle([model], path, {"champion": "Logistic Regression", "production_snapshot": ANALYSIS_DATE, "feature_columns": FEATURE_COLUMNS,
+                                       "threshold": 0.5, "counts": {"snapshot_rows": c.production_features.count()}})
+    members, meta = models.load_bundle(path)
+    sample = materialize(head_columns(c.production_features.orderBy("customer_id"), ["customer_id", *FEATURE_COLUMNS], 50))
+    one, two = (models.positive_probability(m, sample, name).select("customer_id", name) for m, name in ((model, "a"), (members[0], "b")))
+    alike = one.join(two, "customer_id").where(F.abs(F.col("a") - F.col("b")) < 1e-12).count()
+    held = sample.agg(F.count(F.lit(1)), F.sum("customer_id")).first()
+    fields = [("champion", meta["champion"]), ("production_snapshot", meta["production_snapshot"]), ("feature_columns", ",".join(meta["feature_columns"])),
+              ("members", meta["members"]), ("threshold", meta["threshold"]), ("nested_snapshot_rows", meta["counts"]["snapshot_rows"]),
+              ("sample_rows", held[0]), ("sample_id_sum", held[1]), ("rows_scored_alike", alike)]
+    return spark.createDataFrame([(k, str(v)) for k, v in fields], "field string, value string")
+
+
 @register("attribution_global_importance")
 def attribution_global_importance(spark, sf_dir):
     """Attribution of the calibrated champion on the 60
