@@ -62,7 +62,7 @@ def _unsqueeze(data) -> memoryview:
     return memoryview(pa.decompress(view[8:], decompressed_size=size, codec="zstd")) if size else memoryview(b"")
 
 
-def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = (), bucket_by: str | None = None) -> DataFrame:
     """chunk, ids, lens, digests (one entry per text), body (the texts' bytes, compressed),
     carried (one struct per text with the columns ``carry``)."""
     extra = pa.struct([(c, to_arrow_type(docs.schema[c].dataType)) for c in carry] or [("_none", pa.int8())])
@@ -87,7 +87,7 @@ def write_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, carry: tuple[s
     kinds = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in carry) or "_none: tinyint"
     return materialize(keyed.mapInArrow(
         run, "chunk long, ids array<long>, lens array<long>, digests array<binary>, body binary, "
-             f"carried array<struct<{kinds}>>"))
+             f"carried array<struct<{kinds}>>"), bucket_by=bucket_by)
 
 
 class Chunk:
