@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import q_attribution, q_boosting, q_core, q_decision, q_exports, q_governance, q_models, q_publish, q_reports, q_trained  # noqa: F401
+    from . import q_attribution, q_boosting, q_core, q_decision, q_exports, q_governance, q_models, q_publish, q_reports, q_slices, q_trained  # noqa: F401
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
