@@ -127,12 +127,19 @@ def score(words: Column, weights: list[float]) -> Column:
                .otherwise(F.lit(0.0)))
 
 
+def threshold_counts(scored: DataFrame) -> DataFrame:
+    """s, good, bad: labelled rows of ``scored`` that pass the base rules, per score step.  They
+    are counted under a condition: a filter would be moved below the words and split every
+    text again."""
+    step = F.greatest(F.lit(-20_000), F.least(F.lit(20_000), F.floor(F.col("llr") / SCORE_STEP))).cast("int")
+    passed = ~F.col("base_failed")
+    return scored.groupBy(step.alias("s")).agg(F.count_if(passed & F.col("trusted")).alias("good"), F.count_if(passed & ~F.col("trusted")).alias("bad"))
+
+
 def fit_threshold(scored: DataFrame, keep_weight: int = KEEP_WEIGHT) -> float:
     """Threshold from the labelled rows of ``scored`` (llr, trusted, base_failed)."""
-    step = F.greatest(F.lit(-20_000), F.least(F.lit(20_000), F.floor(F.col("llr") / SCORE_STEP))).cast("int")
-    rows = (scored.where("NOT base_failed").groupBy(step.alias("s")).agg(F.count_if("trusted").alias("good"), F.count_if(~F.col("trusted")).alias("bad"))
-            .collect())  # bounded by the number of steps
-    rows = sorted((r.s, r.good, r.bad) for r in rows)
+    # bounded by the number of steps; a step of failed rows alone is no step
+    rows = sorted((r.s, r.good, r.bad) for r in threshold_counts(scored).collect() if r.good + r.bad)
     if not sum(r[1] for r in rows) or not sum(r[2] for r in rows):
         return -math.inf
     # cutting before step k rejects all steps below it
