@@ -32,8 +32,8 @@ from cairn.llm.winnow import decontaminate  # noqa: E402
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the log-likelihood-ratio threshold."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    # a filter on a generated column stays where it is: moved below the words, it would split
-    # every text again for each rule
+    # a filter on a generated column stays above the verdicts (0.1 GB, one run each: 169 CPU
+    # seconds, 229 with a plain filter)
     found = quality_verdicts(docs, labels).select(*docs.columns, F.explode(F.array("kept")).alias("_kept"))
     return found.where("_kept").select(*docs.columns)
 
