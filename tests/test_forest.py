@@ -86,6 +86,30 @@ def test_trees_equal_plain_numpy(spark, monkeypatch, spec, cells):
     assert np.allclose(got.mean(x), mean, atol=1e-9)
 
 
+@pytest.mark.parametrize("spec", [ForestSpec(trees=5, depth=4, min_leaf=9, max_bins=10), ForestSpec("regress", trees=4, depth=5, min_leaf=7, features=0.8, max_bins=12)])
+def test_large_nodes_grow_by_sums_and_small_ones_in_a_task(spark, monkeypatch, spec):
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 60)
+    x, y, margin = table(350, 2)
+    y = y if spec.task == "classify" else margin
+    got = train(frame(spark, x, y), spec)
+    for t, tree in enumerate(got.trees):
+        splits, _ = plain_tree(x, y, got.edges, spec, t)
+        assert splits_of(tree, got.edges) == splits and len(splits) > 3
+
+
+def test_deep_trees_need_no_job_a_level(spark):
+    x, y, _ = table(400, 5)
+    sc = spark.sparkContext
+    jobs = []
+    for depth in (3, 14):
+        sc.setJobGroup(f"forest-{depth}", "")
+        got = train(frame(spark, x, y), ForestSpec(trees=6, depth=depth, min_leaf=1, max_bins=20))
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"forest-{depth}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert max(p.bit_length() for t in got.trees for p, _, _ in splits_of(t, got.edges)) > 6
+    assert jobs[0] == jobs[1] > 0
+
+
 def test_samples_look_like_drawing_with_replacement():
     key = np.arange(20_000)
     counts = np.stack([sample_counts(key, t) for t in range(30)])
