@@ -78,3 +78,17 @@ def test_cohort_matrix_refuses_lags_outside_its_range(spark):
     assert (rows["2000-01"].M0, rows["2000-01"].M1, rows["2000-01"].M2, rows["2000-02"].M2) == (1.0, None, 0.5, None)
     with pytest.raises(ContractError):
         cohort.cohort_matrix(long, 1)
+
+
+def test_threads_ship_the_package_once():
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    from cairn.session import ship_package
+
+    sent = []
+    context = SimpleNamespace(applicationId="threads-test", addPyFile=lambda path: (time.sleep(0.05), sent.append(path)))
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(ship_package, [SimpleNamespace(sparkContext=context)] * 6))
+    assert len(sent) == 1
