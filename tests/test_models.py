@@ -121,3 +121,20 @@ def test_sigmoid_equals_a_numpy_fit(spark, case):
         step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + 1e-12 * np.eye(2), design.T @ (t - p))
         ab = ab - 0.5 * step
     assert np.allclose([a, b], ab, atol=1e-5)
+
+
+def test_sigmoid_ends_where_sums_cannot_tell_losses_apart(spark):
+    """Steps so small that they change no sum are not taken one after the other."""
+    group = "sigmoid-steps"
+    spark.sparkContext.setJobGroup(group, group)
+    for seed in (4, 1, 20):
+        rng = np.random.default_rng(seed)
+        f = rng.uniform(0.2, 0.75, 2000)
+        y = (rng.random(2000) < 1 / (1 + np.exp(-4 * (f - 0.47)))).astype(float)
+        held = spark.createDataFrame([(float(x), float(z)) for x, z in zip(f, y)], "_margin double, label double").coalesce(1)
+        a, b = models.fit_sigmoid(held)
+        p = 1 / (1 + np.exp(a * f + b))
+        r = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)) - p
+        assert abs(r.sum()) < 1e-6 and abs((r * f).sum()) < 1e-6  # the maximum
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 100
