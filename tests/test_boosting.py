@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from cairn.operators import boosting
 from cairn.operators.boosting import BoostingSpec, HistogramBoosting, bin_edges, collected_edges, root_sums, train
 
 COLUMNS = ["a", "b", "c", "d"]
@@ -89,6 +90,23 @@ def test_splits_and_leaf_values_equal_plain_numpy(spark, spec):
     assert np.allclose(got.raw(x), raw, atol=1e-9)
 
 
+@pytest.mark.parametrize("loss", ["log_loss", "squared_error"])
+def test_one_task_grows_the_trees_of_the_cluster(spark, monkeypatch, loss):
+    x, y, w, margin = table(12_000)
+    rows = frame(spark, x, y if loss == "log_loss" else margin, w if loss == "log_loss" else np.ones(len(y))).persist()
+    spec = BoostingSpec(loss, 0.4, max_iter=6, max_leaves=9, max_bins=20)
+    group = f"boosting-in-a-task-{loss}"
+    spark.sparkContext.setJobGroup(group, group)
+    one = train(rows, spec)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", 100)
+    many = train(rows, spec)
+    rows.unpersist()
+    assert [(t.feature.tolist(), t.cut.tolist()) for t in one.trees] == [(t.feature.tolist(), t.cut.tolist()) for t in many.trees]
+    assert len(one.trees) == 6 and np.allclose(one.raw(x), many.raw(x), atol=1e-9)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 30  # a pass over the cluster takes a job each
+
+
 @pytest.mark.parametrize("bins", [4, 6, 255])
 def test_edges_are_exact_quantiles(spark, bins):
     x, y, w, _ = table(700, seed=9)
