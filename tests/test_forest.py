@@ -130,3 +130,19 @@ def test_pipeline_scores_alike_after_loading(spark, tmp_path):
     p = np.array([v[1] for v in one["probability"]])
     assert p[y == 1].mean() > p[y == 0].mean() + 0.2
     assert model.transform(df.where(F.lit(False))).count() == 0
+
+
+def test_counts_packed_in_one_number_equal_plain_sums(monkeypatch):
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 8, (5, 400), dtype=np.uint8), (rng.random(400) < 0.4).astype(np.uint8)
+    count, at, rows = rng.integers(1, 6, 400), rng.integers(0, 3, 400), np.arange(400)
+    drawn, spec = np.array([[0, 2], [1, 4], [3, 4]]), forest.ForestSpec(max_bins=8)
+    one = forest.cell_sums(bins, y, count, rows, at, drawn, spec)
+    monkeypatch.setattr(forest, "EXACT", 0.0)
+    two = forest.cell_sums(bins, y, count, rows, at, drawn, spec)
+    for node, features in enumerate(drawn):
+        for j, f in enumerate(features):
+            for b in range(8):
+                cell = (at == node) & (bins[f] == b)
+                want = [count[cell].sum(), (count * y)[cell].sum(), cell.sum()]
+                assert one[node, j, b].tolist() == two[node, j, b].tolist() == want
