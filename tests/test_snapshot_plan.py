@@ -107,3 +107,16 @@ def test_customer_tables_join_without_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("SortMergeJoin") == 4 and "Exchange" not in text
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, facts):
+    """The JVM leaves a method of more than 8000 bytes to its interpreter."""
+    days = [str(DAY + dt.timedelta(days=100 * i)) for i in range(10)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = build_snapshots(*facts[1], days, churn_horizon=90, clv_horizon=365)
+        code = plan._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
