@@ -146,3 +146,34 @@ def test_counts_packed_in_one_number_equal_plain_sums(monkeypatch):
                 cell = (at == node) & (bins[f] == b)
                 want = [count[cell].sum(), (count * y)[cell].sum(), cell.sum()]
                 assert one[node, j, b].tolist() == two[node, j, b].tolist() == want
+
+
+def test_nodes_that_cannot_be_cut_are_not_summed(monkeypatch):
+    seen, plain = [], forest.cell_sums
+
+    def counted(bins, y, count, rows, at, drawn, spec):
+        seen.extend(np.bincount(at, minlength=len(drawn)).tolist())
+        return plain(bins, y, count, rows, at, drawn, spec)
+
+    monkeypatch.setattr(forest, "cell_sums", counted)
+    rng = np.random.default_rng(3)
+    bins, count = rng.integers(0, 64, (5, 3000), dtype=np.uint8), np.ones(3000, np.uint8)
+    spec = ForestSpec("regress", trees=1, depth=6, min_leaf=40, features=0.8)
+    # one value everywhere is a pure node, whatever rounding makes of its gains
+    assert forest.grown_below(bins, np.full(3000, 0.1), count, 1, 0, (1.0, 1.0), spec).feature.tolist() == [-1] and not seen
+    y = bins[0] * 1.5 + rng.normal(size=3000)
+    tree = forest.grown_below(bins, y, count, 1, 0, (1.0, 1.0), spec)
+    assert min(seen) >= 80 and (tree.feature >= 0).sum() <= len(seen) < len(tree.feature)
+    leaf = tree.leaves(bins)
+    assert np.allclose(tree.value[leaf], [y[leaf == k].mean() for k in leaf])
+
+
+@pytest.mark.parametrize("rows", [1, 500])
+def test_pieces_of_any_size_grow_the_same_tree(monkeypatch, rows):
+    rng = np.random.default_rng(4)
+    bins, count = rng.integers(0, 64, (6, 2000), dtype=np.uint8), rng.integers(1, 4, 2000).astype(np.uint8)
+    y, spec = (rng.random(2000) < bins[1] / 64).astype(np.uint8), ForestSpec(trees=1, depth=8, min_leaf=5)
+    one = forest.grown_below(bins, y, count, 1, 0, (0.9, 1.2), spec)
+    monkeypatch.setattr(forest, "PIECE_ROWS", rows)
+    two = forest.grown_below(bins, y, count, 1, 0, (0.9, 1.2), spec)
+    assert len(one.feature) > 50 and all((getattr(one, c) == getattr(two, c)).all() for c in ("feature", "cut", "left", "right", "value"))
