@@ -177,3 +177,41 @@ def test_pieces_of_any_size_grow_the_same_tree(monkeypatch, rows):
     monkeypatch.setattr(forest, "PIECE_ROWS", rows)
     two = forest.grown_below(bins, y, count, 1, 0, (0.9, 1.2), spec)
     assert len(one.feature) > 50 and all((getattr(one, c) == getattr(two, c)).all() for c in ("feature", "cut", "left", "right", "value"))
+
+
+@pytest.mark.parametrize("spec", [ForestSpec(trees=5, depth=6, min_leaf=9, max_bins=10), ForestSpec("regress", trees=4, depth=6, min_leaf=7, features=0.8, max_bins=12)])
+def test_whole_trees_need_one_exchange_and_equal_those_grown_by_level(spark, monkeypatch, spec):
+    x, y, margin = table(700, 8)
+    rows = frame(spark, x, y if spec.task == "classify" else np.round(margin, 1)).persist()
+    sent = []
+    monkeypatch.setattr(forest, "_grow_handed", lambda *a, plain=forest._grow_handed: sent.append(len(a[1])) or plain(*a))
+    one = train(rows, spec)
+    assert not sent  # no sample leaves its task
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 100)
+    two = train(rows, spec)
+    assert sent and one.weights == two.weights
+    assert [splits_of(t, one.edges) for t in one.trees] == [splits_of(t, two.edges) for t in two.trees]
+    assert np.allclose(one.mean(x), two.mean(x), atol=1e-12)
+
+
+@pytest.mark.parametrize("task", ["classify", "regress"])
+@pytest.mark.parametrize("run", [1, 10_000])
+def test_runs_of_rows_are_summed_like_single_rows(monkeypatch, task, run):
+    monkeypatch.setattr(forest, "RUN_ROWS", run)
+    monkeypatch.setattr(forest, "PIECE_ROWS", 64)
+    rng = np.random.default_rng(6)
+    at = np.sort(rng.integers(0, 3, 500))
+    bins, y, count = rng.integers(0, 8, (5, 500), dtype=np.uint8), rng.integers(0, 2, 500).astype(float), rng.integers(1, 6, 500).astype(np.uint8)
+    drawn, spec = np.array([[0, 2], [1, 4], [3, 4]]), forest.ForestSpec(task, max_bins=8)
+    one = forest.cell_sums(bins, y, count, np.arange(500), at, drawn, spec)
+    for held in (bins, np.ascontiguousarray(bins.T).T):
+        assert (forest.cell_sums(held, y, count, slice(None), at, drawn, spec) == one).all()
+
+
+def test_the_hash_needs_no_division():
+    key = np.concatenate([np.arange(3), np.random.default_rng(1).integers(0, forest.PRIME, 5000), [forest.PRIME - 1]])
+    h = (key + 8 * 48_271) % forest.PRIME
+    h = (h * h + 7_919 * h) % forest.PRIME
+    h = (h * h + 104_729 * h + 7) % forest.PRIME
+    assert (forest.sample_hash(key, 7) == h).all()
+    assert (sample_counts(key, 7) == np.searchsorted(forest.POISSON_EDGES, h, "right")).all()
