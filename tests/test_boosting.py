@@ -153,3 +153,29 @@ def test_pipeline_scores_alike_after_loading(spark, tmp_path):
     assert (one["probability"] == two["probability"]).all() and (one["prediction"] == two["prediction"]).all()
     assert (one["prediction"] == one["label"]).mean() > 0.75
     assert model.transform(df.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("loss", ["log_loss", "squared_error"])
+def test_joint_bins_and_one_leaf_a_round_grow_the_same_trees(monkeypatch, loss):
+    rng = np.random.default_rng(7)
+    bins = np.stack([rng.integers(0, k, 3000, dtype=np.uint8) for k in (40, 3, 12, 1, 25)])
+    y = (rng.random(3000) < (bins[0] + bins[2]) / 60).astype(float) if loss == "log_loss" else bins[0] - 0.5 * bins[4] + rng.normal(size=3000)
+    w, training = (rng.choice([1.0, 3.0], 3000) if loss == "log_loss" else np.ones(3000)), rng.random(3000) < 0.9
+    spec = boosting.BoostingSpec(loss, max_iter=6, max_leaves=9, min_leaf=20, max_bins=64)
+    block = (bins, y, w, training, np.zeros(3000))
+
+    class Ahead(boosting.InTask):
+        ahead = True
+
+    plain = boosting.boosted(Ahead(block, spec), spec)
+    monkeypatch.setattr(boosting, "JOINT_ROWS", 100)
+    monkeypatch.setattr(boosting, "JOINT_BINS", 600)
+    state, summed = boosting.InTask(block, spec), []
+    monkeypatch.setattr(state, "sums", lambda tree, wanted, own=state.sums: summed.append(len(wanted)) or own(tree, wanted))
+    joint = boosting.boosted(state, spec)
+    assert len(state.joint.groups) < 5 and max(map(len, state.joint.groups)) > 1
+    assert sum(summed) == 6 * 9  # a root and a child of each split, no more
+    for a, b in zip(plain, joint, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value, atol=1e-12)
+    whole = boosting.node_sums(bins, y, w, np.arange(3000), 64)
+    assert np.allclose(state.joint.node_sums(5, y, w, np.arange(3000), 64), whole)
