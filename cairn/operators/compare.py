@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import ordered_running
-from ..session import materialize
+from ..session import materialize, release
 from ..sources.files import type_map
 
 REL_TOL, ABS_TOL = 1e-9, 1e-12
@@ -98,12 +98,15 @@ def compare_tables(name: str, left: DataFrame, right: DataFrame, keys: Sequence[
     for df in (left, right):
         rows = _plain(df, columns, kinds)
         sides.append(rows.withColumns({"h1": _digest(every, 1), "h2": _digest(every, 2), "k1": _digest(key, 3), "k2": _digest(key, 4)}))
-    counts = [s.count() for s in sides]
-    buckets = max(1, min(MAX_BUCKETS, max(counts) // BUCKET_ROWS))
+    # a side is computed for its digests only, and once more if they differ
+    buckets = max(1, min(MAX_BUCKETS, left.count() // BUCKET_ROWS))
     sides = [s.withColumn("bucket", F.pmod("k1", F.lit(buckets))) for s in sides]
     a, b = (bucket_digests(s).select("bucket", F.struct("n", *[f"s{i}" for i in range(4)]).alias(f"d{i}")) for i, s in enumerate(sides))
-    unequal = materialize(a.join(b, "bucket", "full_outer").where(~F.col("d0").eqNullSafe(F.col("d1"))).select("bucket"))
-    open_buckets = unequal.count()
+    digests = materialize(a.join(b, "bucket", "full_outer"))
+    unequal = digests.where(~F.col("d0").eqNullSafe(F.col("d1"))).select("bucket")
+    *counts, open_buckets = digests.agg(*[F.coalesce(F.sum(f"d{i}.n"), F.lit(0)) for i in range(2)],
+                                        F.count_if(~F.col("d0").eqNullSafe(F.col("d1")))).first()
+    release(spark)
     if not open_buckets:
         return spark.createDataFrame([(name, "EQUAL", *counts, None, 0, counts[0], 0, 0, 0, 0, None, None, None, None)], SCHEMA)
     # rows that occur equally often on both sides cancel out

@@ -34,13 +34,26 @@ def mart(spark, sf_dir) -> publish.Mart:
     key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
     if key not in _MARTS:
         c = canonical(spark, sf_dir)
-        tables = {n: getattr(c, n)() for n in CANONICAL} | {n: QUERIES[n](spark, sf_dir) for n in PROCESSED}
+
+        def processed(name):
+            def table(written):
+                c.adopt("order_lines", written["order_lines"])  # by far the largest: one copy will do
+                return QUERIES[name](spark, sf_dir)
+
+            return table
+
+        tables = {n: getattr(c, n)() for n in CANONICAL if n != "order_lines"}
+        tables |= {"order_lines": lazy_canonical(spark, sf_dir).order_lines()} | {n: processed(n) for n in PROCESSED}
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marts/{spark.sparkContext.applicationId}-{len(_MARTS)}"
 
         def gates(written):
             return written["data_quality_report"].where(F.col("check_name").isin(*BLOCKING_GATES))
 
-        _MARTS[key] = publish.publish(spark, root, tables, gates)
+        try:
+            _MARTS[key] = publish.publish(spark, root, tables, gates)
+        except BaseException:
+            c.forget("order_lines")  # it may be gone with the version
+            raise
     return _MARTS[key]
 
 

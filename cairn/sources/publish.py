@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import TABLE_CODEC, release
+
 
 class PublishError(RuntimeError):
     """The version was not published; the previous one is untouched."""
@@ -110,9 +112,10 @@ def open_mart(spark: SparkSession, root: str, number: int | None = None) -> Mart
     return Mart(spark, root, number, json.loads(_Files(spark, root).read(f"{root}/manifests/{number:08}.json")))
 
 
-def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
+def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]],
             gates: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None, note: Mapping | None = None) -> Mart:
-    """Write ``tables`` as the next version.
+    """Write ``tables`` as the next version, in their order; a function among them makes its
+    table from those written before.
 
     ``gates`` gets the tables as they were written and returns rows (check_name, status);
     anything but PASS stops the publication.
@@ -121,12 +124,15 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
     files, version = _Files(spark, root), uuid.uuid4().hex
     staging = f"{root}/versions/{version}"
     try:
-        held = {}
-        for name, df in tables.items():
+        held, written = {}, {}
+        for name, table in tables.items():
+            df = table(written) if callable(table) else table
             path = f"versions/{version}/{name}"
-            df.write.mode("error").parquet(f"{root}/{path}")
+            df.write.mode("error").option("compression", TABLE_CODEC).parquet(f"{root}/{path}")
             held[name] = {"path": path, "schema": json.loads(df.schema.json())}
-        written = {name: spark.read.schema(tables[name].schema).parquet(f"{root}/{x['path']}") for name, x in held.items()}
+            written[name] = spark.read.schema(df.schema).parquet(f"{root}/{path}")
+            del df, table
+            release(spark)
         for name, df in written.items():
             held[name]["rows"] = df.count()
         if gates is not None:

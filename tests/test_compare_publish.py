@@ -148,3 +148,38 @@ def test_reconcile_pairs_rows_that_share_a_key(spark):
     got = {r.column: r for r in reconcile(a, b, ["k", "g"], ["v", "t"]).collect()}
     assert (got["v"].rows_compared, got["v"].mismatches, got["v"].first_mismatch_key) == (4, 1, "2|a")
     assert (got["t"].mismatches, got["t"].first_mismatch_key, got["t"].missing_left, got["t"].missing_right) == (1, "|a", 1, 1)
+
+
+def test_a_table_may_be_made_from_those_written_before(spark, tmp_path):
+    df = spark.range(40).withColumn("x", F.col("id") * 2)
+    mart = publish(spark, str(tmp_path / "m"), {"a": df, "b": lambda written: written["a"].where("id < 7")})
+    assert mart.rows("a") == 40 and mart.table("b").count() == mart.rows("b") == 7
+    assert all(f.endswith(".zstd.parquet") for f in mart.table("a").inputFiles())
+
+
+def test_a_side_is_computed_once_for_equal_tables(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    left = spark.createDataFrame(rows(60), SCHEMA)
+    got = compare_tables("t", left, left.mapInArrow(counted, left.schema), keys=["id"]).collect()[0]
+    assert (got["status"], got["left_rows"], got["right_rows"], seen.value) == ("EQUAL", 60, 60, 60)
+
+
+def test_the_session_reads_the_published_order_lines(spark, monkeypatch):
+    from cairn.plans import q_publish
+    from cairn.sources import adapter
+
+    monkeypatch.setattr(adapter, "_CACHE", {})
+    monkeypatch.setattr(q_publish, "_MARTS", {})
+    made = []
+    monkeypatch.setattr(q_publish, "PROCESSED", {"rfm_scores": q_publish.PROCESSED["rfm_scores"], "data_quality_report": q_publish.PROCESSED["data_quality_report"]})
+    monkeypatch.setattr(adapter.MaterializedCanonical, "_get", lambda self, name, build, own=adapter.MaterializedCanonical._get: made.append(name) or own(self, name, build))
+    mart = q_publish.mart(spark, "/root/testdata/sf0.001")
+    lines = adapter.canonical(spark, "/root/testdata/sf0.001").order_lines()
+    assert lines.inputFiles() == mart.table("order_lines").inputFiles() and lines.count() == mart.rows("order_lines") > 0
+    assert "orders" in made
