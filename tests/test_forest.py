@@ -215,3 +215,17 @@ def test_the_hash_needs_no_division():
     h = (h * h + 104_729 * h + 7) % forest.PRIME
     assert (forest.sample_hash(key, 7) == h).all()
     assert (sample_counts(key, 7) == np.searchsorted(forest.POISSON_EDGES, h, "right")).all()
+
+
+def test_joint_bins_grow_the_same_regression_tree(monkeypatch):
+    rng = np.random.default_rng(9)
+    bins = np.stack([rng.integers(0, k, 4000, dtype=np.uint8) for k in (50, 3, 8, 1, 20, 2)])
+    y, count = np.round(bins[0] * 1.5 - bins[4] + rng.normal(size=4000), 2), rng.integers(1, 4, 4000).astype(np.uint8)
+    spec = ForestSpec("regress", trees=1, depth=7, min_leaf=10, features=0.8)
+    one = forest.grown_below(bins, y, count, 1, 0, (1.0, 1.0), spec)
+    used = []
+    monkeypatch.setattr(forest, "JOINT_ROWS", 300)
+    monkeypatch.setattr(forest, "_joint_sums", lambda *a, plain=forest._joint_sums: used.append(len(a[2])) or plain(*a))
+    two = forest.grown_below(bins, y, count, 1, 0, (1.0, 1.0), spec)
+    assert len(used) > 3 and min(used) >= 300
+    assert (one.feature == two.feature).all() and (one.cut == two.cut).all() and (one.value == two.value).all()
